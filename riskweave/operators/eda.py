@@ -154,27 +154,35 @@ def amount_summary(df: DataFrame, amount: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- E7
 def histogram(
-    df: DataFrame, value: Column, max_bins: int = 30, min_bins: int = 5, group: Column | None = None
+    df: DataFrame,
+    value: Column,
+    max_bins: int = 30,
+    min_bins: int = 5,
+    group: Column | None = None,
+    basis: str = "ndv",
 ) -> DataFrame:
-    """Equal-width histogram with ``min(max_bins, max(min_bins, ndv))``
-    bins per group (numpy rules: last bin closed; a constant column spans
-    value ± 0.5). Every bin is present, empty ones with count 0."""
+    """Equal-width histogram with ``min(max_bins, max(min_bins, k))``
+    bins per group, k = distinct values (``basis="ndv"``) or values
+    (``basis="count"``); numpy rules: last bin closed, a constant column
+    spans value ± 0.5. Every bin is present, empty ones with count 0."""
     g = group if group is not None else F.lit(0)
     base = df.select(g.alias("__g"), value.alias("v")).where(F.col("v").isNotNull())
     stats = base.groupBy("__g").agg(
         F.min("v").alias("lo0"),
         F.max("v").alias("hi0"),
         F.approx_count_distinct("v", 0.01).alias("__approx"),
+        F.count("v").alias("__count"),
     )
     # exact distinct count only where it can change the bin count (few values)
     small = base.join(F.broadcast(stats.where(F.col("__approx") <= 4 * max_bins).select("__g")), "__g").groupBy("__g").agg(
         F.count_distinct("v").alias("__ndv")
     )
+    k = F.col("__count") if basis == "count" else F.coalesce(F.col("__ndv"), F.col("__approx"))
     stats = stats.join(F.broadcast(small), "__g", "left").select(
         "__g",
         F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
         F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"),
-        F.least(F.lit(max_bins), F.greatest(F.lit(min_bins), F.coalesce(F.col("__ndv"), F.col("__approx")))).alias("bins"),
+        F.least(F.lit(max_bins), F.greatest(F.lit(min_bins), k)).alias("bins"),
     )
     width = (F.col("hi") - F.col("lo")) / F.col("bins")
     idx = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.col("bins") - 1).cast("int")
@@ -191,6 +199,11 @@ def histogram(
     return out if group is not None else out.drop("__g")
 
 
+def histogram_by_count(df: DataFrame, value: Column, group: Column, max_bins: int, min_bins: int) -> DataFrame:
+    """Y9 flavour: bins from the number of values per group."""
+    return histogram(df, value, max_bins, min_bins, group, basis="count").withColumnRenamed("__g", "group")
+
+
 # --------------------------------------------------------------------------- E8
 def top_values(df: DataFrame, columns: list[str] | None = None, top_n: int = 10) -> DataFrame:
     """The ``top_n`` most frequent values per categorical column, NULL as
