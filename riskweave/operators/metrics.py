@@ -82,13 +82,13 @@ def score_table(df: DataFrame, y: str, score: str) -> DataFrame:
 def ranking_metrics(table: DataFrame) -> DataFrame:
     """V5, V6, V8, V9 from a ``score_table``; NULL when one class is missing."""
     P, N = F.col("P"), F.col("N")
-    prec = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))
-    rec = F.col("cum_tp") / P
+    prec = F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))  # ≥ 1 row per score
+    rec = F.try_divide(F.col("cum_tp"), P)  # NULL when there is no positive
     agg = table.agg(
         F.first("P").alias("P"),
         F.first("N").alias("N"),
-        F.sum(F.col("fp") / N * (F.col("cum_tp") - F.col("tp") / 2.0) / P).alias("roc_auc"),
-        F.sum(F.col("tp") / P * prec).alias("pr_auc"),
+        F.sum(F.try_divide(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2.0), N * P)).alias("roc_auc"),
+        F.sum(F.try_divide(F.col("tp"), P) * prec).alias("pr_auc"),
         F.max(F.when(prec >= 0.9, rec)).alias("r90"),
         F.max(F.when(rec >= 0.8, prec)).alias("p80"),
     )
@@ -106,7 +106,9 @@ def roc_curve(table: DataFrame) -> DataFrame:
     """(fpr, tpr, threshold) for every distinct score, plus the (0, 0)
     start point with an infinite threshold."""
     pts = table.select(
-        (F.col("cum_fp") / F.col("N")).alias("fpr"), (F.col("cum_tp") / F.col("P")).alias("tpr"), F.col("score").alias("threshold")
+        F.try_divide(F.col("cum_fp"), F.col("N")).alias("fpr"),
+        F.try_divide(F.col("cum_tp"), F.col("P")).alias("tpr"),
+        F.col("score").alias("threshold"),
     )
     start = table.agg(F.count(F.lit(1)).alias("__n")).select(
         F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(float("inf")).alias("threshold")
@@ -119,7 +121,7 @@ def pr_curve(table: DataFrame) -> DataFrame:
     point (1, 0) with a NULL threshold."""
     pts = table.select(
         (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))).alias("precision"),
-        (F.col("cum_tp") / F.col("P")).alias("recall"),
+        F.try_divide(F.col("cum_tp"), F.col("P")).alias("recall"),
         F.col("score").alias("threshold"),
     )
     end = table.agg(F.count(F.lit(1)).alias("__n")).select(
