@@ -3,10 +3,10 @@
 ``ordered_prefix`` adds running sums in the order of one numeric column
 (optionally per group). The input is first collapsed to distinct
 (group, value) rows, so a value shared by a third of all rows is one row.
-Those rows are cut into ``buckets`` value ranges per group, with bounds from
-``percentile_approx`` (one aggregate, fixed memory); each bucket is sorted in
-its own task and shifted by the totals of the buckets before it (a table of
-groups × buckets rows, broadcast after a size check).
+Those rows are cut into up to ``buckets`` value ranges per group, with
+bounds from ``percentile_approx`` over the raw rows (one aggregate, fixed
+memory); each bucket is sorted on its own and shifted by the totals of the
+buckets before it (a table of at most 2^20 rows, broadcast).
 
 ``exact_quantiles`` builds on it: pandas/DuckDB linear interpolation between
 the values at 0-based ranks floor(h) and ceil(h), h = (n - 1) q.
@@ -14,11 +14,14 @@ the values at 0-based ranks floor(h) and ceil(h), h = (n - 1) q.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = 1024
 MAX_BROADCAST_GROUPS = 10_000
+MAX_OFFSET_ROWS = 1 << 20
 
 
 def bucket_expr(value: Column, bounds: list[float]) -> Column:
@@ -38,13 +41,19 @@ def bucket_expr(value: Column, bounds: list[float]) -> Column:
 
 def _bounds_by_group(df: DataFrame, value: str, groups: list[str], buckets: int) -> dict[tuple, list[float]]:
     probs = [i / buckets for i in range(1, buckets)]
-    agg = F.percentile_approx(F.col(value), probs, 10_000).alias("b")
+    agg = F.percentile_approx(F.col(value), probs, max(10_000, 10 * buckets)).alias("b")
     rows = (df.groupBy(*groups).agg(agg) if groups else df.agg(agg)).limit(MAX_BROADCAST_GROUPS + 1).collect()
     if len(rows) > MAX_BROADCAST_GROUPS:
         raise ValueError(f"ordered_prefix supports at most {MAX_BROADCAST_GROUPS} groups")
     return {tuple(r[g] for g in groups): list(r["b"] or []) for r in rows}
 
 
+def _squash(v: Column) -> Column:
+    """Monotone map of the reals into (0.25, 0.75) (Java's atan is
+    semi-monotonic, so ties may merge but order never flips)."""
+    return F.atan(v) / F.lit(2 * math.pi) + F.lit(0.5)
+
+
 def ordered_prefix(
     df: DataFrame,
     value: str,
@@ -57,37 +66,62 @@ def ordered_prefix(
 
     NULL values are dropped. Output columns: groups, value, each weight, each
     ``cum_<weight>``.
+
+    Bucketing: bounds are approximate quantiles of the raw rows per group,
+    so a bucket holds about rows/buckets rows before the distinct step (and
+    fewer after). Every row gets the key ``group_index + squash(value)``,
+    which orders groups apart and values within a group, and one JVM
+    ``Bucketizer`` (binary search over all groups' bounds) assigns buckets.
     """
+    from pyspark.ml.feature import Bucketizer
+
     groups = groups or []
     names = list(weights)
-    distinct = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*groups, value)
-        .agg(*[F.sum(c).alias(n) for n, c in weights.items()])
-    )
-    bounds = _bounds_by_group(distinct, value, groups, buckets)
-    v = F.col(value)
-    if not groups:
-        bucket = bucket_expr(v, bounds.get((), []))
+    raw = df.where(F.col(value).isNotNull())
+    n_groups = 1
+    if groups:
+        n_groups = max(1, raw.select(*groups).distinct().limit(MAX_BROADCAST_GROUPS + 1).count())
+    buckets = max(2, min(buckets, MAX_OFFSET_ROWS // n_groups))
+    bounds = _bounds_by_group(raw, value, groups, buckets)
+
+    keys = sorted(bounds, key=lambda k: tuple((x is None, str(x)) for x in k))
+    index = {k: i for i, k in enumerate(keys)}
+    splits = {float("-inf"), float("inf")}
+    for k, bs in bounds.items():
+        gi = index[k]
+        splits.add(gi + 0.9)
+        for b in bs:
+            if b is not None and not math.isnan(b):
+                splits.add(gi + math.atan(b) / (2 * math.pi) + 0.5)
+    distinct = raw.groupBy(*groups, value).agg(*[F.sum(c).alias(n) for n, c in weights.items()])
+    if groups:
+        gfields = raw.select(*groups).schema.fields
+        gschema = ", ".join(f"__g{i} {f.dataType.simpleString()}" for i, f in enumerate(gfields)) + ", __gi int"
+        gtab = distinct.sparkSession.createDataFrame([(*k, i) for k, i in index.items()], gschema)
+        # one row per group (≤ MAX_BROADCAST_GROUPS, checked above)
+        cond = [distinct[g].eqNullSafe(gtab[f"__g{i}"]) for i, g in enumerate(groups)]
+        distinct = distinct.join(F.broadcast(gtab), cond).drop(*[f"__g{i}" for i in range(len(groups))])
     else:
-        bucket = None
-        for key, bs in bounds.items():
-            cond = F.lit(True)
-            for g, k in zip(groups, key):
-                cond = cond & (F.col(g).eqNullSafe(F.lit(k)))
-            bucket = F.when(cond, bucket_expr(v, bs)) if bucket is None else bucket.when(cond, bucket_expr(v, bs))
-        bucket = bucket.otherwise(F.lit(0)) if bucket is not None else F.lit(0)
-    keyed = distinct.withColumn("__bucket", bucket)
+        distinct = distinct.withColumn("__gi", F.lit(0))
+    distinct = distinct.withColumn("__key", F.col("__gi").cast("double") + _squash(F.col(value).cast("double")))
+    keyed = (
+        Bucketizer(splits=sorted(splits), inputCol="__key", outputCol="__bucket", handleInvalid="keep")
+        .transform(distinct)
+        .drop("__key", "__gi")
+    )
 
     totals = keyed.groupBy(*groups, "__bucket").agg(*[F.sum(n).alias(f"__t_{n}") for n in names])
     wt = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *groups, "__bucket", *[F.coalesce(F.sum(f"__t_{n}").over(wt), F.lit(0)).alias(f"__o_{n}") for n in names]
+        *[F.col(g).alias(f"__og{i}") for i, g in enumerate(groups)],
+        F.col("__bucket").alias("__ob"),
+        *[F.coalesce(F.sum(f"__t_{n}").over(wt), F.lit(0)).alias(f"__o_{n}") for n in names],
     )
-    # offsets has at most groups x buckets rows (checked above): safe to broadcast.
+    # offsets has at most groups x buckets ≤ MAX_OFFSET_ROWS rows: safe to broadcast.
     wl = Window.partitionBy(*groups, "__bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = keyed.select(*groups, value, "__bucket", *names, *[F.sum(n).over(wl).alias(f"__l_{n}") for n in names])
-    joined = local.join(F.broadcast(offsets), [*groups, "__bucket"], "left")
+    cond = [F.col(g).eqNullSafe(F.col(f"__og{i}")) for i, g in enumerate(groups)] + [F.col("__bucket") == F.col("__ob")]
+    joined = local.join(F.broadcast(offsets), cond, "left")
     return joined.select(
         *groups,
         value,

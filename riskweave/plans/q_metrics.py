@@ -9,7 +9,9 @@ from riskweave.operators import thresholds as th
 from riskweave.plans.registry import register
 from riskweave.sources import testdata as td
 
-_PRED = F.col("score") >= F.lit(0.5)
+
+def _pred():
+    return F.col("score") >= F.lit(0.5)
 
 
 def _sc(spark, sf_dir):
@@ -47,13 +49,13 @@ def _q(body: str) -> str:
 @register("metric_confusion", _q("SELECT tn, fp, fn, tp FROM conf"))
 def metric_confusion(spark, sf_dir):
     """V2 at threshold 0.5."""
-    return mt.confusion(_sc(spark, sf_dir), "y_true", _PRED)
+    return mt.confusion(_sc(spark, sf_dir), "y_true", _pred())
 
 
 @register("metric_prf", _q("SELECT round(positive_rate, 6) AS positive_rate, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM prf"))
 def metric_prf(spark, sf_dir):
     """V3 at threshold 0.5."""
-    return mt.prf(_sc(spark, sf_dir), "y_true", _PRED)
+    return mt.prf(_sc(spark, sf_dir), "y_true", _pred())
 
 
 @register("metric_log_loss", _q("SELECT round(log_loss, 6) AS log_loss FROM ll"))
@@ -112,7 +114,7 @@ UNION ALL SELECT 'weighted avg',
 )
 def metric_class_report(spark, sf_dir):
     """V7 at threshold 0.5."""
-    return mt.class_report(_sc(spark, sf_dir), "y_true", _PRED)
+    return mt.class_report(_sc(spark, sf_dir), "y_true", _pred())
 
 
 @register(
