@@ -231,20 +231,13 @@ def group_candidates(
     cols = [c for c in categorical_columns(df) if c not in excluded]
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, n_distinct bigint, eligible boolean")
-    one = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(cols)])
-    return _rows_of(
-        one,
-        [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"d{i}").cast("bigint").alias("n_distinct"),
-                ((F.col(f"d{i}") <= max_ndv) & (F.col(f"d{i}") / F.greatest(F.col("__n"), F.lit(1)) <= max_ratio)).alias(
-                    "eligible"
-                ),
-            )
-            for i, c in enumerate(cols)
-        ],
-    )
+    from riskweave.operators.features import distinct_counts
+
+    # approximate distinct counts first; exact ones only near the limit
+    ndv = distinct_counts(df, cols, max_ndv)
+    n = df.count()
+    rows = [(c, int(ndv[c]), ndv[c] <= max_ndv and ndv[c] / max(n, 1) <= max_ratio) for c in cols]
+    return df.sparkSession.createDataFrame(rows, "column_name string, n_distinct bigint, eligible boolean")
 
 
 # -------------------------------------------------------------------------- E10

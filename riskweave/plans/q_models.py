@@ -150,7 +150,21 @@ def score_batch(spark, sf_dir):
     return sc.score_batch(model, data.encoder, feats, K, t)
 
 
-@register("score_features", None)
+def _score_features_sql() -> str:
+    from riskweave.plans.q_features import _HISTORY_SQL
+
+    body = _HISTORY_SQL.format(view="events_txn") + """
+SELECT e.transaction_id,
+       hour(e.transaction_time)::BIGINT AS event_hour,
+       (isodow(e.transaction_time) - 1)::BIGINT AS event_day_of_week,
+       CASE WHEN isodow(e.transaction_time) >= 6 THEN 1 ELSE 0 END::BIGINT AS is_weekend,
+       round(CASE WHEN e.amount IS NULL THEN NULL ELSE ln(1 + greatest(e.amount, 0.0)) END, 6) AS amount_log1p,
+       h.* EXCLUDE (transaction_id)
+FROM events_txn e JOIN h ON e.transaction_id = h.transaction_id"""
+    return td.with_views(body, "events_txn")
+
+
+@register("score_features", _score_features_sql(), overrides={"user_amount_std_prior": 4})
 def score_features(spark, sf_dir):
     """Request rows without a target get the training features."""
     from riskweave.operators import features as fe

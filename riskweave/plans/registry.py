@@ -52,6 +52,7 @@ def load_all() -> dict[str, RegisteredQuery]:
         q_models,
         q_anomaly,
         q_streaming,
+        q_sources,
     )
 
     return REGISTRY
