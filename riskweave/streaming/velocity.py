@@ -34,10 +34,17 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select("user_id", start.alias("window_start"), "txn_count")
 
 
-def velocity_stream(stream: DataFrame, user: str, ts: str, watermark: str = "1 hour") -> DataFrame:
+def velocity_stream(
+    stream: DataFrame, user: str, ts: str, watermark: str = "1 hour", end_marker: str | None = None
+) -> DataFrame:
     """Streaming hourly counts with a watermark (append mode emits a window
     once the watermark passes its end). Wall-clock (NTZ) times are read as
     session-time-zone timestamps, which watermarks require."""
     if stream.schema[ts].dataType.typeName() == "timestamp_ntz":
         stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
-    return hourly_counts(stream.withWatermark(ts, watermark), user, ts)
+    timed = stream.withWatermark(ts, watermark)
+    if end_marker:  # the marker only moves event time forward
+        from riskweave.streaming.source import drop_marker
+
+        timed = drop_marker(timed, ts, end_marker)
+    return hourly_counts(timed, user, ts)
