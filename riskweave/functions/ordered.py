@@ -78,11 +78,13 @@ def ordered_prefix(
     groups = groups or []
     names = list(weights)
     raw = df.where(F.col(value).isNotNull())
-    n_groups = 1
-    if groups:
-        n_groups = max(1, raw.select(*groups).distinct().limit(MAX_BROADCAST_GROUPS + 1).count())
-    buckets = max(2, min(buckets, MAX_OFFSET_ROWS // n_groups))
+    # one pass gives both the groups and their bounds; with many groups
+    # every group keeps fewer bounds so that groups × buckets stays bounded
     bounds = _bounds_by_group(raw, value, groups, buckets)
+    per_group = max(2, min(buckets, MAX_OFFSET_ROWS // max(1, len(bounds))))
+    if per_group < buckets:
+        step = buckets / per_group
+        bounds = {k: [bs[int(i * step)] for i in range(1, per_group) if int(i * step) < len(bs)] for k, bs in bounds.items()}
 
     keys = sorted(bounds, key=lambda k: tuple((x is None, str(x)) for x in k))
     index = {k: i for i, k in enumerate(keys)}

@@ -108,12 +108,11 @@ def fit_encoder(
     enc = FittedEncoder(list(numeric))
     if not categorical:
         return enc
-    n = train.count()
+    one = train.agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(col(c).isNull()).alias(c) for c in categorical]).first()
+    n = one["__n"]
+    nulls = {c: one[c] for c in categorical}
     counts = category_counts(train, categorical).cache()
     try:
-        nulls = dict(
-            train.agg(*[F.count_if(col(c).isNull()).alias(c) for c in categorical]).first().asDict()
-        )
         modes = {r["column_name"]: r["mode"] for r in train_modes(counts).collect()}
         vocab = counts.where(F.col("value").isNotNull()).limit(MAX_VOCABULARY + 1).collect()
     finally:
