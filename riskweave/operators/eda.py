@@ -234,8 +234,7 @@ def group_candidates(
     from riskweave.operators.features import distinct_counts
 
     # approximate distinct counts first; exact ones only near the limit
-    ndv = distinct_counts(df, cols, max_ndv)
-    n = df.count()
+    ndv, n = distinct_counts(df, cols, max_ndv, with_rows=True)
     rows = [(c, int(ndv[c]), ndv[c] <= max_ndv and ndv[c] / max(n, 1) <= max_ratio) for c in cols]
     return df.sparkSession.createDataFrame(rows, "column_name string, n_distinct bigint, eligible boolean")
 
