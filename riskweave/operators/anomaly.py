@@ -12,7 +12,8 @@ Isolation forest on Spark:
   (random feature among non-constant ones, uniform split, depth limit
   ceil(log2 ψ)); the forest is a table of at most trees × (2ψ − 1) nodes.
 * **Score**: the forest is broadcast once and evaluated with NumPy on
-  Arrow batches (``mapInPandas``), level by level for all rows of a batch.
+  Arrow batches (``mapInPandas``), one depth level at a time for all trees
+  and all rows of a batch together.
 """
 
 from __future__ import annotations
@@ -168,22 +169,22 @@ def raw_scores(model: IsolationForestModel, df: DataFrame, keep: list[str], out:
     def run(batches):
         feat, thr, left, right, val = arrays.value
         n_trees = feat.shape[0]
+        tree_ix = np.arange(n_trees)[:, None]
         for pdf in batches:
             X = pdf[[f"__f{i}" for i in range(len(feats))]].to_numpy(dtype="float64")
             m = len(X)
-            rows = np.arange(m)
-            total = np.zeros(m)
-            for t in range(n_trees):
-                node = np.zeros(m, dtype="int64")
-                while True:
-                    f = feat[t, node]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    xv = X[rows, np.where(inner, f, 0)]
-                    nxt = np.where(xv < thr[t, node], left[t, node], right[t, node])
-                    node = np.where(inner, nxt, node)
-                total += val[t, node]
+            cols = np.arange(m)[None, :]
+            # all trees at once: node[t, i] is row i's current node in tree t
+            node = np.zeros((n_trees, m), dtype="int64")
+            while True:
+                f = feat[tree_ix, node]
+                inner = f >= 0
+                if not inner.any():
+                    break
+                xv = X[cols, np.where(inner, f, 0)]
+                nxt = np.where(xv < thr[tree_ix, node], left[tree_ix, node], right[tree_ix, node])
+                node = np.where(inner, nxt, node)
+            total = val[tree_ix, node].sum(axis=0)
             score = np.power(2.0, -(total / n_trees) / c_psi) if c_psi > 0 else np.full(m, 0.5)
             res = pdf[keep].copy()
             res[out] = score
