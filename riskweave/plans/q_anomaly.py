@@ -133,7 +133,7 @@ def anomaly_comparison(spark, sf_dir):
     splits, and the ensemble, as one metric table."""
     data, forest = _forest(spark, sf_dir)
     train = data.df.where("split = 'train'")
-    base = md.fit_baseline(train, data.features, T)
+    base = wf.fitted_bundle(spark, sf_dir, data, "baseline")
     sup = md.score(base, data.df, data.features, [K, T, "split"])
     raw = an.raw_scores(forest, data.df, [K])
     b = raw.join(data.df.select(K, "split"), K).where("split = 'train'").agg(F.min("anomaly_raw"), F.max("anomaly_raw")).first()

@@ -23,8 +23,7 @@ K = "transaction_id"
 
 def _baseline(spark, sf_dir):
     data = wf.prepare_model_data(spark, sf_dir)
-    train = data.df.where("split = 'train'")
-    return data, md.fit_baseline(train, data.features, T)
+    return data, wf.fitted_bundle(spark, sf_dir, data, "baseline")
 
 
 @register(
@@ -95,7 +94,7 @@ def model_roundtrip(spark, sf_dir):
 def model_gbt(spark, sf_dir):
     """M5: boosting with the first grid point; test-split metric row."""
     data = wf.prepare_model_data(spark, sf_dir)
-    model = md.fit_gbt(data.df.where("split = 'train'"), data.features, T, md.GBT_GRID[0])
+    model = wf.fitted_bundle(spark, sf_dir, data, "gbt", md.GBT_GRID[0])
     s = md.score(model, data.df.where("split = 'test'"), data.features, [K, T])
     from riskweave.operators.metrics import evaluate
 
@@ -108,8 +107,9 @@ def model_grid_search(spark, sf_dir):
     one row per candidate plus the chosen one's test metrics."""
     data = wf.prepare_model_data(spark, sf_dir)
     train, valid = data.df.where("split = 'train'"), data.df.where("split = 'valid'")
-    res = md.tune_gbt(train, valid, data.features, T)
-    final = md.retrain_final(train, valid, data.features, T, res.best_params)
+    res = md.tune_gbt(train, valid, data.features, T, fit=lambda p: wf.fitted_bundle(spark, sf_dir, data, "gbt", p))
+    # M8: refit on train ∪ valid with the chosen parameters
+    final = wf.fitted_bundle(spark, sf_dir, data, "gbt", res.best_params, splits=("train", "valid"))
     s = md.score(final, data.df.where("split = 'test'"), data.features, [K, T])
     from riskweave.operators.metrics import evaluate
 
@@ -128,7 +128,7 @@ def model_comparison(spark, sf_dir):
 
     data, base = _baseline(spark, sf_dir)
     test = data.df.where("split = 'test'")
-    gbt = md.fit_gbt(data.df.where("split = 'train'"), data.features, T, md.GBT_GRID[0])
+    gbt = wf.fitted_bundle(spark, sf_dir, data, "gbt", md.GBT_GRID[0])
     return md.comparison(
         spark,
         {
@@ -316,7 +316,7 @@ def explain_permutation(spark, sf_dir):
 def explain_native(spark, sf_dir):
     """boosting's own feature importances."""
     data = wf.prepare_model_data(spark, sf_dir)
-    model = md.fit_gbt(data.df.where("split = 'train'"), data.features, T, md.GBT_GRID[0])
+    model = wf.fitted_bundle(spark, sf_dir, data, "gbt", md.GBT_GRID[0])
     return ex.native_importance(spark, model, data.features)
 
 
