@@ -170,7 +170,7 @@ def histogram(
     stats = base.groupBy("__g").agg(
         F.min("v").alias("lo0"),
         F.max("v").alias("hi0"),
-        F.approx_count_distinct("v", 0.01).alias("__approx"),
+        F.approx_count_distinct("v").alias("__approx"),
         F.count("v").alias("__count"),
     )
     # exact distinct count only where it can change the bin count (few values)

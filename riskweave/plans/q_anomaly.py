@@ -33,7 +33,9 @@ def anomaly_score(spark, sf_dir):
     """Y3+Y4: raw forest scores of every row, min-max normalised with the
     train bounds (clipped) and, for comparison, per batch."""
     data, model = _forest(spark, sf_dir)
-    raw = an.raw_scores(model, data.df, [K, T, "split"])
+    # forest scoring (200 trees per row) feeds both the bounds and the output:
+    # run it once and cut the lineage (reliable checkpoint, shared folder)
+    raw = an.raw_scores(model, data.df, [K, T, "split"]).checkpoint()
     b = raw.where("split = 'train'").agg(F.min("anomaly_raw"), F.max("anomaly_raw")).first()
     out = an.minmax(raw, "anomaly_raw", "anomaly_score", bounds=(b[0], b[1]))
     return an.minmax(out, "anomaly_raw", "anomaly_score_batch")
@@ -132,13 +134,14 @@ def anomaly_comparison(spark, sf_dir):
     """Y10+Y11: supervised, forest on holdout (valid ∪ test), forest on all
     splits, and the ensemble, as one metric table."""
     data, forest = _forest(spark, sf_dir)
-    train = data.df.where("split = 'train'")
     base = wf.fitted_bundle(spark, sf_dir, data, "baseline")
     sup = md.score(base, data.df, data.features, [K, T, "split"])
     raw = an.raw_scores(forest, data.df, [K])
-    b = raw.join(data.df.select(K, "split"), K).where("split = 'train'").agg(F.min("anomaly_raw"), F.max("anomaly_raw")).first()
-    anom = an.minmax(raw, "anomaly_raw", "anomaly_score", bounds=(b[0], b[1]))
-    both = sup.join(anom, K)
+    # both scores of every row are reused by the bounds, two quantiles and
+    # four metric rows: compute them once (reliable checkpoint, shared folder)
+    both = sup.join(raw, K).checkpoint()
+    b = both.where("split = 'train'").agg(F.min("anomaly_raw"), F.max("anomaly_raw")).first()
+    both = an.minmax(both, "anomaly_raw", "anomaly_score", bounds=(b[0], b[1]))
     train_scores = both.where("split = 'train'")
     t_anom = an.quantile_threshold(train_scores, "anomaly_score", 0.95).first()[0]
     holdout = both.where("split IN ('valid', 'test')")
