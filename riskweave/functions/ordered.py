@@ -39,19 +39,27 @@ def bucket_expr(value: Column, bounds: list[float]) -> Column:
     return tree(0, len(bounds))
 
 
-def _bounds_by_group(df: DataFrame, value: str, groups: list[str], buckets: int) -> dict[tuple, list[float]]:
+def _bounds_by_group(df: DataFrame, value: str, groups: list[str], buckets: int) -> dict[tuple, tuple[list[float], float, float]]:
+    """Per group: approximate quantile bounds, min and max (one aggregate)."""
     probs = [i / buckets for i in range(1, buckets)]
-    agg = F.percentile_approx(F.col(value), probs, max(10_000, 10 * buckets)).alias("b")
-    rows = (df.groupBy(*groups).agg(agg) if groups else df.agg(agg)).limit(MAX_BROADCAST_GROUPS + 1).collect()
+    aggs = [
+        F.percentile_approx(F.col(value), probs, max(10_000, 10 * buckets)).alias("b"),
+        F.min(F.col(value)).cast("double").alias("lo"),
+        F.max(F.col(value)).cast("double").alias("hi"),
+    ]
+    rows = (df.groupBy(*groups).agg(*aggs) if groups else df.agg(*aggs)).limit(MAX_BROADCAST_GROUPS + 1).collect()
     if len(rows) > MAX_BROADCAST_GROUPS:
         raise ValueError(f"ordered_prefix supports at most {MAX_BROADCAST_GROUPS} groups")
-    return {tuple(r[g] for g in groups): list(r["b"] or []) for r in rows}
+    return {tuple(r[g] for g in groups): (list(r["b"] or []), r["lo"], r["hi"]) for r in rows if r["lo"] is not None}
 
 
-def _squash(v: Column) -> Column:
-    """Monotone map of the reals into (0.25, 0.75) (Java's atan is
-    semi-monotonic, so ties may merge but order never flips)."""
-    return F.atan(v) / F.lit(2 * math.pi) + F.lit(0.5)
+def _unit_key(v, gi, lo, hi):
+    """Group index plus the value scaled into [0.1, 0.9] by its group's
+    min/max: monotone non-decreasing in the value, groups kept apart, and
+    precise to about (hi − lo)·1e-16 (an ``atan`` squash loses all
+    resolution for values such as epoch microseconds). Works on Columns and
+    on Python floats alike."""
+    return gi + 0.1 + 0.8 * ((v - lo) / (hi - lo))
 
 
 def ordered_prefix(
@@ -69,43 +77,60 @@ def ordered_prefix(
 
     Bucketing: bounds are approximate quantiles of the raw rows per group,
     so a bucket holds about rows/buckets rows before the distinct step (and
-    fewer after). Every row gets the key ``group_index + squash(value)``,
-    which orders groups apart and values within a group, and one JVM
-    ``Bucketizer`` (binary search over all groups' bounds) assigns buckets.
+    fewer after). Every row gets the key ``group_index + 0.1 + 0.8 ·
+    (value − min) / (max − min)`` with its group's min and max, which keeps
+    groups apart and is monotone in the value, and one JVM ``Bucketizer``
+    (binary search over all groups' bounds) assigns buckets.
     """
     from pyspark.ml.feature import Bucketizer
 
     groups = groups or []
     names = list(weights)
     raw = df.where(F.col(value).isNotNull())
-    # one pass gives both the groups and their bounds; with many groups
-    # every group keeps fewer bounds so that groups × buckets stays bounded
+    # one pass gives the groups, their bounds and their value ranges; with
+    # many groups every group keeps fewer bounds so that groups × buckets
+    # stays bounded
     bounds = _bounds_by_group(raw, value, groups, buckets)
     per_group = max(2, min(buckets, MAX_OFFSET_ROWS // max(1, len(bounds))))
     if per_group < buckets:
         step = buckets / per_group
-        bounds = {k: [bs[int(i * step)] for i in range(1, per_group) if int(i * step) < len(bs)] for k, bs in bounds.items()}
+        bounds = {
+            k: ([bs[int(i * step)] for i in range(1, per_group) if int(i * step) < len(bs)], lo, hi)
+            for k, (bs, lo, hi) in bounds.items()
+        }
 
     keys = sorted(bounds, key=lambda k: tuple((x is None, str(x)) for x in k))
     index = {k: i for i, k in enumerate(keys)}
     splits = {float("-inf"), float("inf")}
-    for k, bs in bounds.items():
+    for k, (bs, lo, hi) in bounds.items():
         gi = index[k]
-        splits.add(gi + 0.9)
-        for b in bs:
-            if b is not None and not math.isnan(b):
-                splits.add(gi + math.atan(b) / (2 * math.pi) + 0.5)
+        splits.add(gi + 0.95)
+        if hi > lo:
+            for b in bs:
+                if b is not None and not math.isnan(b):
+                    splits.add(_unit_key(float(b), gi, lo, hi))
     distinct = raw.groupBy(*groups, value).agg(*[F.sum(c).alias(n) for n, c in weights.items()])
     if groups:
         gfields = raw.select(*groups).schema.fields
-        gschema = ", ".join(f"__g{i} {f.dataType.simpleString()}" for i, f in enumerate(gfields)) + ", __gi int"
-        gtab = distinct.sparkSession.createDataFrame([(*k, i) for k, i in index.items()], gschema)
+        gschema = (
+            ", ".join(f"__g{i} {f.dataType.simpleString()}" for i, f in enumerate(gfields))
+            + ", __gi int, __lo double, __hi double"
+        )
+        gtab = distinct.sparkSession.createDataFrame(
+            [(*k, i, bounds[k][1], bounds[k][2]) for k, i in index.items()], gschema
+        )
         # one row per group (≤ MAX_BROADCAST_GROUPS, checked above)
         cond = [distinct[g].eqNullSafe(gtab[f"__g{i}"]) for i, g in enumerate(groups)]
         distinct = distinct.join(F.broadcast(gtab), cond).drop(*[f"__g{i}" for i in range(len(groups))])
     else:
-        distinct = distinct.withColumn("__gi", F.lit(0))
-    distinct = distinct.withColumn("__key", F.col("__gi").cast("double") + _squash(F.col(value).cast("double")))
+        lo, hi = bounds[()][1:] if () in bounds else (0.0, 0.0)
+        distinct = distinct.withColumns({"__gi": F.lit(0), "__lo": F.lit(lo), "__hi": F.lit(hi)})
+    v = F.col(value).cast("double")
+    distinct = distinct.withColumn(
+        "__key",
+        F.when(F.col("__hi") > F.col("__lo"), _unit_key(v, F.col("__gi").cast("double"), F.col("__lo"), F.col("__hi")))
+        .otherwise(F.col("__gi").cast("double") + 0.5),
+    ).drop("__lo", "__hi")
     keyed = (
         Bucketizer(splits=sorted(splits), inputCol="__key", outputCol="__bucket", handleInvalid="keep")
         .transform(distinct)

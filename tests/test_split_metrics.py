@@ -78,3 +78,46 @@ def test_auc_symmetry(spark):
     a = mt.ranking_metrics(mt.score_table(df, "y_true", "score")).first()["roc_auc"]
     b = mt.ranking_metrics(mt.score_table(df.withColumn("score", 1 - F.col("score")), "y_true", "score")).first()["roc_auc"]
     assert a + b == pytest.approx(1.0)
+
+
+def test_kth_by_range_matches_sort(spark):
+    """Text keys (with a hot duplicate and NULLs) ranked without one task."""
+    from riskweave.operators.split import kth_by_range
+
+    keys = [f"id{i:04d}" for i in range(0, 500, 3)] + ["id0100"] * 40 + [None] * 5
+    df = spark.createDataFrame([(k,) for k in keys], "tie string")
+    ordered = sorted([k for k in keys if k is not None]) + [None] * 5
+    for k in (1, 7, 40, 100, len(keys) - 6, len(keys) - 5, len(keys)):
+        assert kth_by_range(df, "tie", k, partitions=4) == ordered[k - 1], k
+
+
+def test_time_split_text_ids_with_tied_times(spark):
+    """Time ties broken by text ids: sizes follow P1 and train precedes valid."""
+    import datetime as dt
+
+    from riskweave.operators.split import resolve_split_sizes, time_split
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(f"t{i:03d}", t0 + dt.timedelta(hours=i // 25)) for i in range(100)]
+    df = spark.createDataFrame(rows, "tid string, ts timestamp")
+    res = time_split(df, "ts", "tid")
+    got = {r["split"]: r["n"] for r in res.df.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    tr, va, te = resolve_split_sizes(100)
+    assert got == {"train": tr, "valid": va - tr, "test": te}
+    last_train = res.df.where("split = 'train'").agg(F.max("tid")).first()[0]
+    first_valid = res.df.where("split = 'valid'").agg(F.min("tid")).first()[0]
+    assert last_train < first_valid
+
+
+def test_prefix_buckets_keep_resolution_for_epoch_micros(spark):
+    """Bucket keys of large values (epoch µs) stay distinct, so the ordered
+    prefix spreads a time column over many buckets instead of one task."""
+    from riskweave.functions import ordered as od
+    from riskweave.functions.columns import epoch_micros
+
+    df = td.events_txn(spark, SF001).select(epoch_micros(F.col("transaction_time"), None).alias("us"))
+    bounds, lo, hi = od._bounds_by_group(df.where("us IS NOT NULL"), "us", [], 256)[()]
+    keys = {od._unit_key(float(b), 0, lo, hi) for b in bounds}
+    assert len(keys) == len(set(bounds)) > 200
+    assert all(0.1 <= k <= 0.9 for k in keys)
+    assert sorted(keys) == [od._unit_key(float(b), 0, lo, hi) for b in sorted(set(bounds))]
