@@ -2,12 +2,14 @@
 
 Isolation forest on Spark:
 
-* **Subsample** (ψ = min(256, n) rows per tree, without replacement): each
-  row gets a seeded hash per tree; rows below a cut-off that keeps about
-  2ψ + 64 candidates per tree are emitted as (tree, row) pairs and the ψ
-  smallest hashes per tree are kept (``row_number`` over a few hundred rows
-  per tree). If a tree ever gets fewer than ψ candidates, the cut-off is
-  lifted and the choice is made over all rows, so the sample is exact.
+* **Subsample** (ψ = min(256, n) rows per tree, without replacement): a
+  seeded row hash gates rows into a pool of about trees × (2ψ + 64) rows,
+  whatever the input size; each pooled row gets a seeded hash per tree,
+  rows below a cut-off that keeps about 2ψ + 64 candidates per tree are
+  emitted as (tree, row) pairs and the ψ smallest hashes per tree are kept
+  (``row_number`` over a few hundred rows per tree). If a tree gets fewer
+  than ψ candidates, pool and cut-off widen fourfold and the draw repeats,
+  so every tree gets exactly ψ rows.
 * **Fit**: ``groupBy(tree).applyInPandas`` grows each tree on its ψ rows
   (random feature among non-constant ones, uniform split, depth limit
   ceil(log2 ψ)); the forest is a table of at most trees × (2ψ − 1) nodes.
@@ -115,17 +117,35 @@ class IsolationForestModel:
         return feat, thr, left, right, val
 
 
-def _subsample(df: DataFrame, key: str, n: int, psi: int, trees: int, seed: int) -> DataFrame:
-    frac = 1.0 if n == 0 else min(1.0, (2 * psi + 64) / n)
-    u = (F.pmod(F.xxhash64(F.col(key).cast("string"), F.col("__t"), F.lit(seed)), F.lit(2**62)) / float(2**62))
-    with_t = df.withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    cand = with_t.withColumn("__u", u).where(F.col("__u") < F.lit(frac)) if frac < 1.0 else with_t.withColumn("__u", u)
+def _subsample(df: DataFrame, key: str, n: int, psi: int, trees: int, seed: int, widen: float = 1.0) -> DataFrame:
+    """ψ rows per tree, uniform without replacement, in two seeded steps.
+
+    A row-level hash first gates rows into a pool of about
+    trees × (2ψ + 64) rows (one hash per input row; the pool size does not
+    grow with the input). Only pooled rows are copied per tree; a tree takes
+    the pooled rows whose per-tree hash is below a cut-off that keeps about
+    2ψ + 64 candidates, and the ψ smallest of those. A uniform subset of a
+    uniform pool is a uniform subset of the input. If a tree gets fewer
+    than ψ candidates, pool and cut-off widen fourfold and the draw repeats
+    (up to the whole input), so every tree gets exactly ψ rows.
+    """
+    want = (2 * psi + 64) * widen
+    pool_p = 1.0 if n == 0 else min(1.0, trees * want / n)
+    pool_n = max(1.0, pool_p * n)
+    frac = min(1.0, want / pool_n)
+    kstr = F.col(key).cast("string")
+    gate = F.pmod(F.xxhash64(kstr, F.lit(seed), F.lit(-1)), F.lit(2**62)) / float(2**62)
+    pooled = df.where(gate < F.lit(pool_p)) if pool_p < 1.0 else df
+    u = F.pmod(F.xxhash64(kstr, F.col("__t"), F.lit(seed)), F.lit(2**62)) / float(2**62)
+    with_t = pooled.withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("__u", u)
+    cand = with_t.where(F.col("__u") < F.lit(frac)) if frac < 1.0 else with_t
     w = Window.partitionBy("__t").orderBy("__u", F.col(key))
     picked = cand.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= psi)
-    if frac < 1.0:
+    if pool_p < 1.0 or frac < 1.0:
         short = picked.groupBy("__t").count().where(F.col("count") < psi).limit(1).count()
-        if short:
-            return _subsample(df, key, 0, psi, trees, seed)
+        missing = picked.select("__t").distinct().count() < trees
+        if short or missing:
+            return _subsample(df, key, n, psi, trees, seed, widen * 4)
     return picked.withColumnRenamed("__t", "__tree")
 
 

@@ -78,3 +78,16 @@ def test_scan_prunes_columns(spark):
     df = td.events_txn(spark, SF001).select("transaction_id", "amount")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_forest_subsample_pool_gives_psi_distinct_rows_per_tree(spark):
+    """Pooled draw: every tree gets exactly ψ distinct rows; a pool that is
+    too small (n overstated) widens until every tree is full."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(40_000).withColumnRenamed("id", "k")
+    for n in (40_000, 10**9):  # the second forces repeated widening
+        s = an._subsample(df, "k", n, 256, 10, 42)
+        per = {r["__tree"]: (r["n"], r["d"]) for r in s.groupBy("__tree").agg(F.count("*").alias("n"), F.count_distinct("k").alias("d")).collect()}
+        assert sorted(per) == list(range(10))
+        assert all(v == (256, 256) for v in per.values()), per
