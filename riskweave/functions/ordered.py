@@ -20,6 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 1024
+# distinct rows per bucket the bucket count aims at (a bucket is sorted by
+# one task); small groups get one bucket, large ones up to DEFAULT_BUCKETS
+ROWS_PER_BUCKET = 200_000
 MAX_BROADCAST_GROUPS = 10_000
 MAX_OFFSET_ROWS = 1 << 20
 
@@ -39,18 +42,23 @@ def bucket_expr(value: Column, bounds: list[float]) -> Column:
     return tree(0, len(bounds))
 
 
-def _bounds_by_group(df: DataFrame, value: str, groups: list[str], buckets: int) -> dict[tuple, tuple[list[float], float, float]]:
-    """Per group: approximate quantile bounds, min and max (one aggregate)."""
+def _bounds_by_group(
+    df: DataFrame, value: str, groups: list[str], buckets: int
+) -> dict[tuple, tuple[list[float], float, float, int]]:
+    """Per group: approximate quantile bounds, min, max and row count (one aggregate)."""
     probs = [i / buckets for i in range(1, buckets)]
     aggs = [
         F.percentile_approx(F.col(value), probs, max(10_000, 10 * buckets)).alias("b"),
         F.min(F.col(value)).cast("double").alias("lo"),
         F.max(F.col(value)).cast("double").alias("hi"),
+        F.count(F.col(value)).alias("n"),
     ]
     rows = (df.groupBy(*groups).agg(*aggs) if groups else df.agg(*aggs)).limit(MAX_BROADCAST_GROUPS + 1).collect()
     if len(rows) > MAX_BROADCAST_GROUPS:
         raise ValueError(f"ordered_prefix supports at most {MAX_BROADCAST_GROUPS} groups")
-    return {tuple(r[g] for g in groups): (list(r["b"] or []), r["lo"], r["hi"]) for r in rows if r["lo"] is not None}
+    return {
+        tuple(r[g] for g in groups): (list(r["b"] or []), r["lo"], r["hi"], r["n"]) for r in rows if r["lo"] is not None
+    }
 
 
 def _unit_key(v, gi, lo, hi):
@@ -68,6 +76,7 @@ def ordered_prefix(
     weights: dict[str, Column],
     groups: list[str] | None = None,
     buckets: int = DEFAULT_BUCKETS,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Distinct (groups, value) rows with ``weights`` summed per value and
     inclusive running sums ``cum_<name>`` in ascending ``value`` order.
@@ -80,7 +89,9 @@ def ordered_prefix(
     fewer after). Every row gets the key ``group_index + 0.1 + 0.8 ·
     (value − min) / (max − min)`` with its group's min and max, which keeps
     groups apart and is monotone in the value, and one JVM ``Bucketizer``
-    (binary search over all groups' bounds) assigns buckets.
+    (binary search over all groups' bounds) assigns buckets. A group gets
+    about rows/``rows_per_bucket`` buckets (at least 1, at most
+    ``buckets``); when every group fits in one bucket no bucketing is done.
     """
     from pyspark.ml.feature import Bucketizer
 
@@ -91,13 +102,17 @@ def ordered_prefix(
     # many groups every group keeps fewer bounds so that groups × buckets
     # stays bounded
     bounds = _bounds_by_group(raw, value, groups, buckets)
-    per_group = max(2, min(buckets, MAX_OFFSET_ROWS // max(1, len(bounds))))
-    if per_group < buckets:
-        step = buckets / per_group
-        bounds = {
-            k: ([bs[int(i * step)] for i in range(1, per_group) if int(i * step) < len(bs)], lo, hi)
-            for k, (bs, lo, hi) in bounds.items()
-        }
+    cap = max(2, min(buckets, MAX_OFFSET_ROWS // max(1, len(bounds))))
+
+    def thin(bs: list[float], n: int) -> list[float]:
+        k = max(1, min(cap, -(-n // max(1, rows_per_bucket))))
+        if k >= len(bs) + 1:
+            return bs
+        step = (len(bs) + 1) / k
+        return [bs[int(round(i * step)) - 1] for i in range(1, k)]
+
+    bounds = {key: (thin(bs, n), lo, hi) for key, (bs, lo, hi, n) in bounds.items()}
+    bucketed = any(bs for bs, _, _ in bounds.values())
 
     keys = sorted(bounds, key=lambda k: tuple((x is None, str(x)) for x in k))
     index = {k: i for i, k in enumerate(keys)}
@@ -131,11 +146,14 @@ def ordered_prefix(
         F.when(F.col("__hi") > F.col("__lo"), _unit_key(v, F.col("__gi").cast("double"), F.col("__lo"), F.col("__hi")))
         .otherwise(F.col("__gi").cast("double") + 0.5),
     ).drop("__lo", "__hi")
-    keyed = (
-        Bucketizer(splits=sorted(splits), inputCol="__key", outputCol="__bucket", handleInvalid="keep")
-        .transform(distinct)
-        .drop("__key", "__gi")
-    )
+    if bucketed:
+        keyed = (
+            Bucketizer(splits=sorted(splits), inputCol="__key", outputCol="__bucket", handleInvalid="keep")
+            .transform(distinct)
+            .drop("__key", "__gi")
+        )
+    else:  # every group fits in one bucket
+        keyed = distinct.withColumn("__bucket", F.lit(0.0)).drop("__key", "__gi")
 
     totals = keyed.groupBy(*groups, "__bucket").agg(*[F.sum(n).alias(f"__t_{n}") for n in names])
     wt = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -164,6 +182,7 @@ def exact_quantiles(
     groups: list[str] | None = None,
     names: list[str] | None = None,
     buckets: int = DEFAULT_BUCKETS,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles per group, one column per prob.
 
@@ -176,7 +195,7 @@ def exact_quantiles(
     if not keep:
         df = df.withColumn("__all", F.lit(0))
     groups = keep or ["__all"]
-    pref = ordered_prefix(df, value, {"c": F.lit(1)}, groups, buckets)
+    pref = ordered_prefix(df, value, {"c": F.lit(1)}, groups, buckets, rows_per_bucket)
     totals = pref.groupBy(*groups).agg(F.sum("c").alias("n"))
     # One row per group (bounded by MAX_BROADCAST_GROUPS): joined by broadcast.
     pref = pref.join(F.broadcast(totals), groups, "inner")
