@@ -25,6 +25,9 @@ DEFAULT_BUCKETS = 1024
 ROWS_PER_BUCKET = 200_000
 MAX_BROADCAST_GROUPS = 10_000
 MAX_OFFSET_ROWS = 1 << 20
+# cells of the second bucketing level (the JVM Bucketizer gets one split per
+# cell; building it from Python costs about 80 µs per split)
+MAX_REFINED_CELLS = 1 << 16
 
 
 def bucket_expr(value: Column, bounds: list[float]) -> Column:
@@ -70,6 +73,63 @@ def _unit_key(v, gi, lo, hi):
     return gi + 0.1 + 0.8 * ((v - lo) / (hi - lo))
 
 
+def _refine_buckets(keyed: DataFrame, value: str, groups: list[str], rows_per_bucket: int, cells: int) -> DataFrame:
+    """Second bucketing level: each (group, bucket) is cut again by its own
+    approximate quantiles (one grouped aggregate over the distinct rows),
+    into about rows/``rows_per_bucket`` cells, at most ``MAX_REFINED_CELLS``
+    in all. Cells get consecutive ids in (group, bucket, sub-range) order, so
+    the new bucket id stays monotone in the value within a group. The
+    distinct rows are read twice (sub-bounds, then the final plan), so they
+    are checkpointed once (shared folder) instead of re-shuffled."""
+    from pyspark.ml.feature import Bucketizer
+
+    keyed = keyed.checkpoint()
+    sub = max(2, min(1024, MAX_REFINED_CELLS // max(1, cells)))
+    probs = [i / sub for i in range(1, sub)]
+    rows = (
+        keyed.groupBy(*groups, "__bucket")
+        .agg(
+            F.percentile_approx(F.col(value), probs, max(10_000, 10 * sub)).alias("b"),
+            F.min(F.col(value)).cast("double").alias("lo"),
+            F.max(F.col(value)).cast("double").alias("hi"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .collect()
+    )  # ≤ MAX_OFFSET_ROWS rows of ≤ sub bounds, checked by the caller's cap
+    order = sorted(rows, key=lambda r: (tuple((r[g] is None, str(r[g])) for g in groups), r["__bucket"]))
+    splits = {float("-inf"), float("inf")}
+    table = []
+    for bi, r in enumerate(order):
+        lo, hi, bs = r["lo"], r["hi"], list(r["b"] or [])
+        k = max(1, min(sub, -(-r["n"] // max(1, rows_per_bucket))))
+        step = (len(bs) + 1) / k
+        chosen = [bs[int(round(i * step)) - 1] for i in range(1, k)] if k < len(bs) + 1 else bs
+        splits.add(bi + 0.95)
+        if hi > lo:
+            for b in chosen:
+                if b is not None and not math.isnan(b):
+                    splits.add(_unit_key(float(b), bi, lo, hi))
+        table.append((*[r[g] for g in groups], r["__bucket"], bi, lo, hi))
+    gfields = keyed.select(*groups).schema.fields
+    schema = ", ".join(
+        [f"__rg{i} {f.dataType.simpleString()}" for i, f in enumerate(gfields)]
+        + ["__rb double", "__bi int", "__blo double", "__bhi double"]
+    )
+    btab = keyed.sparkSession.createDataFrame(table, schema)
+    cond = [keyed[g].eqNullSafe(btab[f"__rg{i}"]) for i, g in enumerate(groups)] + [keyed["__bucket"] == btab["__rb"]]
+    # one row per (group, bucket): at most MAX_OFFSET_ROWS rows
+    j = keyed.join(F.broadcast(btab), cond)
+    v = F.col(value).cast("double")
+    bi = F.col("__bi").cast("double")
+    j = j.withColumn(
+        "__key2",
+        F.when(F.col("__bhi") > F.col("__blo"), _unit_key(v, bi, F.col("__blo"), F.col("__bhi"))).otherwise(bi + 0.5),
+    )
+    out = Bucketizer(splits=sorted(splits), inputCol="__key2", outputCol="__bucket2", handleInvalid="keep").transform(j)
+    drop = [f"__rg{i}" for i in range(len(groups))] + ["__rb", "__bi", "__blo", "__bhi", "__key2", "__bucket"]
+    return out.drop(*drop).withColumnRenamed("__bucket2", "__bucket")
+
+
 def ordered_prefix(
     df: DataFrame,
     value: str,
@@ -111,6 +171,9 @@ def ordered_prefix(
         step = (len(bs) + 1) / k
         return [bs[int(round(i * step)) - 1] for i in range(1, k)]
 
+    # a group whose buckets would still be far above the target size gets a
+    # second, per-bucket level below (only at very large inputs)
+    refine = any(n > 4 * rows_per_bucket * (min(len(bs), cap - 1) + 1) for bs, _, _, n in bounds.values())
     bounds = {key: (thin(bs, n), lo, hi) for key, (bs, lo, hi, n) in bounds.items()}
     bucketed = any(bs for bs, _, _ in bounds.values())
 
@@ -154,6 +217,9 @@ def ordered_prefix(
         )
     else:  # every group fits in one bucket
         keyed = distinct.withColumn("__bucket", F.lit(0.0)).drop("__key", "__gi")
+    if refine:
+        cells = sum(len(bs) + 1 for bs, _, _ in bounds.values())
+        keyed = _refine_buckets(keyed, value, groups, rows_per_bucket, cells)
 
     totals = keyed.groupBy(*groups, "__bucket").agg(*[F.sum(n).alias(f"__t_{n}") for n in names])
     wt = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -123,27 +123,34 @@ def test_prefix_buckets_keep_resolution_for_epoch_micros(spark):
     assert sorted(keys) == [od._unit_key(float(b), 0, lo, hi) for b in sorted(set(bounds))]
 
 
-@pytest.mark.parametrize("rows_per_bucket", [7, 10**9])
-def test_ordered_prefix_and_quantiles_match_brute_force(spark, rows_per_bucket):
-    """Many buckets (7 rows each) and a single bucket give the same exact
-    running sums and quantiles as pandas, per group, with ties and NULLs."""
+@pytest.mark.parametrize("rows_per_bucket,buckets", [(7, 1024), (10**9, 1024), (5, 4)])
+def test_ordered_prefix_and_quantiles_match_brute_force(spark, rows_per_bucket, buckets, monkeypatch):
+    """Many buckets (7 rows each), a single bucket, and a capped first level
+    that needs the second (per-bucket) level give the same exact running
+    sums and quantiles as pandas, per group, with ties and NULLs."""
     import numpy as np
     import pandas as pd
 
+    from riskweave.functions import ordered as od
     from riskweave.functions.ordered import exact_quantiles, ordered_prefix
 
+    calls = []
+    real = od._refine_buckets
+    monkeypatch.setattr(od, "_refine_buckets", lambda *a: calls.append(1) or real(*a))
     rng = np.random.default_rng(5)
     g = rng.integers(0, 3, 600)
     v = np.round(rng.normal(1e15, 1e9, 600) / 1e6) * 1e6  # large values with ties
     v[::50] = np.nan
     pdf = pd.DataFrame({"g": g, "v": v})
     df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None)))
-    got = ordered_prefix(df, "v", {"c": F.lit(1)}, ["g"], rows_per_bucket=rows_per_bucket).toPandas()
+    got = ordered_prefix(df, "v", {"c": F.lit(1)}, ["g"], buckets=buckets, rows_per_bucket=rows_per_bucket).toPandas()
     exp = pdf.dropna().groupby(["g", "v"]).size().rename("c").reset_index().sort_values(["g", "v"])
     exp["cum_c"] = exp.groupby("g")["c"].cumsum()
     got = got.sort_values(["g", "v"]).reset_index(drop=True)
     assert got["cum_c"].tolist() == exp["cum_c"].tolist()
-    q = exact_quantiles(df, "v", [0.25, 0.5, 0.95], ["g"], rows_per_bucket=rows_per_bucket).toPandas().set_index("g")
+    q = exact_quantiles(df, "v", [0.25, 0.5, 0.95], ["g"], buckets=buckets, rows_per_bucket=rows_per_bucket)
+    q = q.toPandas().set_index("g")
     for key, part in pdf.dropna().groupby("g"):
         for p, name in ((0.25, "q25"), (0.5, "q50"), (0.95, "q95")):
             assert q.loc[key, name] == pytest.approx(part["v"].quantile(p), rel=1e-12)
+    assert bool(calls) == (buckets == 4)  # only the capped case needs the second level
