@@ -71,7 +71,7 @@ def prepare_model_data(spark: SparkSession, sf_dir: str, reuse: bool = True) ->
 
     if not reuse:
         return _fit_model_data(spark, sf_dir)
-    key = json.dumps({"v": ARTIFACT_VERSION, "kind": "processed", "input": _input_fingerprint(sf_dir)}, sort_keys=True)
+    key = json.dumps({"v": ARTIFACT_VERSION, "kind": "processed", "input": _input_fingerprint(sf_dir, spark=spark)}, sort_keys=True)
     path = shared_path(spark, f"artifacts/processed-{hashlib.sha1(key.encode()).hexdigest()[:20]}")
     roles = td.EVENTS_TXN_ROLES
     try:
@@ -103,16 +103,19 @@ def prepare_model_data(spark: SparkSession, sf_dir: str, reuse: bool = True) ->
 
 
 # ------------------------------------------------------------ model artifacts
-def _input_fingerprint(sf_dir: str, tables: tuple[str, ...] = ("events",)) -> list:
-    """Identity of the input files (path, size, modification time)."""
+def _input_fingerprint(sf_dir: str, tables: tuple[str, ...] = ("events",), spark: SparkSession | None = None) -> list:
+    """Identity of the input files: (path, size, modification time) on a
+    local file system; on remote stores the sorted part-file names Spark
+    resolves for the table (a rewrite produces new part files)."""
     out = []
     for t in tables:
         path = os.path.join(sf_dir, f"{t}.parquet")
         try:
             st = os.stat(path)
             out.append([os.path.realpath(path), st.st_size, st.st_mtime_ns])
-        except OSError:  # remote stores: the path alone names the input
-            out.append([path])
+        except OSError:
+            files = sorted(spark.read.parquet(path).inputFiles()) if spark is not None else []
+            out.append([path, files])
     return out
 
 
@@ -140,7 +143,7 @@ def fitted_bundle(
             "params": params,
             "splits": list(splits),
             "features": data.features,
-            "input": _input_fingerprint(sf_dir),
+            "input": _input_fingerprint(sf_dir, spark=spark),
         },
         sort_keys=True,
     )
