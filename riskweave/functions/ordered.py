@@ -83,6 +83,9 @@ def _refine_buckets(keyed: DataFrame, value: str, groups: list[str], rows_per_bu
     are checkpointed once (shared folder) instead of re-shuffled."""
     from pyspark.ml.feature import Bucketizer
 
+    from riskweave.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(keyed.sparkSession)  # the cluster's shared folder, if set
     keyed = keyed.checkpoint()
     sub = max(2, min(1024, MAX_REFINED_CELLS // max(1, cells)))
     probs = [i / sub for i in range(1, sub)]
