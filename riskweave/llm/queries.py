@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.line_dedup import LINES_SQL, drop_frequent_lines
 from riskweave.llm.mixing import MIX_SELECT, MIX_SQL, mix
+from riskweave.llm.ngram_join import similar_documents
 from riskweave.llm.packing import pack
 from riskweave.llm.quality import classify
+from riskweave.llm.suffix_dedup import remove_repeats
 from riskweave.llm.tables import read_table
 from riskweave.llm.url_filter import judge
 
@@ -29,6 +31,17 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(read_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
