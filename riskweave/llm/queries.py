@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.llm.chat_format import format_transcripts, learn_from_conversations, transcripts
+from riskweave.llm.embedding_dedup import link_vectors
 from riskweave.llm.line_dedup import LINES_SQL, drop_frequent_lines
 from riskweave.llm.mixing import MIX_SELECT, MIX_SQL, mix
+from riskweave.llm.neighbours import nearest
 from riskweave.llm.ngram_join import similar_documents
 from riskweave.llm.packing import pack
 from riskweave.llm.quality import classify
@@ -36,6 +39,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(read_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
@@ -58,6 +66,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), query_every=20, k=20)
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return format_transcripts(transcripts(conversations), learn_from_conversations(conversations))
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read_table(spark, sf_dir, "documents"))
