@@ -1,21 +1,26 @@
 """Run a registered query against its DuckDB oracle and compare results.
 
 Mirrors the driver's check: same column names, same row count, and the same
-multiset of rows (columns sorted by name, values compared after rounding).
-DuckDB runs in-process on the same Parquet files (no server).
+multiset of rows. Integers, booleans, text and times must be equal; doubles
+may differ by one unit of the last digit the query declares (plus what a double
+of that size can hold). Both sides are compared as Python values, so a column
+of integers with NULLs stays exact. DuckDB runs in-process on the same
+Parquet files (no server).
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
 import math
 import os
 
-import pandas as pd
-
 from riskweave.sources.testdata import TABLES
 
+Result = tuple[list[str], list[tuple]]
+
 
-def duckdb_frame(sql: str, sf_dir: str) -> pd.DataFrame:
+def duckdb_result(sql: str, sf_dir: str) -> Result:
     import duckdb
 
     con = duckdb.connect()
@@ -24,47 +29,69 @@ def duckdb_frame(sql: str, sf_dir: str) -> pd.DataFrame:
         if os.path.exists(path):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     try:
-        return con.execute(sql).df()
+        cur = con.execute(sql)
+        return [d[0] for d in cur.description], cur.fetchall()
     finally:
         con.close()
 
 
+def spark_result(df) -> Result:
+    return df.columns, [tuple(r) for r in df.collect()]
+
+
 def _norm(v):
-    if v is None or v is pd.NA or v is pd.NaT:
-        return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return round(v, 4)
-    if hasattr(v, "item"):
-        return _norm(v.item())
-    if isinstance(v, bool):
-        return int(v)
-    if isinstance(v, int):
-        return float(v)
+        return None if math.isnan(v) else v
+    if isinstance(v, decimal.Decimal):
+        return int(v) if v == v.to_integral_value() and v.as_tuple().exponent >= 0 else float(v)
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat(timespec="microseconds")
+    if isinstance(v, (dt.date, dt.time)):
+        return v.isoformat()
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
-    return str(v)
-
-
-def _rows(df: pd.DataFrame) -> list[tuple]:
-    cols = sorted(df.columns)
-    rows = [tuple(_norm(v) for v in r) for r in df[cols].itertuples(index=False, name=None)]
-    return sorted(rows, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
-
-
-def compare(spark_pdf: pd.DataFrame, oracle_pdf: pd.DataFrame, tol: float = 2e-4) -> tuple[bool, str]:
-    if sorted(spark_pdf.columns) != sorted(oracle_pdf.columns):
-        return False, f"columns differ: {sorted(spark_pdf.columns)} vs {sorted(oracle_pdf.columns)}"
-    if len(spark_pdf) != len(oracle_pdf):
-        return False, f"row count {len(spark_pdf)} vs {len(oracle_pdf)}"
-    a, b = _rows(spark_pdf), _rows(oracle_pdf)
-    for ra, rb in zip(a, b):
-        for x, y in zip(ra, rb):
-            if x == y:
-                continue
-            if isinstance(x, float) and isinstance(y, float) and abs(x - y) <= tol * max(1.0, abs(y)):
-                continue
+    if isinstance(v, dict):
+        return tuple(sorted((k, _norm(x)) for k, x in v.items()))
+    return v
+
+
+def _order(v):
+    """Sort key of a value; doubles count in full only after all other columns."""
+    if isinstance(v, tuple):
+        return (str(tuple), repr(v))
+    return (str(type(v)), 0 if v is None else v)
+
+
+def _rows(result: Result) -> list[tuple]:
+    names, rows = result
+    place = [names.index(c) for c in sorted(names)]
+    out = [tuple(_norm(r[i]) for i in place) for r in rows]
+    exact = lambda r: [_order(v) for v in r if not isinstance(v, float)]
+    rough = lambda r: [round(v, 4) for v in r if isinstance(v, float)]
+    return sorted(out, key=lambda r: ([v is None for v in r], exact(r), rough(r)))
+
+
+def _same(x, y, digits: int) -> bool:
+    if isinstance(x, bool) != isinstance(y, bool):
+        return False
+    if isinstance(x, float) or isinstance(y, float):
+        if not (isinstance(x, (int, float)) and isinstance(y, (int, float))):
+            return False
+        return x == y or abs(x - y) <= 1.01 * 10.0**-digits + 1e-12 * abs(y)
+    if isinstance(x, tuple) and isinstance(y, tuple):
+        return len(x) == len(y) and all(_same(a, b, digits) for a, b in zip(x, y))
+    return type(x) is type(y) and x == y
+
+
+def compare(got: Result, oracle: Result, digits: int = 6, overrides: dict[str, int] | None = None) -> tuple[bool, str]:
+    """Whether both results hold the same rows; ``digits`` is the rounding of doubles."""
+    if sorted(got[0]) != sorted(oracle[0]):
+        return False, f"columns differ: {sorted(got[0])} vs {sorted(oracle[0])}"
+    if len(got[1]) != len(oracle[1]):
+        return False, f"row count {len(got[1])} vs {len(oracle[1])}"
+    digits_of = [(overrides or {}).get(c, digits) for c in sorted(got[0])]
+    for ra, rb in zip(_rows(got), _rows(oracle)):
+        if not all(_same(x, y, d) for x, y, d in zip(ra, rb, digits_of)):
             return False, f"row differs: {ra} vs {rb}"
     return True, "ok"
 
@@ -73,7 +100,7 @@ def check(spark, name: str, sf_dir: str) -> tuple[bool, str]:
     from riskweave.plans.registry import load_all
 
     q = load_all()[name]
-    pdf = q.run(spark, sf_dir).toPandas()
+    got = spark_result(q.run(spark, sf_dir))
     if q.sql is None:
-        return True, f"rows-only ({len(pdf)} rows)"
-    return compare(pdf, duckdb_frame(q.sql, sf_dir))
+        return True, f"rows-only ({len(got[1])} rows)"
+    return compare(got, duckdb_result(q.sql, sf_dir), q.digits, q.overrides)

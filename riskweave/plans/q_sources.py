@@ -36,7 +36,7 @@ def scan_events_csv(spark, sf_dir):
     folder and read back with its declared schema."""
     src = io.load_dataset(spark, os.path.join(sf_dir, "events.parquet"))
     path = shared_path(spark, f"events-csv-{uuid.uuid4().hex}.csv")
-    src.write.option("header", True).csv(path)
+    io.write_csv(src, path)
     return _scan_cols(io.load_dataset(spark, path, schema=src.schema))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import os
 from dataclasses import dataclass
 
@@ -11,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SUPPORTED_SUFFIXES = (".csv", ".parquet")
+# CSV text of a time keeps its microseconds (Spark's default keeps milliseconds),
+# and an empty text is written as "" so that it is not read back as NULL.
+_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+CSV_OPTIONS = {"header": True, "timestampNTZFormat": _TIME, "timestampFormat": _TIME + "[XXX]", "nullValue": "", "emptyValue": '""'}
+CSV_READ_OPTIONS = CSV_OPTIONS | {"nullValue": "\\N", "emptyValue": ""}  # a bare empty cell is NULL either way
 SPLITS = ("train", "valid", "test")
 
 
@@ -26,7 +30,9 @@ def load_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
         if len(inner) == 1:
             suffix = inner.pop()
     if suffix == ".csv":
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+        # Declared schemas go with this module's own text form of times; inference takes any.
+        options = {"header": True} if schema is None else CSV_READ_OPTIONS
+        reader = spark.read.options(**options).option("mode", "PERMISSIVE")
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
         return reader.csv(path)
     if suffix == ".parquet":
@@ -120,15 +126,10 @@ def read_metadata(spark: SparkSession, path: str) -> FeatureMetadata:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV sink with header (small result tables)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
     """JSON sink for result tables."""
     df.write.mode("overwrite").json(path)
 
-
-def dump_json_local(obj, path: str) -> None:
-    """Small driver-side report (already aggregated) to a local JSON file."""
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump(obj, fh, indent=2, default=str)

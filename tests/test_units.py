@@ -77,3 +77,13 @@ def test_parse_request_aliases_and_extras(spark):
     assert rows["t2"]["amount"] is None
     coerced = df.select(sc.coerce_numeric(F.lit("abc")).alias("x")).first()["x"]
     assert coerced == 0.0
+
+
+def test_csv_keeps_microseconds_and_empty_text(spark):
+    import datetime as dt
+
+    rows = [(1, dt.datetime(2024, 1, 1, 1, 2, 3, 575), "a"), (2, None, None), (3, dt.datetime(2024, 1, 1), ""), (4, None, 'x,"y"')]
+    df = spark.createDataFrame(rows, "i long, t timestamp_ntz, s string")
+    path = shared_path(spark, "csv-round-trip.csv")
+    io.write_csv(df, path)
+    assert sorted(map(tuple, io.load_dataset(spark, path, df.schema).collect())) == rows
