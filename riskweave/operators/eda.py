@@ -226,17 +226,20 @@ def group_candidates(
     df: DataFrame, target: str | None, max_ndv: int = 20, max_ratio: float = 0.5
 ) -> DataFrame:
     """Categorical columns other than target and id candidates, with
-    their distinct count and eligibility (ndv ≤ 20 and ndv/rows ≤ 0.5)."""
+    their distinct count and eligibility (ndv ≤ 20 and ndv/rows ≤ 0.5).
+
+    A column with more than ``max_ndv`` values has a NULL count and
+    ``over_limit`` set: it can't be eligible, so it is not counted exactly."""
+    schema = "column_name string, n_distinct bigint, over_limit boolean, eligible boolean"
     excluded = set(user_id_candidates(df)) | set(transaction_id_candidates(df)) | {target}
     cols = [c for c in categorical_columns(df) if c not in excluded]
     if not cols:
-        return df.sparkSession.createDataFrame([], "column_name string, n_distinct bigint, eligible boolean")
+        return df.sparkSession.createDataFrame([], schema)
     from riskweave.operators.features import distinct_counts
 
-    # approximate distinct counts first; exact ones only near the limit
     ndv, n = distinct_counts(df, cols, max_ndv, with_rows=True)
-    rows = [(c, int(ndv[c]), ndv[c] <= max_ndv and ndv[c] / max(n, 1) <= max_ratio) for c in cols]
-    return df.sparkSession.createDataFrame(rows, "column_name string, n_distinct bigint, eligible boolean")
+    rows = [(c, ndv[c], ndv[c] is None, ndv[c] is not None and ndv[c] / max(n, 1) <= max_ratio) for c in cols]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 # -------------------------------------------------------------------------- E10

@@ -138,9 +138,8 @@ def eda_top_values(spark, sf_dir):
     td.with_views(
         """
 WITH n AS (SELECT count(*) AS n, count(DISTINCT segment) AS s, count(DISTINCT nation) AS na, count(DISTINCT priority) AS p FROM orders_txn)
-SELECT 'segment' AS column_name, s::BIGINT AS n_distinct, s <= 20 AND s / n <= 0.5 AS eligible FROM n
-UNION ALL SELECT 'nation', na, na <= 20 AND na / n <= 0.5 FROM n
-UNION ALL SELECT 'priority', p, p <= 20 AND p / n <= 0.5 FROM n""",
+SELECT column_name, CASE WHEN d <= 20 THEN d END::BIGINT AS n_distinct, d > 20 AS over_limit, d <= 20 AND d / n <= 0.5 AS eligible
+FROM (SELECT 'segment' AS column_name, s AS d, n FROM n UNION ALL SELECT 'nation', na, n FROM n UNION ALL SELECT 'priority', p, n FROM n)""",
         "orders_txn",
     ),
 )

@@ -33,8 +33,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is. Only when nothing is configured (local tests)
-    a scratch folder is created.
+    folder and is used as is. Only in local mode with nothing configured
+    (tests) a scratch folder is created; on a cluster a folder of the driver's
+    machine would not be seen by the executors, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="riskweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

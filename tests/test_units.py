@@ -87,3 +87,22 @@ def test_csv_keeps_microseconds_and_empty_text(spark):
     path = shared_path(spark, "csv-round-trip.csv")
     io.write_csv(df, path)
     assert sorted(map(tuple, io.load_dataset(spark, path, df.schema).collect())) == rows
+
+
+def test_every_scored_row_stays(spark):
+    rows = [(1, 0.7), (2, float("nan")), (3, None), (4, 0.1), (5, 1.5)]
+    out = sc.label_scores(spark.createDataFrame(rows, "id long, score double"), "id", 0.5).collect()
+    assert {r["id"]: (r["fraud_label"], r["contract_ok"]) for r in out} == {
+        1: (1, True), 2: (None, False), 3: (None, False), 4: (0, True), 5: (None, False)
+    }
+
+
+def test_group_candidates_above_the_limit_have_no_count(spark):
+    from riskweave.operators import eda
+
+    df = spark.range(5000).select(
+        F.concat(F.lit("v"), F.col("id") % 95).alias("many"), F.concat(F.lit("v"), F.col("id")).alias("each"),
+        F.concat(F.lit("v"), F.col("id") % 20).alias("some"),
+    )
+    got = {r["column_name"]: tuple(r)[1:] for r in eda.group_candidates(df, None).collect()}
+    assert got == {"many": (None, True, False), "each": (None, True, False), "some": (20, False, True)}
