@@ -42,55 +42,23 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.components import components
 from riskweave.llm.tables import Scratch
+from riskweave.llm.words import M1, M2, M3, mixed, words_of
 
 #: Ratio of a size band's ends, shingles of one comparison tile.
 BAND_RATIO, TILE_SHINGLES = 1.4, 1_000_000
-_M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S = [np.uint64(s) for s in range(64)]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _S[30])) * _M2
-    x = (x ^ (x >> _S[27])) * _M3
-    return x ^ (x >> _S[31])
-
-
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_VALUE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_VALUE[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]
-_VALUE[_SPACE] = 0
-_PLACES = 1 << 16
-_POWER = np.concatenate([[np.uint64(1)], np.full(_PLACES - 1, _M1)]).cumprod(dtype=np.uint64)
-
-
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of ``text``: the sum of its bytes' values times powers of place."""
-    raw = np.frombuffer(text, dtype=np.uint8)
-    inside = ~_SPACE[raw]
-    starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
-    if len(raw) and inside[0]:
-        starts = np.concatenate([[0], starts])
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    place = np.arange(starts[0], len(raw)) - np.repeat(starts, np.diff(starts, append=len(raw)))
-    terms = _VALUE[raw[starts[0] :]] * _POWER[place & (_PLACES - 1)]
-    long = place >= _PLACES
-    if long.any():  # places repeat only in words of more than 64 KB, where the turn is mixed in
-        terms[long] = _mixed(terms[long] + (place[long] // _PLACES).astype(np.uint64)) * inside[starts[0] :][long]
-    return _mixed(np.add.reduceat(terms, starts - starts[0]))
-
-
 def shingles(text: bytes, k: int) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles of ``text``."""
-    h = word_hashes(text)
+    _, _, h = words_of(text)
     if not len(h):
         return h
     width = min(k, len(h))
     out = np.full(len(h) - width + 1, width, dtype=np.uint64)
     for j in range(width):
-        out = (out ^ (out >> _S[29])) * _M1 + h[j : j + len(out)]
-    return np.unique(_mixed(out))
+        out = (out ^ (out >> _S[29])) * M1 + h[j : j + len(out)]
+    return np.unique(mixed(out))
 
 
 @dataclass(frozen=True)
@@ -146,7 +114,7 @@ class Bands:
 
 def signatures(hashes: np.ndarray, bands: Bands) -> np.ndarray:
     """The PartEnum signatures of a set, over all bands it signs for."""
-    values = _mixed(hashes + _M1)
+    values = mixed(hashes + M1)
     low, high = (values & np.uint64(0xFFFFFFFF)).astype(float), (values >> _S[32]).astype(float)
     out = []
     for band in bands.of(len(hashes)):
@@ -165,7 +133,7 @@ def signatures(hashes: np.ndarray, bands: Bands) -> np.ndarray:
             counts = np.stack([counts[:, c].sum(axis=1) for c in chosen], axis=1)
             sums = np.stack([sums[:, c].sum(axis=1) for c in chosen], axis=1)
         place = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + np.uint64(band.index << 48)
-        total = _mixed(sums + _mixed(place * _M1 + _M2))
+        total = mixed(sums + mixed(place * M1 + M2))
         strong = counts >= band.weak
         if (~strong).any(axis=1).sum() <= band.spare:
             out.append(total[strong])
@@ -178,8 +146,8 @@ def set_key(hashes: np.ndarray) -> tuple[int, int]:
     """128 bits that tell sets apart."""
     if not len(hashes):
         return 0, 0
-    a = _mixed(hashes + _M2).sum(dtype=np.uint64)
-    b = np.bitwise_xor.reduce(hashes * _M3)
+    a = mixed(hashes + M2).sum(dtype=np.uint64)
+    b = np.bitwise_xor.reduce(hashes * M3)
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 

@@ -19,26 +19,40 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm.tables import Scratch
+from riskweave.llm.words import words_of
 
-#: Chunks of text whose ids a worker keeps, and the longest one it keeps.
-CACHE_CHUNKS, CACHE_CHARS = 400_000, 64
+#: Words whose ids a worker keeps, and bytes of text that are encoded together.
+KEPT_WORDS, GROUP_BYTES = 600_000, 2_000_000
 RANK_ROWS = 256
-_TOKENIZERS: dict[str, ChunkIds] = {}
+_TOKENIZERS: dict[str, WordIds] = {}
+_TAIL = b".,;:!?"
 
 
-class ChunkIds:
-    """Ids of chunks between ASCII white space, as little-endian bytes.
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
-    The vocabulary's splitting drops white space and no token spans it, so
-    the ids of a text are those of its chunks one after another.
+
+class WordIds:
+    """Ids of texts by way of their words between ASCII white space.
+
+    The vocabulary's splitting drops white space and no token spans it, so the
+    ids of a text are those of its words one after another. Words are looked up by
+    hash and length in sorted arrays, all words of a group of texts at once; only words that
+    the worker has not met lately are encoded.
     """
 
     def __init__(self, path: str) -> None:
@@ -48,35 +62,95 @@ class ChunkIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        """Adds chunks; returns those that are too long to be kept."""
-        import numpy as np
-
-        chunks = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(chunks) > CACHE_CHUNKS:
-            self.known.clear()
-        found = self.tokenizer.encode_batch([c.decode() for c in chunks], add_special_tokens=False)
-        return {c: np.asarray(e.ids, dtype="<u4").tobytes() for c, e in zip(chunks, found, strict=True)}
-
-    def encode(self, text: bytes) -> bytes:
-        chunks = text.split()
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            pass
-        own = self.learn({c for c in chunks if c not in known})
-        known.update((c, ids) for c, ids in own.items() if len(c) <= CACHE_CHARS)
-        if any(c not in known and c not in own for c in chunks):  # the store was emptied to make room
-            own |= self.learn(set(chunks) - own.keys())
-        return b"".join([own[c] if c in own else known[c] for c in chunks])
-
-
-def chunk_ids(path: str) -> ChunkIds:
+        self.letters = _byte_letters()
+        self.cores: dict[bytes, list[int]] = {}
+        self.turn = 0
+        # Entries in order of hash: hash, bytes of the word, place and number of its ids, turn of the last use.
+        self.hash = np.zeros(0, dtype=np.uint64)
+        self.size, self.at, self.n, self.used = (np.zeros(0, dtype=np.int64) for _ in range(4))
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def core_ids(self, core: bytes) -> list[int]:
+        """Ids of a word or a part of one."""
+        known = self.cores.get(core)
+        if known is None:
+            text = core.decode()
+            low = text.lower()
+            # Latin letters in lower case are in normal form and one word to the merges.
+            if low.isalpha() and len(low) == len(text) and max(low) < "\u0250":
+                name = low if low.isascii() else "".join(self.letters[b] for b in low.encode())
+                known = [t.id for t in self.tokenizer.model.tokenize(name)]
+            else:
+                known = self.tokenizer.encode(text, add_special_tokens=False).ids
+            if len(self.cores) >= KEPT_WORDS // 8:
+                self.cores.clear()
+            if len(core) <= 64:
+                self.cores[core] = known
+        return known
+
+    def word_ids(self, word: bytes) -> list[int]:
+        """Ids of a word; closing punctuation after a letter or digit is apart from it."""
+        core = word.rstrip(_TAIL)
+        if core and len(core) < len(word) and (core.isalnum() or core.decode().lower()[-1].isalnum()):
+            return self.core_ids(core) + self.core_ids(word[len(core) :])
+        return self.core_ids(word)
+
+    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        found = [self.word_ids(w) for w in words]
+        n = np.array([len(f) for f in found], dtype=np.int64)
+        at = len(self.ids) + np.cumsum(n) - n
+        self.ids = np.concatenate([self.ids, np.array([i for f in found for i in f], dtype="<u4")])
+        size = np.array([len(w) for w in words], dtype=np.int64)
+        columns = [np.concatenate(c) for c in ((self.hash, hashes), (self.size, size), (self.at, at), (self.n, n))]
+        used = np.concatenate([self.used, np.full(len(n), self.turn)])
+        order = np.argsort(columns[0], kind="stable")
+        self.hash, self.size, self.at, self.n = (c[order] for c in columns)
+        self.used = used[order]
+
+    def forget(self) -> None:
+        """Keeps the half that was used last."""
+        keep = self.used >= np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
+        self.hash, self.size, self.at, self.n, self.used = (c[keep] for c in (self.hash, self.size, self.at, self.n, self.used))
+        self.ids = self.ids[spread(self.at, self.n)]
+        self.at = np.cumsum(self.n) - self.n
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        self.turn += 1
+        if len(self.hash) > KEPT_WORDS:
+            self.forget()
+        joined = b" ".join(texts)
+        starts, ends, hashes = words_of(joined)
+        if b"<|" in joined:  # what may hold a special token is told apart by case
+            sides = np.array([m.start() for m in re.finditer(rb"<\|", joined)])
+            for i in np.unique(np.searchsorted(starts, sides, side="right") - 1):
+                hashes[i] = xxhash.xxh64_intdigest(joined[starts[i] : ends[i]], seed=1)
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        size = (ends - starts)[first]
+        place = np.minimum(np.searchsorted(self.hash, distinct), max(0, len(self.hash) - 1))
+        new = np.ones(len(distinct), dtype=bool)
+        if len(self.hash):
+            new = (self.hash[place] != distinct) | (self.size[place] != size)
+        if new.any():
+            self.learn(distinct[new], [joined[starts[i] : ends[i]] for i in first[new]])
+            place = np.searchsorted(self.hash, distinct)
+        self.used[place] = self.turn
+        at, n = self.at[place][back], self.n[place][back]
+        ids = self.ids[spread(at, n)]
+        begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        cuts = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(starts, begins)]
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def spread(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """at[0], at[0] + 1, ... (n[0] of them), at[1], ..."""
+    before = np.cumsum(n) - n
+    return np.repeat(at - before, n) + np.arange(int(n.sum()))
+
+
+def word_ids(path: str) -> WordIds:
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = ChunkIds(path)
+        _TOKENIZERS[path] = WordIds(path)
     return _TOKENIZERS[path]
 
 
@@ -87,18 +161,31 @@ def cut_pieces(docs: DataFrame, *, id_col: str, text_col: str, tokenizer: str, e
     """One row per piece of a text: capacity ids each, the last one shorter."""
     end = end_id.to_bytes(4, "little")
 
+    def grouped(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
+        """Ids and texts, about GROUP_BYTES at a time."""
+        ids, texts, size = [], [], 0
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            raw = text.as_buffer()
+            ids.append(doc_id)
+            texts.append(raw.to_pybytes() if raw is not None else b"")
+            size += len(texts[-1])
+            if size >= GROUP_BYTES:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+        yield ids, texts
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = chunk_ids(tokenizer)
+        words = word_ids(tokenizer)
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = text.as_buffer()
-                ids = (ids_of.encode(raw.to_pybytes()) if raw is not None else b"") + end
-                view, total = memoryview(ids), len(ids) // 4
-                for start in range(0, total, capacity):
-                    piece = view[4 * start : 4 * (start + capacity)]
-                    for column, value in zip(rows, (doc_id, start, len(piece) // 4, zlib.crc32(piece), total), strict=True):
-                        column.append(value)
+            for doc_ids, texts in grouped(batch):
+                for doc_id, ids in zip(doc_ids, words.encode(texts), strict=True):
+                    view = memoryview(ids.tobytes() + end)
+                    total = len(view) // 4
+                    for start in range(0, total, capacity):
+                        piece = view[4 * start : 4 * (start + capacity)]
+                        for column, value in zip(rows, (doc_id, start, len(piece) // 4, zlib.crc32(piece), total), strict=True):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=pa.int64()) for c in rows], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             )
