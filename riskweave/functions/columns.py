@@ -23,6 +23,14 @@ def col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def as_category(df: DataFrame, name: str) -> Column:
+    """A categorical value as text (booleans as True/False); NULL stays NULL."""
+    c = col(name)
+    if isinstance(dtype_of(df, name), T.BooleanType):
+        return F.when(c, F.lit("True")).when(~c, F.lit("False"))
+    return c.cast("string")
+
+
 def nan_to_null(c: Column) -> Column:
     """NaN → NULL so avg/percentile/max skip it as pandas does."""
     return F.nanvl(c, F.lit(None).cast("double"))

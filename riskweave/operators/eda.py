@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.functions.columns import binary_target, col, dtype_of, parse_timestamp, to_double
+from riskweave.functions.columns import as_category, binary_target, col, dtype_of, parse_timestamp, to_double
 from riskweave.functions.ordered import exact_quantiles
 from riskweave.operators.audit import duplicate_rows
 from riskweave.roles import (
@@ -38,10 +38,7 @@ def _rows_of(one_row: DataFrame, structs: list[Column]) -> DataFrame:
 
 def as_text(df: DataFrame, name: str) -> Column:
     """Categorical value as text, NULL → ``<missing>`` (booleans as True/False)."""
-    c = col(name)
-    if isinstance(dtype_of(df, name), T.BooleanType):
-        c = F.when(c, F.lit("True")).when(~c, F.lit("False"))
-    return F.coalesce(c.cast("string"), F.lit(MISSING))
+    return F.coalesce(as_category(df, name), F.lit(MISSING))
 
 
 # --------------------------------------------------------------------------- E1

@@ -14,11 +14,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.functions.columns import col, dtype_of, to_double
+from riskweave.functions.columns import as_category, col, dtype_of, to_double
 
 MIN_FREQUENCY = 0.01
 INFREQUENT_SUFFIX = "_infrequent_sklearn"
-MAX_VOCABULARY = 10_000
+#: Values of one column that can be encoded (the limit of F12); the number of columns has none.
+MAX_CATEGORIES = 50
 
 
 @dataclass
@@ -55,7 +56,7 @@ class FittedEncoder:
         """N2+N3: impute with the train mode, then one-hot with pooling."""
         out = []
         for enc in self.categorical:
-            v = col(enc.column).cast("string")
+            v = as_category(df, enc.column)
             if enc.mode is not None:
                 v = F.coalesce(v, F.lit(enc.mode))
             for value in enc.frequent:
@@ -84,7 +85,7 @@ def category_counts(train: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, value, count) over non-null training values, combined map-side."""
     long = train.select(
         F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), col(c).cast("string").alias("value")) for c in columns])
+            F.array(*[F.struct(F.lit(c).alias("column_name"), as_category(train, c).alias("value")) for c in columns])
         ).alias("r")
     ).select("r.*")
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
@@ -114,11 +115,13 @@ def fit_encoder(
     counts = category_counts(train, categorical).cache()
     try:
         modes = {r["column_name"]: r["mode"] for r in train_modes(counts).collect()}
-        vocab = counts.where(F.col("value").isNotNull()).limit(MAX_VOCABULARY + 1).collect()
+        values = counts.where(F.col("value").isNotNull())
+        wide = values.groupBy("column_name").count().where(F.col("count") > MAX_CATEGORIES).collect()
+        vocab = [] if wide else values.collect()  # at most MAX_CATEGORIES rows per column
     finally:
         counts.unpersist()
-    if len(vocab) > MAX_VOCABULARY:
-        raise ValueError("categorical vocabulary too large to encode; reduce cardinality first (F12)")
+    if wide:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in {sorted(r['column_name'] for r in wide)}; choose columns with F12 first")
     by_col: dict[str, dict[str, int]] = {c: {} for c in categorical}
     for r in vocab:
         by_col[r["column_name"]][r["value"]] = r["count"]

@@ -131,28 +131,29 @@ def score_histogram(spark, sf_dir):
 
 @register("anomaly_comparison")
 def anomaly_comparison(spark, sf_dir):
-    """Y10+Y11: supervised, forest on holdout (valid ∪ test), forest on all
-    splits, and the ensemble, as one metric table."""
+    """Y10+Y11: main model, forest on holdout (valid ∪ test), forest and
+    ensemble on all splits, as one metric table."""
     data, forest = _forest(spark, sf_dir)
-    base = wf.fitted_bundle(spark, sf_dir, data, "baseline")
-    sup = md.score(base, data.df, data.features, [K, T, "split"])
-    raw = an.raw_scores(forest, data.df, [K])
-    # both scores of every row are reused by the bounds, two quantiles and
-    # four metric rows: compute them once (reliable checkpoint, shared folder)
-    both = sup.join(raw, K).checkpoint()
+    main = wf.main_bundle(spark, sf_dir, data)
+    # the forest scores each row beside its features, and the main model scores
+    # that frame: one pass and no join. Both scores feed the bounds, two quantiles
+    # and four metric rows, so they are written once (reliable checkpoint)
+    raw = an.raw_scores(forest, data.df, [K, T, "split", *data.features])
+    both = md.score(main.model, raw, data.features, [K, T, "split", "anomaly_raw"]).checkpoint()
     b = both.where("split = 'train'").agg(F.min("anomaly_raw"), F.max("anomaly_raw")).first()
     both = an.minmax(both, "anomaly_raw", "anomaly_score", bounds=(b[0], b[1]))
-    train_scores = both.where("split = 'train'")
-    t_anom = an.quantile_threshold(train_scores, "anomaly_score", 0.95).first()[0]
+    both = both.withColumn("ensemble_score", an.ensemble(F.col("score"), F.col("anomaly_score")))
+    t_anom = an.quantile_threshold(both.where("split = 'train'"), "anomaly_score", 0.95).first()[0]
+    t_ens = an.quantile_threshold(both, "ensemble_score", 0.75).first()[0]
     holdout = both.where("split IN ('valid', 'test')")
-    ens = holdout.withColumn("ensemble_score", an.ensemble(F.col("score"), F.col("anomaly_score")))
-    t_ens = an.quantile_threshold(ens, "ensemble_score", 0.75).first()[0]
-    return md.comparison(
+    rows = md.comparison(
         spark,
         {
-            "supervised": an.evaluate_at(holdout, T, "score", 0.5),
+            "supervised_full": an.evaluate_at(both, T, "score", 0.5),
             "isolation_forest_holdout": an.evaluate_at(holdout, T, "anomaly_score", t_anom),
             "isolation_forest_full": an.evaluate_at(both, T, "anomaly_score", t_anom),
-            "ensemble": an.evaluate_at(ens, T, "ensemble_score", t_ens),
+            "ensemble_full": an.evaluate_at(both, T, "ensemble_score", t_ens),
         },
     )
+    uses_main = F.col("model").isin("supervised_full", "ensemble_full")
+    return rows.withColumn("candidate", F.when(uses_main, F.lit(main.candidate)))

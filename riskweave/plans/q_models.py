@@ -15,6 +15,7 @@ from riskweave.plans import workflows as wf
 from riskweave.plans.q_split_encode import _ENC_CTES, _time_split_sql
 from riskweave.plans.registry import register
 from riskweave.session import shared_path
+from riskweave.sources import io
 from riskweave.sources import testdata as td
 
 T = "is_fraud"
@@ -26,6 +27,11 @@ def _baseline(spark, sf_dir):
     return data, wf.fitted_bundle(spark, sf_dir, data, "baseline")
 
 
+def _main(spark, sf_dir):
+    data = wf.prepare_model_data(spark, sf_dir)
+    return data, wf.main_bundle(spark, sf_dir, data)
+
+
 @register(
     "model_class_weights",
     td.with_views(
@@ -105,49 +111,44 @@ def model_gbt(spark, sf_dir):
 def model_grid_search(spark, sf_dir):
     """M6–M8: 4-point grid on the validation split, refit on train ∪ valid,
     one row per candidate plus the chosen one's test metrics."""
-    data = wf.prepare_model_data(spark, sf_dir)
-    train, valid = data.df.where("split = 'train'"), data.df.where("split = 'valid'")
-    res = md.tune_gbt(train, valid, data.features, T, fit=lambda p: wf.fitted_bundle(spark, sf_dir, data, "gbt", p))
-    # M8: refit on train ∪ valid with the chosen parameters
-    final = wf.fitted_bundle(spark, sf_dir, data, "gbt", res.best_params, splits=("train", "valid"))
-    s = md.score(final, data.df.where("split = 'test'"), data.features, [K, T])
     from riskweave.operators.metrics import evaluate
 
-    test_pr = evaluate(s, T, "score", 0.5).select("pr_auc").first()[0]
-    rows = [
-        {**r, "is_best": r["candidate"] == md.GBT_GRID.index(res.best_params), "test_pr_auc_of_final": test_pr}
-        for r in res.rows
-    ]
+    data, main = _main(spark, sf_dir)
+    scored = md.score(main.model, data.df.where("split = 'test'"), data.features, [K, T])
+    test_pr = evaluate(scored, T, "score", 0.5).select("pr_auc").first()[0]
+    rows = [{**r, "is_best": r["candidate"] == main.candidate, "test_pr_auc_of_final": test_pr} for r in main.rows]
     return spark.createDataFrame(rows)
 
 
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
-    """Baseline vs boosting on the test split."""
+    """Baseline vs the tuned main model on the test split."""
     from riskweave.operators.metrics import evaluate
 
     data, base = _baseline(spark, sf_dir)
+    main = wf.main_bundle(spark, sf_dir, data)
     test = data.df.where("split = 'test'")
-    gbt = wf.fitted_bundle(spark, sf_dir, data, "gbt", md.GBT_GRID[0])
-    return md.comparison(
+    rows = md.comparison(
         spark,
         {
             "baseline_logistic_regression": evaluate(md.score(base, test, data.features, [T]), T, "score", 0.5),
-            "gradient_boosting": evaluate(md.score(gbt, test, data.features, [T]), T, "score", 0.5),
+            "gradient_boosting": evaluate(md.score(main.model, test, data.features, [T]), T, "score", 0.5),
         },
     )
+    return rows.withColumn("candidate", F.when(F.col("model") == "gradient_boosting", F.lit(main.candidate)))
 
 
 @register("score_batch")
 def score_batch(spark, sf_dir):
-    """Every events_txn row scored with the fitted encoder and
-    the baseline model at the balanced threshold of the validation sweep."""
-    data, model = _baseline(spark, sf_dir)
-    valid = md.score(model, data.df.where("split = 'valid'"), data.features, [T])
-    modes = th.select_modes(th.threshold_sweep(valid, T, "score"))
-    t = modes.where("mode = 'balanced'").select("threshold").first()[0]
+    """Every events_txn row scored with the fitted encoder and the
+    main model; the threshold comes from the saved validation sweep (S6, T7)."""
+    data, main = _main(spark, sf_dir)
+    valid = md.score(main.model, data.df.where("split = 'valid'"), data.features, [T])
+    path = shared_path(spark, f"threshold-sweep-{uuid.uuid4().hex}.csv")
+    io.write_csv(th.threshold_sweep(valid, T, "score"), path)
     feats = sc.request_features(td.events_txn(spark, sf_dir).drop(T), data.roles, T)
-    return sc.score_batch(model, data.encoder, feats, K, t)
+    scored = sc.score_batch(main.model, data.encoder, feats, K, th.load_threshold(spark, path))
+    return scored.withColumn("candidate", F.lit(main.candidate))
 
 
 def _score_features_sql() -> str:
@@ -305,19 +306,19 @@ def error_dominance(spark, sf_dir):
 
 @register("explain_permutation")
 def explain_permutation(spark, sf_dir):
-    """X1+X3: permutation importance of the baseline on the test split
+    """X1+X3: permutation importance of the main model on the test split
     (or all splits when the test split is too small or one-class)."""
-    data, model = _baseline(spark, sf_dir)
+    data, main = _main(spark, sf_dir)
     chosen = ex.choose_importance_dataset(data.df, "split", "test", T)
-    return ex.permutation_importance(model, chosen, data.features, T, K, repeats=10)
+    found = ex.permutation_importance(main.model, chosen, data.features, T, K, repeats=10)
+    return found.withColumn("candidate", F.lit(main.candidate))
 
 
 @register("explain_native")
 def explain_native(spark, sf_dir):
-    """boosting's own feature importances."""
-    data = wf.prepare_model_data(spark, sf_dir)
-    model = wf.fitted_bundle(spark, sf_dir, data, "gbt", md.GBT_GRID[0])
-    return ex.native_importance(spark, model, data.features)
+    """The main model's own feature importances."""
+    data, main = _main(spark, sf_dir)
+    return ex.native_importance(spark, main.model, data.features).withColumn("candidate", F.lit(main.candidate))
 
 
 @register("explain_topn")

@@ -48,11 +48,14 @@ def feature_metadata(spark, sf_dir):
     data = wf.prepare_model_data(spark, sf_dir)
     sizes = {r["split"]: r["rows"] for r in sp.split_sizes(data.df).collect()}
     r = data.roles
+    stratify = sp.can_stratify(data.df, r.target).first()["can_stratify"]
     meta = io.FeatureMetadata(
         r.target, r.timestamp, r.user_id, r.transaction_id, r.amount, data.numeric, data.categorical, data.features,
-        list(fe.ENGINEERED_FEATURES), [], data.split_method, sizes.get("train", 0), sizes.get("valid", 0),
-        sizes.get("test", 0), True,
-    )
+        data.built, data.dropped, data.unavailable, data.limitations, data.split_method,
+        sizes.get("train", 0), sizes.get("valid", 0), sizes.get("test", 0), stratify,
+    )
     path = shared_path(spark, f"metadata-{uuid.uuid4().hex}")
     io.write_metadata(spark, meta, path)
-    return io.read_metadata(spark, path).to_frame(spark)
+    back = io.read_metadata(spark, path).to_frame(spark)
+    lists = [f.name for f in io.METADATA_SCHEMA.fields if f.dataType.typeName() == "array"]
+    return back.withColumns({c: F.concat_ws(",", c) for c in lists})

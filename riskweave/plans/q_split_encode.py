@@ -70,7 +70,21 @@ def split_roundtrip(spark, sf_dir):
     return sp.split_sizes(out)
 
 
-@register("split_stratified")
+_HASH_SPLIT_SQL = """
+WITH h AS (SELECT *, CAST('0x' || substr(md5(concat_ws(':', CAST(transaction_id AS VARCHAR), '42')), 1, 15) AS BIGINT) AS h, {cls} AS cls
+           FROM docs_labeled),
+c AS (SELECT cls, count(*) AS n, CAST(ceil(round(sum(count(*)) OVER () * 0.3, 9)) AS BIGINT) AS held, sum(count(*)) OVER () AS total
+      FROM h GROUP BY cls),
+a AS (SELECT *, CAST(held * n // total AS BIGINT) AS whole, held * n % total AS rest FROM c),
+t AS (SELECT *, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, cls) <= held - sum(whole) OVER () THEN 1 ELSE 0 END AS temp FROM a),
+u AS (SELECT *, CAST(ceil(round(sum(temp) OVER () * 0.5, 9)) AS BIGINT) AS tests, sum(temp) OVER () AS temps FROM t),
+v AS (SELECT *, CAST(tests * temp // temps AS BIGINT) AS whole2, tests * temp % temps AS rest2 FROM u),
+w AS (SELECT *, whole2 + CASE WHEN row_number() OVER (ORDER BY rest2 DESC, cls) <= tests - sum(whole2) OVER () THEN 1 ELSE 0 END AS test FROM v),
+r AS (SELECT h.*, row_number() OVER (PARTITION BY h.cls ORDER BY h) AS rk, n, temp, test FROM h JOIN w ON h.cls = w.cls)
+SELECT transaction_id, {columns} CASE WHEN rk <= n - temp THEN 'train' WHEN rk <= n - test THEN 'valid' ELSE 'test' END AS split FROM r"""
+
+
+@register("split_stratified", td.with_views(_HASH_SPLIT_SQL.format(cls="is_fraud", columns="is_fraud::BIGINT AS is_fraud,"), "docs_labeled"))
 def split_stratified(spark, sf_dir):
     """P3 on docs_labeled (no timestamp): per-class hash order, 70/15/15."""
     df = td.docs_labeled(spark, sf_dir)
@@ -78,7 +92,7 @@ def split_stratified(spark, sf_dir):
     return res.df.select("transaction_id", "is_fraud", "split")
 
 
-@register("split_random")
+@register("split_random", td.with_views(_HASH_SPLIT_SQL.format(cls="0", columns=""), "docs_labeled"))
 def split_random(spark, sf_dir):
     """P4 on docs_labeled without a target."""
     df = td.docs_labeled(spark, sf_dir)

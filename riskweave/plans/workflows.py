@@ -7,7 +7,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +19,13 @@ from riskweave.operators import features as fe
 from riskweave.operators import split as sp
 from riskweave.operators.encode import FittedEncoder
 from riskweave.roles import Roles
-from riskweave.session import shared_path
+from riskweave.session import artifact_path, path_exists
 from riskweave.sources import testdata as td
 
 
-ARTIFACT_VERSION = 1
+ARTIFACT_VERSION = 2
+#: Everything that shapes the processed splits; part of their artifact's key.
+SPLIT_PARAMS = {"train_ratio": 0.7, "valid_ratio": 0.15, "min_frequency": en.MIN_FREQUENCY}
 
 
 @dataclass
@@ -35,32 +37,44 @@ class ModelData:
     numeric: list[str]
     categorical: list[str]
     split_method: str
+    built: list[str]
+    dropped: list[str]
+    unavailable: list[str]
+    limitations: list[str]
 
 
-def _fit_model_data(spark: SparkSession, sf_dir: str) -> ModelData:
+def _fit_model_data(spark: SparkSession, sf_dir: str, params: dict) -> ModelData:
     roles = td.EVENTS_TXN_ROLES
     ff = fe.build_feature_frame(td.events_txn(spark, sf_dir), roles)
-    split = sp.split_feature_frame(ff.df, fe.PARSED_TS, roles.transaction_id, roles.target)
+    split = sp.split_feature_frame(
+        ff.df, fe.PARSED_TS, roles.transaction_id, roles.target, params["train_ratio"], params["valid_ratio"]
+    )
     frame = split.df
     train = frame.where("split = 'train'")
     num, cat = fe.select_model_columns(train, ff.feature_columns, roles.target, roles.user_id)
-    processed, enc = en.build_processed_splits(frame, num, cat, roles.target, keep=[roles.transaction_id])
-    return ModelData(processed, enc.output_features, enc, roles, num, cat, split.method)
+    processed, enc = en.build_processed_splits(
+        frame, num, cat, roles.target, keep=[roles.transaction_id], min_frequency=params["min_frequency"]
+    )
+    return ModelData(
+        processed, enc.output_features, enc, roles, num, cat, split.method,
+        ff.built_features, ff.dropped_features, ff.unavailable_features, split.limitations,
+    )
 
 
 _STATE_SCHEMA = (
+    "built array<string>, dropped array<string>, unavailable array<string>, limitations array<string>, "
     "split_method string, numeric array<string>, categorical array<string>, enc_numeric array<string>, "
     "enc_categorical array<struct<column:string, mode:string, frequent:array<string>, infrequent:array<string>>>"
 )
 
 
-def prepare_model_data(spark: SparkSession, sf_dir: str, reuse: bool = True) -> ModelData:
+def prepare_model_data(spark: SparkSession, sf_dir: str, reuse: bool = True, params: dict | None = None) -> ModelData:
     """events_txn → F1–F11 → P2 time split → F12 on train → N5 encoding.
 
     As in the reference, the processed splits are a stage boundary: they are
     written once (Parquet partitioned by split, S3) with the fitted encoder
-    as a one-row JSON table next to them, under the shared checkpoint folder
-    and keyed by the input files. Later queries read them back instead of
+    as a one-row JSON table next to them, in the artifact folder and keyed by
+    the input files, the roles and the parameters. Later queries read them back instead of
     recomputing the history windows, the split and the encoder fit, and the
     written table cuts the lineage for everything downstream (fits, scoring,
     metrics), so a lost executor re-reads files instead of re-running the
@@ -69,21 +83,25 @@ def prepare_model_data(spark: SparkSession, sf_dir: str, reuse: bool = True) ->
     """
     from riskweave.sources import io
 
+    params = SPLIT_PARAMS | (params or {})
     if not reuse:
-        return _fit_model_data(spark, sf_dir)
-    key = json.dumps({"v": ARTIFACT_VERSION, "kind": "processed", "input": _input_fingerprint(sf_dir, spark=spark)}, sort_keys=True)
-    path = shared_path(spark, f"artifacts/processed-{hashlib.sha1(key.encode()).hexdigest()[:20]}")
+        return _fit_model_data(spark, sf_dir, params)
     roles = td.EVENTS_TXN_ROLES
-    try:
-        st = spark.read.schema(_STATE_SCHEMA).json(f"{path}/encoder").first()
-    except Exception:  # absent: build below
-        st = None
+    key = {"kind": "processed", "params": params, "roles": asdict(roles), "input": _input_fingerprint(sf_dir, spark=spark)}
+    path = _keyed_path(spark, "processed", key)
+    # the encoder's success marker is the last file written
+    done = path_exists(spark, f"{path}/encoder/_SUCCESS")
+    st = spark.read.schema(_STATE_SCHEMA).json(f"{path}/encoder").first() if done else None
     if st is None:
-        data = _fit_model_data(spark, sf_dir)
+        data = _fit_model_data(spark, sf_dir, params)
         io.write_splits(data.df, f"{path}/splits")
         enc = data.encoder
         state = [
             (
+                data.built,
+                data.dropped,
+                data.unavailable,
+                data.limitations,
                 data.split_method,
                 data.numeric,
                 data.categorical,
@@ -99,23 +117,28 @@ def prepare_model_data(spark: SparkSession, sf_dir: str, reuse: bool = True) ->
     )
     cols = [roles.transaction_id, "split", roles.target, *enc.output_features]
     df = io.read_split(spark, f"{path}/splits").select(*[F.col(f"`{c}`") for c in cols])
-    return ModelData(df, enc.output_features, enc, roles, list(st["numeric"]), list(st["categorical"]), st["split_method"])
+    lists = [list(st[c] or []) for c in ("numeric", "categorical")]
+    return ModelData(
+        df, enc.output_features, enc, roles, *lists, st["split_method"],
+        *[list(st[c] or []) for c in ("built", "dropped", "unavailable", "limitations")],
+    )
 
 
 # ------------------------------------------------------------ model artifacts
+def _keyed_path(spark: SparkSession, kind: str, key: dict) -> str:
+    text = json.dumps({"v": ARTIFACT_VERSION, **key}, sort_keys=True, default=str)
+    return artifact_path(spark, f"{kind}-{hashlib.sha1(text.encode()).hexdigest()[:20]}")
+
+
 def _input_fingerprint(sf_dir: str, tables: tuple[str, ...] = ("events",), spark: SparkSession | None = None) -> list:
-    """Identity of the input files: (path, size, modification time) on a
-    local file system; on remote stores the sorted part-file names Spark
-    resolves for the table (a rewrite produces new part files)."""
+    """Identity of the input files: path, size and modification time of every
+    part file, from the file system that Spark reads them from."""
     out = []
     for t in tables:
-        path = os.path.join(sf_dir, f"{t}.parquet")
-        try:
-            st = os.stat(path)
-            out.append([os.path.realpath(path), st.st_size, st.st_mtime_ns])
-        except OSError:
-            files = sorted(spark.read.parquet(path).inputFiles()) if spark is not None else []
-            out.append([path, files])
+        top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, f"{t}.parquet"))
+        fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for f in sorted(fs.listStatus(top), key=lambda f: f.getPath().toString()):
+            out.append([f.getPath().toString(), f.getLen(), f.getModificationTime()])
     return out
 
 
@@ -131,27 +154,15 @@ def fitted_bundle(
 
     The reference trains once, saves the bundle and lets threshold analysis,
     explainability and the anomaly study load it. Here the bundle is saved
-    under the session's shared checkpoint folder, keyed by the input files,
-    the feature list, the model kind and its parameters; a later query (or a
-    re-run after a lost driver) loads it instead of fitting again. A partial
-    or unreadable artifact is refitted and overwritten.
+    in the artifact folder, keyed by the input files, the roles, the feature
+    list, the model kind and its parameters; a later query (or a re-run after a
+    lost driver) loads it instead of fitting again. A bundle counts only
+    once its marker is written, after all its files.
     """
-    key = json.dumps(
-        {
-            "v": ARTIFACT_VERSION,
-            "kind": kind,
-            "params": params,
-            "splits": list(splits),
-            "features": data.features,
-            "input": _input_fingerprint(sf_dir, spark=spark),
-        },
-        sort_keys=True,
-    )
-    path = shared_path(spark, f"artifacts/{kind}-{hashlib.sha1(key.encode()).hexdigest()[:20]}")
-    try:
+    key = _bundle_key(spark, sf_dir, data, kind, params, splits)
+    path = _keyed_path(spark, kind, key)
+    if path_exists(spark, f"{path}-done/_SUCCESS"):
         return PipelineModel.load(path)
-    except Exception:  # absent or partial: fit below
-        pass
     train = data.df.where(F.col("split").isin(*splits))
     if kind == "baseline":
         model = md.fit_baseline(train, data.features, data.roles.target)
@@ -160,4 +171,46 @@ def fitted_bundle(
     else:
         raise ValueError(f"unknown model kind {kind!r}")
     model.write().overwrite().save(path)
+    spark.createDataFrame([(json.dumps(params),)], "params string").coalesce(1).write.mode("overwrite").json(f"{path}-done")
     return model
+
+
+def _bundle_key(spark, sf_dir, data: ModelData, kind: str, params, splits: tuple[str, ...]) -> dict:
+    return {
+        "kind": kind,
+        "params": params,
+        "splits": list(splits),
+        "features": data.features,
+        "prepared": SPLIT_PARAMS,
+        "roles": asdict(data.roles),
+        "input": _input_fingerprint(sf_dir, spark=spark),
+    }
+
+
+@dataclass
+class MainModel:
+    """The tuned model: grid winner on the validation split, refitted on train ∪ valid."""
+
+    model: PipelineModel
+    params: dict
+    candidate: int
+    rows: list[dict]
+
+
+def main_bundle(spark: SparkSession, sf_dir: str, data: ModelData, grid: list[dict] | None = None) -> MainModel:
+    """M6 + M8: the one supervised model that comparison, explanation, anomaly
+    study and scoring share. The grid's result table is an artifact like the
+    bundles, so the candidates are fitted and compared once."""
+    grid = grid or md.GBT_GRID
+    path = _keyed_path(spark, "grid", _bundle_key(spark, sf_dir, data, "grid", {"grid": grid}, ("train", "valid")))
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        train, valid = data.df.where("split = 'train'"), data.df.where("split = 'valid'")
+        fit = lambda p: fitted_bundle(spark, sf_dir, data, "gbt", p)
+        res = md.tune_gbt(train, valid, data.features, data.roles.target, grid, fit=fit)
+        best = grid.index(res.best_params)
+        rows = [(i, i == best, json.dumps(r)) for i, r in enumerate(res.rows)]
+        spark.createDataFrame(rows, "candidate int, is_best boolean, row string").coalesce(1).write.mode("overwrite").json(path)
+    found = spark.read.schema("candidate int, is_best boolean, row string").json(path).orderBy("candidate").collect()
+    best = next(r["candidate"] for r in found if r["is_best"])
+    model = fitted_bundle(spark, sf_dir, data, "gbt", grid[best], splits=("train", "valid"))
+    return MainModel(model, grid[best], best, [json.loads(r["row"]) for r in found])

@@ -55,3 +55,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on any file system Spark can reach."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at))
+
+
+def artifact_path(spark: SparkSession, name: str) -> str:
+    """A path for a stage artifact that later sessions find again.
+
+    ``spark.riskweave.artifactDir`` names the folder; without it the configured
+    checkpoint folder itself is used (not the folder of one session that Spark
+    makes below it).
+    """
+    ensure_checkpoint_dir(spark)
+    root = spark.conf.get("spark.riskweave.artifactDir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.sparkContext.getCheckpointDir()
+    return f"{root.rstrip('/')}/riskweave-artifacts/{name}"

@@ -83,6 +83,8 @@ METADATA_SCHEMA = T.StructType(
         T.StructField("output_features", T.ArrayType(T.StringType())),
         T.StructField("built_features", T.ArrayType(T.StringType())),
         T.StructField("dropped_features", T.ArrayType(T.StringType())),
+        T.StructField("unavailable_features", T.ArrayType(T.StringType())),
+        T.StructField("limitations", T.ArrayType(T.StringType())),
         T.StructField("split_method", T.StringType()),
         T.StructField("train_rows", T.LongType()),
         T.StructField("valid_rows", T.LongType()),
@@ -104,6 +106,8 @@ class FeatureMetadata:
     output_features: list[str]
     built_features: list[str]
     dropped_features: list[str]
+    unavailable_features: list[str]
+    limitations: list[str]
     split_method: str
     train_rows: int
     valid_rows: int
