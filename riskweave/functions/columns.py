@@ -58,6 +58,11 @@ def parse_timestamp(c: Column, dtype: T.DataType | None = None) -> Column:
     return F.try_to_timestamp(c.cast("string"))
 
 
+def has_times(df: DataFrame, name: str) -> bool:
+    """Whether any value of the column can be read as a time (stops at the first)."""
+    return not df.where(parse_timestamp(col(name), dtype_of(df, name)).isNotNull()).isEmpty()
+
+
 def epoch_micros(c: Column, dtype: T.DataType | None = None) -> Column:
     """Microseconds since the epoch, independent of the session time zone for
     TIMESTAMP_NTZ input (wall-clock), exact for TIMESTAMP input."""

@@ -106,3 +106,39 @@ def test_group_candidates_above_the_limit_have_no_count(spark):
     )
     got = {r["column_name"]: tuple(r)[1:] for r in eda.group_candidates(df, None).collect()}
     assert got == {"many": (None, True, False), "each": (None, True, False), "some": (20, False, True)}
+
+
+def test_a_time_column_without_times_counts_as_absent(spark):
+    from riskweave.operators import eda
+    from riskweave.operators import features as fe
+
+    df = td.events_txn(spark, SF001).limit(50).withColumn("transaction_time", F.lit("soon"))
+    ff = fe.build_feature_frame(df, td.EVENTS_TXN_ROLES)
+    assert ff.built_features == ["amount_log1p"] and len(ff.unavailable_features) == 2
+    assert "event_hour" not in ff.df.columns and any("transaction_time" in n for n in ff.notes)
+    report = eda.run_full_eda(df, td.EVENTS_TXN_ROLES)
+    assert "rate_by_hour" not in report.tables and "top_values" in report.tables
+
+
+def test_wide_tables_of_small_vocabularies_encode(spark):
+    df = spark.range(200).select("id", F.lit("train").alias("split"), (F.col("id") % 2).cast("int").alias("y"),
+                                 (F.col("id") % 3 == 0).alias("flag"), *[(F.col("id") % 50 + i).cast("string").alias(f"c{i}") for i in range(40)])
+    out, enc = en.build_processed_splits(df, [], ["flag", *[f"c{i}" for i in range(40)]], "y")
+    assert enc.categorical[0].output_columns == ["flag_False", "flag_True"] and len(out.columns) == 2 + 2 + 40 * 50
+    with pytest.raises(ValueError, match="c0"):
+        en.fit_encoder(spark.range(200).select(F.col("id").cast("string").alias("c0")), [], ["c0"])
+
+
+def test_split_sizes_and_non_binary_targets(spark):
+    from riskweave.operators import split as sp
+
+    df = spark.range(399).select(F.col("id").alias("k"), (F.col("id") % 10 == 0).cast("int").alias("y"), (F.col("id") * 7 % 399).alias("wide"))
+    res = sp.hash_split(df, "k", "y")
+    assert res.method == "stratified" and res.sizes == {"train": 279, "valid": 60, "test": 60}
+    got = {r["split"]: r["n"] for r in res.df.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == res.sizes
+    ones = res.df.where("y = 1").groupBy("split").count().collect()
+    assert sorted(r["count"] for r in ones) == [6, 6, 28]
+    assert sp.hash_split(df, "k", "wide").method == "random"
+    assert sp.hash_split(df.withColumn("y", F.when(F.col("k") > 5, F.col("y"))), "k", "y").method == "stratified"
+    assert sp.hash_split(df.limit(0), "k", "y").sizes == {"train": 0, "valid": 0, "test": 0}
