@@ -49,6 +49,20 @@ def audit_duplicates_whole(spark, sf_dir):
     return audit.duplicate_rows(td.table(spark, sf_dir, "events"))
 
 
+@register(
+    "audit_duplicates_repeated",
+    """
+WITH r AS (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 0)
+SELECT count(*)::BIGINT AS row_count, (SELECT count(*) FROM (SELECT DISTINCT * FROM r))::BIGINT AS distinct_rows,
+       (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM r)))::BIGINT AS duplicate_rows
+FROM r""",
+)
+def audit_duplicates_repeated(spark, sf_dir):
+    """A2 on whole event rows of which a tenth is there twice."""
+    events = td.table(spark, sf_dir, "events")
+    return audit.duplicate_rows(events.unionByName(events.where("event_id % 10 = 0")))
+
+
 _TYPES = [
     ("transaction_id", "bigint", True, False, False, False, False, True),
     ("user_id", "bigint", True, False, False, False, True, False),
@@ -85,7 +99,7 @@ def audit_summary(spark, sf_dir):
 
 
 _DOCS_LEFT_SQL = """
-SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
 
@@ -96,6 +110,7 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 WITH t AS ({_DOCS_LEFT_SQL}),
 m AS (
   SELECT 'doc_id' AS column_name, count_if(doc_id IS NULL) AS missing, count(*) AS n FROM t
+  UNION ALL SELECT 'text', count_if(text IS NULL), count(*) FROM t
   UNION ALL SELECT 'lang', count_if(lang IS NULL), count(*) FROM t
   UNION ALL SELECT 'source', count_if(source IS NULL), count(*) FROM t
   UNION ALL SELECT 'n_chars', count_if(n_chars IS NULL), count(*) FROM t
@@ -105,7 +120,7 @@ SELECT column_name, missing::BIGINT AS missing, round(missing / n, 6) AS missing
 )
 def audit_high_missing(spark, sf_dir):
     """A4 on documents left-joined to their (partial) labels."""
-    d = td.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    d = td.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     lab = td.table(spark, sf_dir, "labels")
     return audit.high_missing(d.join(lab, "doc_id", "left"))
 

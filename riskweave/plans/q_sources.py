@@ -40,7 +40,27 @@ def scan_events_csv(spark, sf_dir):
     return _scan_cols(io.load_dataset(spark, path, schema=src.schema))
 
 
-@register("feature_metadata")
+def _metadata_sql() -> str:
+    from riskweave.plans.q_split_encode import _full_ctes
+
+    numeric = ",".join(["amount", *fe.ENGINEERED_FEATURES])
+    return td.with_views(
+        _full_ctes()
+        + f"""SELECT 'is_fraud' AS target_column, 'transaction_time' AS timestamp_column, 'user_id' AS user_id_column,
+  'transaction_id' AS transaction_id_column, 'amount' AS amount_column, '{numeric}' AS numeric_features,
+  (SELECT CASE WHEN count(DISTINCT merchant) <= 50 THEN 'merchant' ELSE '' END FROM tr) AS categorical_features,
+  '{numeric},' || (SELECT string_agg(c, ',' ORDER BY c = 'merchant_infrequent_sklearn', c)
+                   FROM (SELECT DISTINCT output_column AS c FROM voc)) AS output_features,
+  '{",".join(fe.ENGINEERED_FEATURES)}' AS built_features, 'is_fraud,transaction_time,transaction_id' AS dropped_features,
+  '' AS unavailable_features, '' AS limitations, 'time_based' AS split_method,
+  count_if(split = 'train')::BIGINT AS train_rows, count_if(split = 'valid')::BIGINT AS valid_rows, count_if(split = 'test')::BIGINT AS test_rows,
+  least(count_if(is_fraud = 0), count_if(is_fraud = 1)) >= 3 AS can_stratify
+FROM f""",
+        "events_txn",
+    )
+
+
+@register("feature_metadata", _metadata_sql())
 def feature_metadata(spark, sf_dir):
     """Roles, feature lists and split sizes written as JSON and read back."""
     from riskweave.plans import workflows as wf

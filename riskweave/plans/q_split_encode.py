@@ -192,10 +192,82 @@ def enc_transform(spark, sf_dir):
 
 
 @register(
-    "enc_processed_splits",
+    "enc_processed_pooled",
     td.with_views(_ENC_CTES + "SELECT transaction_id, split, is_fraud::BIGINT AS is_fraud, feature, value FROM enc", "events_txn"),
 )
-def enc_processed_splits(spark, sf_dir):
-    """Fit on train, transform all splits in one pass, target re-attached."""
+def enc_processed_pooled(spark, sf_dir):
+    """N5 with pooling at 8%: fit on train, transform all splits in one pass, target re-attached."""
     out, enc = _encoded(spark, sf_dir)
     return _long(out, ["transaction_id", "split", "is_fraud"], enc.output_features)
+
+
+# ------------------------------------------- the whole feature frame, encoded
+def _full_ctes() -> str:
+    """F1–F12 frame, time split and N1–N5 at the default minimum share (1%)."""
+    from riskweave.operators.features import ENGINEERED_FEATURES
+    from riskweave.plans.q_features import _HISTORY_SQL
+
+    numeric = ["amount", *ENGINEERED_FEATURES]
+    listed = ", ".join(f"coalesce({c}, 0)::DOUBLE AS {c}" for c in numeric)
+    unpivoted = "\n  UNION ALL ".join(f"SELECT transaction_id, split, is_fraud, '{c}' AS feature, {c} AS value FROM x" for c in numeric)
+    return (
+        _HISTORY_SQL.format(view="events_txn").rstrip()
+        + ",\n"
+        + _time_split_sql("events_txn")
+        + f""",
+f AS (SELECT e.transaction_id, s.split, e.is_fraud, e.merchant, round(e.amount, 6) AS amount, hour(e.transaction_time) AS event_hour,
+             isodow(e.transaction_time) - 1 AS event_day_of_week, CASE WHEN isodow(e.transaction_time) >= 6 THEN 1 ELSE 0 END AS is_weekend,
+             round(CASE WHEN e.amount IS NULL THEN NULL ELSE ln(1 + greatest(e.amount, 0.0)) END, 6) AS amount_log1p,
+             h.* EXCLUDE (transaction_id)
+      FROM events_txn e JOIN h USING (transaction_id) JOIN splits s USING (transaction_id)),
+tr AS (SELECT * FROM f WHERE split = 'train'),
+cnt AS (SELECT merchant AS value, count(*) AS c FROM tr WHERE merchant IS NOT NULL GROUP BY 1),
+md AS (SELECT value FROM cnt ORDER BY c DESC, value LIMIT 1),
+imp AS (SELECT value, c + CASE WHEN value = (SELECT value FROM md) THEN (SELECT count(*) FROM tr WHERE merchant IS NULL) ELSE 0 END AS c
+        FROM cnt),
+voc AS (SELECT value, CASE WHEN c >= 0.01::DOUBLE * (SELECT count(*) FROM tr) THEN 'merchant_' || value ELSE 'merchant_infrequent_sklearn' END
+                 AS output_column FROM imp),
+x AS (SELECT transaction_id, split, is_fraud, coalesce(merchant, (SELECT value FROM md)) AS m, {listed} FROM f),
+enc AS ({unpivoted}
+  UNION ALL SELECT x.transaction_id, x.split, x.is_fraud, o.output_column,
+         CASE WHEN o.output_column = coalesce(v.output_column, 'merchant_infrequent_sklearn') THEN 1.0 ELSE 0.0 END
+  FROM x CROSS JOIN (SELECT DISTINCT output_column FROM voc) o LEFT JOIN voc v ON x.m = v.value)
+"""
+    )
+
+
+def _full_data(spark, sf_dir):
+    """The job itself, not its stored artifact."""
+    from riskweave.plans import workflows as wf
+
+    return wf.prepare_model_data(spark, sf_dir, reuse=False)
+
+
+@register(
+    "enc_processed_splits",
+    td.with_views(
+        _full_ctes() + "SELECT transaction_id, split, is_fraud::BIGINT AS is_fraud, feature, round(value, 4) AS value FROM enc", "events_txn"
+    ),
+    digits=4,
+)
+def enc_processed_splits(spark, sf_dir):
+    """N5 on the whole frame: F1–F11 features, time split, F12 on train, encoder fitted on train."""
+    data = _full_data(spark, sf_dir)
+    return _long(data.df, ["transaction_id", "split", "is_fraud"], data.features)
+
+
+@register(
+    "model_scaler_full",
+    td.with_views(
+        _full_ctes() + "SELECT feature, round(avg(value), 4) AS mean, round(stddev_pop(value), 3) AS std FROM enc WHERE split = 'train' GROUP BY feature",
+        "events_txn",
+    ),
+    digits=4,
+    overrides={"std": 3},
+)
+def model_scaler_full(spark, sf_dir):
+    """M2 on the whole encoded frame: train mean and population std of every feature."""
+    from riskweave.operators import models as md
+
+    data = _full_data(spark, sf_dir)
+    return md.scaler_stats(data.df.where("split = 'train'"), data.features)
