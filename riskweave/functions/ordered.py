@@ -8,8 +8,10 @@ bounds from ``percentile_approx`` over the raw rows (one aggregate, fixed
 memory); each bucket is sorted on its own and shifted by the totals of the
 buckets before it (a table of at most 2^20 rows, broadcast).
 
-``exact_quantiles`` builds on it: pandas/DuckDB linear interpolation between
-the values at 0-based ranks floor(h) and ceil(h), h = (n - 1) q.
+``at_ranks`` finds the values at a few ranks without ordering the rest (a
+sketched bracket, counts, and the rows inside). ``exact_quantiles`` builds on it:
+pandas/DuckDB linear interpolation between the values at 0-based ranks floor(h)
+and ceil(h), h = (n - 1) q.
 """
 
 from __future__ import annotations
@@ -244,14 +246,90 @@ def ordered_prefix(
     )
 
 
+#: Steps of the rank grid, and the sketch's accuracy: a rank is off by at most rows / SKETCH.
+GRID, SKETCH = 1000, 10_000
+#: Bounds of so many groups are broadcast; more are joined by shuffle.
+BROADCAST_GROUPS = 10_000
+
+
+def at_ranks(df: DataFrame, value: str, ranks: dict[str, Column], groups: list[str] | None = None) -> DataFrame:
+    """Exact order statistics: the value at 0-based ranks of the ascending order.
+
+    ``ranks`` maps a name to a rank, an expression of ``n`` (the group's non-null
+    rows). Output: groups, n, rank_name, value, before (rows with smaller values)
+    and count (rows with this value).
+
+    Nothing is sorted as a whole. One aggregate sketches each group's values at a
+    grid of ranks; two grid values around a wanted rank, further away than the
+    sketch can be off, bracket it. A second pass counts the rows below each
+    bracket and collapses the rows inside, about 3 / GRID of the group, to
+    distinct values; only those are ordered. A rank outside its bracket, which
+    the counts would show, raises an error.
+    """
+    spark = df.sparkSession
+    groups = groups or []
+    names = list(ranks)
+    raw = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).alias("__v"))
+    grid = [i / GRID for i in range(GRID + 1)]
+    sketch = [F.count(F.lit(1)).alias("n"), F.percentile_approx("__v", grid, SKETCH).alias("__grid")]
+    stats = (raw.groupBy(*groups).agg(*sketch) if groups else raw.agg(*sketch)).where(F.col("n") > 0)
+    margin = GRID / SKETCH * 3
+    bounds = stats.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)], "n", "__grid")
+    for i, name in enumerate(names):
+        place = ranks[name].cast("double") / F.col("n") * GRID
+        step = F.ceil(F.lit(GRID) / F.col("n"))
+        low = F.greatest(F.lit(0), F.floor(place - margin - step) - 1).cast("int")
+        high = F.least(F.lit(GRID), F.ceil(place + margin + step) + 1).cast("int")
+        bounds = bounds.withColumns(
+            {
+                f"__r{i}": ranks[name].cast("long"),
+                f"__lo{i}": F.when(low > 0, F.element_at("__grid", low + 1)),
+                f"__hi{i}": F.when(high < GRID, F.element_at("__grid", high + 1)),
+            }
+        )
+    bounds = bounds.drop("__grid")
+
+    from riskweave.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    bounds = bounds.checkpoint()  # read twice: here and at the end
+    few = not groups or bounds.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(groups)]
+    on = F.lit(True)
+    for c in same:
+        on = on & c
+    near = raw.join(F.broadcast(bounds) if few else bounds, on)
+    # Per wanted rank: rows below the bracket count under a NULL value, rows inside under their own.
+    marks = [
+        F.when(F.coalesce(F.col("__v") < F.col(f"__lo{i}"), F.lit(False)), F.struct(F.lit(i).alias("i"), F.lit(None).cast(raw.schema["__v"].dataType).alias("v")))
+        .when(F.coalesce(F.col("__v") <= F.col(f"__hi{i}"), F.lit(True)), F.struct(F.lit(i).alias("i"), F.col("__v").alias("v")))
+        for i in range(len(names))
+    ]
+    marked = near.select(*groups, F.explode(F.array_compact(F.array(*marks))).alias("__m"))
+    counts = marked.groupBy(*groups, F.col("__m.i").alias("__i"), F.col("__m.v").alias("__v")).agg(F.count(F.lit(1)).alias("count"))
+    upto = F.sum("count").over(
+        Window.partitionBy(*groups, "__i").orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    placed = counts.withColumn("before", upto - F.col("count")).join(F.broadcast(bounds) if few else bounds, on)
+    wanted = F.element_at(F.array(*[F.col(f"__r{i}") for i in range(len(names))]), F.col("__i") + 1)
+    hit = placed.where((F.col("before") <= wanted) & (wanted < F.col("before") + F.col("count")))
+    checked = F.when(F.col("__v").isNotNull(), F.col("__v")).otherwise(F.raise_error(F.lit("a rank lies outside its bracket")))
+    return hit.select(
+        *groups,
+        "n",
+        F.element_at(F.array(*[F.lit(x) for x in names]), F.col("__i") + 1).alias("rank_name"),
+        checked.alias("value"),
+        F.col("before").cast("long").alias("before"),
+        F.col("count").cast("long").alias("count"),
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     probs: list[float],
     groups: list[str] | None = None,
     names: list[str] | None = None,
-    buckets: int = DEFAULT_BUCKETS,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles per group, one column per prob.
 
@@ -260,29 +338,14 @@ def exact_quantiles(
     value are absent.
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
-    keep = list(groups or [])
-    if not keep:
-        df = df.withColumn("__all", F.lit(0))
-    groups = keep or ["__all"]
-    pref = ordered_prefix(df, value, {"c": F.lit(1)}, groups, buckets, rows_per_bucket)
-    totals = pref.groupBy(*groups).agg(F.sum("c").alias("n"))
-    # One row per group (bounded by MAX_BROADCAST_GROUPS): joined by broadcast.
-    pref = pref.join(F.broadcast(totals), groups, "inner")
-    before = F.col("cum_c") - F.col("c")
-    aggs = []
-    for p, name in zip(probs, names):
-        h = (F.col("n") - 1) * F.lit(float(p))
-        lo = F.floor(h)
-        hi = F.ceil(h)
-        aggs.append(F.max(F.when((before <= lo) & (lo < F.col("cum_c")), F.col(value))).alias(f"__lo_{name}"))
-        aggs.append(F.max(F.when((before <= hi) & (hi < F.col("cum_c")), F.col(value))).alias(f"__hi_{name}"))
-        aggs.append(F.first(h - lo).alias(f"__f_{name}"))
-    res = pref.groupBy(*groups, "n").agg(*aggs)
-    return res.select(
-        *keep,
-        F.col("n").cast("bigint").alias("n"),
-        *[
-            (F.col(f"__lo_{n}") + F.col(f"__f_{n}") * (F.col(f"__hi_{n}") - F.col(f"__lo_{n}"))).alias(n)
-            for n in names
-        ],
-    )
+    groups = list(groups or [])
+    place = lambda p: (F.col("n") - 1) * F.lit(float(p))
+    ranks = {f"{end}_{name}": cut(place(p)) for p, name in zip(probs, names) for end, cut in (("lo", F.floor), ("hi", F.ceil))}
+    found = at_ranks(df, value, ranks, groups)
+    ends = [F.max(F.when(F.col("rank_name") == r, F.col("value"))).cast("double").alias(f"__{r}") for r in ranks]
+    wide = found.groupBy(*groups, "n").agg(*ends)
+    out = [
+        (F.col(f"__lo_{x}") + (place(p) - F.floor(place(p))) * (F.col(f"__hi_{x}") - F.col(f"__lo_{x}"))).alias(x)
+        for p, x in zip(probs, names)
+    ]
+    return wide.select(*groups, F.col("n").cast("bigint").alias("n"), *out)

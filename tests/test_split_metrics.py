@@ -1,5 +1,7 @@
 """Split sizes, metric edge cases and the reference's published sanity values."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,9 +150,49 @@ def test_ordered_prefix_and_quantiles_match_brute_force(spark, rows_per_bucket,
     exp["cum_c"] = exp.groupby("g")["c"].cumsum()
     got = got.sort_values(["g", "v"]).reset_index(drop=True)
     assert got["cum_c"].tolist() == exp["cum_c"].tolist()
-    q = exact_quantiles(df, "v", [0.25, 0.5, 0.95], ["g"], buckets=buckets, rows_per_bucket=rows_per_bucket)
+    q = exact_quantiles(df, "v", [0.25, 0.5, 0.95], ["g"])
     q = q.toPandas().set_index("g")
     for key, part in pdf.dropna().groupby("g"):
         for p, name in ((0.25, "q25"), (0.5, "q50"), (0.95, "q95")):
             assert q.loc[key, name] == pytest.approx(part["v"].quantile(p), rel=1e-12)
     assert bool(calls) == (buckets == 4)  # only the capped case needs the second level
+
+
+@pytest.mark.parametrize("grid,sketch,few", [(1000, 10_000, 10_000), (20, 100, 10_000), (20, 100, 0)])
+def test_ranks_in_brackets_match_sorting(spark, monkeypatch, grid, sketch, few):
+    from riskweave.functions import ordered
+
+    monkeypatch.setattr(ordered, "GRID", grid)
+    monkeypatch.setattr(ordered, "SKETCH", sketch)
+    monkeypatch.setattr(ordered, "BROADCAST_GROUPS", few)
+    rng = np.random.default_rng(11)
+    parts = {"a": rng.normal(size=4000), "b": np.repeat([3.0, 1.0, 2.0], [3000, 5, 400]), "c": np.array([7.0]), None: rng.integers(0, 50, 900) * 1.0}
+    pdf = pd.DataFrame([(g, float(v)) for g, vs in parts.items() for v in vs] + [("a", None), ("d", None)], columns=["g", "v"])
+    df = spark.createDataFrame([(g, None if pd.isna(v) else v) for g, v in pdf.itertuples(index=False)], "g string, v double").repartition(7)
+    ranks = {"first": F.lit(0), "third": F.floor(F.col("n") / 3), "last": F.col("n") - 1}
+    got = {(r["g"], r["rank_name"]): r for r in ordered.at_ranks(df, "v", ranks, ["g"]).collect()}
+    assert len(got) == 3 * len(parts)
+    for g, values in parts.items():
+        s = np.sort(values)
+        for name, k in (("first", 0), ("third", len(s) // 3), ("last", len(s) - 1)):
+            r = got[g, name]
+            assert (r["value"], r["before"], r["count"], r["n"]) == (s[k], (s < s[k]).sum(), (s == s[k]).sum(), len(s))
+    assert ordered.at_ranks(df.where("g = 'd'"), "v", ranks).count() == 0
+
+
+def test_quantiles_do_not_order_all_values(spark):
+    from riskweave.functions.ordered import exact_quantiles
+
+    df = spark.range(200_000).select(F.xxhash64("id").cast("double").alias("v"))
+    q = exact_quantiles(df, "v", [0.5, 0.95])
+    assert q.first()["q50"] == pytest.approx(df.approxQuantile("v", [0.5], 0.0)[0], rel=1e-2)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketizer" not in plan and plan.count("Window") <= 2
+
+
+def test_many_groups_have_quantiles(spark):
+    from riskweave.functions.ordered import exact_quantiles
+
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("g"), F.col("id").cast("double").alias("v"))
+    q = exact_quantiles(df, "v", [0.5], ["g"])
+    assert q.count() == 20_000 and q.where(F.col("q50") != F.col("g") + 20_000).count() == 0
