@@ -185,8 +185,12 @@ def is_held_out(id_column: F.Column) -> F.Column:
 def fit_on(stats: DataFrame, labels: DataFrame, *, max_rows: int = 20_000) -> Trees:
     """Fits on at most ``max_rows`` labelled rows that are not held out."""
     marks = labels.where(F.col("quality").isin(0, 1) & ~is_held_out(F.col("doc_id"))).select("doc_id", "quality")
-    taught = stats.join(marks, "doc_id").select("doc_id", "quality", "stats")
-    rows = taught.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows).select("quality", "stats").toPandas()
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    taught = stats.join(marks, "doc_id").select(place.alias("place"), "doc_id", "quality", "stats")
+    # Each task sends the driver its share of the sample only, however many tasks there are.
+    share = 1.5 * max_rows / max(1, taught.count())
+    taught = taught.where(F.col("place") < int(min(1.0, share) * (1 << 40)))
+    rows = taught.orderBy("place", "doc_id", "quality").limit(max_rows).select("quality", "stats").toPandas()
     x = np.array(rows["stats"].tolist(), dtype=np.float64).reshape(len(rows), len(FEATURES))
     return fit_trees(x, rows["quality"].to_numpy(dtype=np.float64))
 
