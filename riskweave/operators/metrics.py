@@ -71,12 +71,13 @@ def score_table(df: DataFrame, y: str, score: str) -> DataFrame:
     Columns: score, tp, fp, cum_tp, cum_fp (inclusive), plus P and N totals.
     """
     base = df.select(F.col(y).cast("long").alias("__y"), (-F.col(score)).alias("__neg"))
+    # The totals come from one aggregate of the rows, not from the finished prefix.
+    tot = base.where(F.col("__neg").isNotNull()).agg(F.sum("__y").alias("P"), F.sum(1 - F.col("__y")).alias("N")).first()
     pref = ordered_prefix(base, "__neg", {"tp": F.col("__y"), "fp": 1 - F.col("__y")})
-    tot = pref.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"), F.lit(1).alias("__k"))
-    # totals: exactly one row
-    return pref.withColumn("__k", F.lit(1)).join(F.broadcast(tot), "__k").select(
-        (-F.col("__neg")).alias("score"), "tp", "fp", "cum_tp", "cum_fp", "P", "N"
-    )
+    return pref.select(
+        (-F.col("__neg")).alias("score"), "tp", "fp", "cum_tp", "cum_fp",
+        F.lit(tot["P"]).cast("long").alias("P"), F.lit(tot["N"]).cast("long").alias("N"),
+    )
 
 
 def ranking_metrics(table: DataFrame) -> DataFrame:
@@ -110,9 +111,7 @@ def roc_curve(table: DataFrame) -> DataFrame:
         F.try_divide(F.col("cum_tp"), F.col("P")).alias("tpr"),
         F.col("score").alias("threshold"),
     )
-    start = table.agg(F.count(F.lit(1)).alias("__n")).select(
-        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(float("inf")).alias("threshold")
-    )
+    start = table.sparkSession.createDataFrame([(0.0, 0.0, float("inf"))], "fpr double, tpr double, threshold double")
     return start.unionByName(pts)
 
 
@@ -124,9 +123,7 @@ def pr_curve(table: DataFrame) -> DataFrame:
         F.try_divide(F.col("cum_tp"), F.col("P")).alias("recall"),
         F.col("score").alias("threshold"),
     )
-    end = table.agg(F.count(F.lit(1)).alias("__n")).select(
-        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), F.lit(None).cast("double").alias("threshold")
-    )
+    end = table.sparkSession.createDataFrame([(1.0, 0.0, None)], "precision double, recall double, threshold double")
     return pts.unionByName(end)
 
 
@@ -157,17 +154,17 @@ def class_report(df: DataFrame, y: str, pred: Column) -> DataFrame:
 
 def evaluate(df: DataFrame, y: str, score: str, threshold: float = 0.5) -> DataFrame:
     """The whole metric row at ``threshold`` (ranking metrics NULL with one class)."""
-    pred = F.col(score) >= F.lit(threshold)
-    c = confusion(df, y, pred)
-    cols = prf_columns(F.col("tp"), F.col("fp"), F.col("fn"))
+    ranked = ranking_metrics(score_table(df, y, score)).first().asDict()  # one row
+    yt, p = F.col(y).cast("int"), (F.col(score) >= F.lit(threshold)).cast("int")
+    cells = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
+    counts = [F.count_if((yt == t) & (p == q)).cast("bigint").alias(name) for name, (t, q) in cells.items()]
+    c = df.agg(*counts, F.avg(log_loss_expr(F.col(y).cast("double"), F.col(score))).alias("log_loss"))
     n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
-    head = c.select(
+    cols = prf_columns(F.col("tp"), F.col("fp"), F.col("fn"))
+    return c.select(
         ((F.col("tp") + F.col("fn")) / n).alias("positive_rate"),
         *[v.alias(k) for k, v in cols.items()],
-        "tn", "fp", "fn", "tp",
-        F.lit(1).alias("__k"),
+        *cells,
+        "log_loss",
+        *[F.lit(v).cast("double").alias(k) for k, v in ranked.items()],
     )
-    ll = log_loss(df, y, score).withColumn("__k", F.lit(1))
-    rk = ranking_metrics(score_table(df, y, score)).withColumn("__k", F.lit(1))
-    # three one-row tables joined on a constant key
-    return head.join(ll, "__k").join(rk, "__k").drop("__k")

@@ -8,6 +8,8 @@ watermark are ignored. The batch twin computes the same counts with
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,10 +37,16 @@ def flatten(df: DataFrame) -> DataFrame:
 
 
 def velocity_stream(
-    stream: DataFrame, user: str, ts: str, watermark: str = "1 hour", end_marker: str | None = None
+    stream: DataFrame,
+    user: str,
+    ts: str,
+    watermark: str = "1 hour",
+    end_marker: str | None = None,
+    counts: Callable[[DataFrame, str, str], DataFrame] = hourly_counts,
 ) -> DataFrame:
-    """Streaming hourly counts with a watermark (append mode emits a window
-    once the watermark passes its end). Wall-clock (NTZ) times are read as
+    """Streaming window counts with a watermark (append mode emits a window
+    once the watermark passes its end); ``counts`` is one of the functions
+    above, hourly or sliding. Wall-clock (NTZ) times are read as
     session-time-zone timestamps, which watermarks require."""
     if stream.schema[ts].dataType.typeName() == "timestamp_ntz":
         stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
@@ -47,4 +55,4 @@ def velocity_stream(
         from riskweave.streaming.source import drop_marker
 
         timed = drop_marker(timed, ts, end_marker)
-    return hourly_counts(timed, user, ts)
+    return counts(timed, user, ts)
