@@ -91,3 +91,32 @@ def test_forest_subsample_pool_gives_psi_distinct_rows_per_tree(spark):
         per = {r["__tree"]: (r["n"], r["d"]) for r in s.groupBy("__tree").agg(F.count("*").alias("n"), F.count_distinct("k").alias("d")).collect()}
         assert sorted(per) == list(range(10))
         assert all(v == (256, 256) for v in per.values()), per
+
+
+def test_boosting_and_permutation_find_the_planted_signal(spark, planted):
+    from riskweave.operators import explain as ex
+
+    base = {"min_samples_leaf": 5, "l2_regularization": 0.0}
+    grid = [base | {"learning_rate": 1e-6, "max_depth": 1, "max_iter": 1}, base | {"learning_rate": 0.3, "max_depth": 3, "max_iter": 8}]
+    train, valid = planted.where("id < 3000"), planted.where("id >= 3000")
+    res = md.tune_gbt(train, valid, ["x1", "x2"], "y", grid)
+    assert res.best_params == grid[1] and [r["candidate"] for r in res.rows] == [0, 1]
+    s = md.score(res.model, valid, ["x1", "x2"], ["id", "y"])
+    assert mt.evaluate(s, "y", "score", 0.5).first()["roc_auc"] > 0.9
+    imp = {r["feature"]: r["importance"] for r in ex.permutation_importance(res.model, valid, ["x1", "x2"], "y", "id", repeats=3).collect()}
+    assert imp["x1"] > 0.2 > abs(imp["x2"])
+
+
+def test_artifacts_are_found_again_by_all_that_shapes_them(spark):
+    from riskweave.plans import workflows as wf
+    from riskweave.session import artifact_path, path_exists
+
+    small = SF001.replace("0.01", "0.001")
+    first = wf.prepare_model_data(spark, small)
+    again = wf.prepare_model_data(spark, small)
+    assert again.features == first.features and again.built == first.built
+    assert sorted(again.df.inputFiles()) == sorted(first.df.inputFiles())
+    other = wf.prepare_model_data(spark, small, params={"train_ratio": 0.6})
+    assert set(other.df.inputFiles()).isdisjoint(first.df.inputFiles())
+    assert other.df.where("split = 'train'").count() < first.df.where("split = 'train'").count()
+    assert path_exists(spark, artifact_path(spark, "")) and not path_exists(spark, artifact_path(spark, "absent"))
