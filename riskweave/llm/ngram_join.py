@@ -12,9 +12,20 @@ larger partners can lie in.
 Signatures of fewer than ``weak`` shingles match too much. Each band has some
 spare partitions; a set with no more weak partitions than spares leaves its weak
 signatures out, and one partition that is neither weak nor spoilt remains for
-every similar pair. Any other set gives all of its signatures.
-
-Documents that share signatures form candidate clusters. Each cluster's sets are
+every similar pair. Any other set gives all of its signatures. By the same count a
+similar pair shares at least ``need`` = spares + 1 - weak partitions signatures.
+
+Shingles of passages that very many documents share would fill signatures of
+unrelated documents. Leaving features out of the domain keeps every guarantee, so a set
+signs without such shingles (found by counting in every batch of documents; which ones
+are found changes the work, not the result). A set with too little besides them signs
+over the whole domain too, for its like; the two domains are told apart.
+
+Sets that share a signature are paired up where at most BUCKET sets have it, and a pair
+is a candidate if it shares as many signatures as it needs. Sets that share a
+signature with more than BUCKET sets are all candidates of each other, which is noted as
+a chain of links and not as pairs. Candidates, followed from one to the next, form
+clusters; each cluster's sets are
 compared exactly: walking from document to document, all sets not reached yet
 are tested against the current one, so every link between separate parts is found
 and no list of pairs is built. A cluster too large for one task is cut into tiles,
@@ -37,15 +48,18 @@ from math import ceil, exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.components import components
 from riskweave.llm.tables import Scratch
 from riskweave.llm.words import M1, M2, M3, mixed, words_of
 
-#: Ratio of a size band's ends, shingles of one comparison tile.
-BAND_RATIO, TILE_SHINGLES = 1.4, 1_000_000
+#: Ratio of a size band's ends, shingles of one comparison tile, sets of a signature that are paired up.
+BAND_RATIO, TILE_SHINGLES, BUCKET = 1.4, 1_000_000, 16
+#: Shingles counted together, documents that make a shingle common, and how many common ones are sent to all tasks.
+COUNTED, COMMON, MOST_COMMON = 500_000, 64, 500_000
 _S = [np.uint64(s) for s in range(64)]
 
 
@@ -100,11 +114,11 @@ class Bands:
             parts = need
             for _ in range(6):
                 share = min(1.0, subs * _below(low / parts * (subs - skip) / subs, weak))
-                spare = ceil(share * parts + 2 * (share * (1 - share) * parts) ** 0.5)
+                spare = ceil(share * parts + 2 * (share * (1 - share) * parts) ** 0.5 + 0.08 * need)
                 parts = need + spare
-            if spare <= 0.25 * need + 2:
+            if spare <= 0.25 * need + 2 or weak == 1:  # at least, empty signatures are left out
                 return Band(index, need + spare, subs, skip, spare, weak)
-        return Band(index, need, subs, skip, 0, 0)
+        raise AssertionError
 
     def of(self, n: int) -> list[Band]:
         """The bands that a set of size n signs for."""
@@ -112,34 +126,53 @@ class Bands:
         return [self.band(i) for i in range(int(first), int(last) + 1)]
 
 
-def signatures(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """The PartEnum signatures of a set, over all bands it signs for."""
+def band_signatures(hashes: np.ndarray, band: Band, whole: bool) -> tuple[np.ndarray, np.ndarray, int]:
+    """(signatures, which are strong, number of weak partitions) of a set in one band and domain."""
     values = mixed(hashes + M1)
+    part = ((hashes >> _S[40]) * np.uint64(band.parts)) >> _S[24]
+    cells, size = part.astype(np.int64), band.parts * band.subs
+    if band.subs > 1:
+        sub = (((hashes >> _S[16]) & np.uint64(0xFFFFFF)) * np.uint64(band.subs)) >> _S[24]
+        cells = cells * band.subs + sub.astype(np.int64)
+    counts = np.bincount(cells, minlength=size).reshape(band.parts, band.subs)
+    # Sums of 32-bit halves stay below 2**53, so they are exact.
     low, high = (values & np.uint64(0xFFFFFFFF)).astype(float), (values >> _S[32]).astype(float)
-    out = []
+    sums = np.bincount(cells, weights=low, minlength=size).astype(np.uint64)
+    sums += np.bincount(cells, weights=high, minlength=size).astype(np.uint64) << _S[32]
+    sums = sums.reshape(band.parts, band.subs)
+    if band.skip:
+        chosen = list(combinations(range(band.subs), band.subs - band.skip))
+        counts = np.stack([counts[:, c].sum(axis=1) for c in chosen], axis=1)
+        sums = np.stack([sums[:, c].sum(axis=1) for c in chosen], axis=1)
+    place = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + np.uint64((2 * band.index + whole) << 48)
+    strong = counts >= band.weak
+    return mixed(sums + mixed(place * M1 + M2)), strong, int((~strong).any(axis=1).sum())
+
+
+def signatures(hashes: np.ndarray, bands: Bands, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The PartEnum signatures of a set over all bands it signs for, and the code of each:
+    band and domain, and how many signatures of them a similar set shares.
+
+    ``common`` are the sorted shingles to leave out. A set that has more weak
+    partitions without them than the band has spares gives its strong signatures,
+    which similar sets without that trouble share (need 0: two such sets do not
+    become candidates by them), and those of the whole domain.
+    """
+    rest = hashes
+    if common is not None and len(common):
+        rest = hashes[common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] != hashes]
+    out, codes = [], []
     for band in bands.of(len(hashes)):
-        part = ((hashes >> _S[40]) * np.uint64(band.parts)) >> _S[24]
-        cells, size = part.astype(np.int64), band.parts * band.subs
-        if band.subs > 1:
-            sub = (((hashes >> _S[16]) & np.uint64(0xFFFFFF)) * np.uint64(band.subs)) >> _S[24]
-            cells = cells * band.subs + sub.astype(np.int64)
-        counts = np.bincount(cells, minlength=size).reshape(band.parts, band.subs)
-        # Sums of 32-bit halves stay below 2**53, so they are exact.
-        sums = np.bincount(cells, weights=low, minlength=size).astype(np.uint64)
-        sums += np.bincount(cells, weights=high, minlength=size).astype(np.uint64) << _S[32]
-        sums = sums.reshape(band.parts, band.subs)
-        if band.skip:
-            chosen = list(combinations(range(band.subs), band.subs - band.skip))
-            counts = np.stack([counts[:, c].sum(axis=1) for c in chosen], axis=1)
-            sums = np.stack([sums[:, c].sum(axis=1) for c in chosen], axis=1)
-        place = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + np.uint64(band.index << 48)
-        total = mixed(sums + mixed(place * M1 + M2))
-        strong = counts >= band.weak
-        if (~strong).any(axis=1).sum() <= band.spare:
-            out.append(total[strong])
-        else:
-            out.append(total.ravel())
-    return np.concatenate(out)
+        for whole in (False, True):
+            found, strong, weak = band_signatures(hashes if whole else rest, band, whole)
+            fine = weak <= band.spare
+            keep = strong if fine or not whole else np.ones_like(strong)
+            need = max(1, band.spare + 1 - weak) if fine or whole else 0
+            out.append(found[keep])
+            codes.append(np.full(len(out[-1]), (2 * band.index + whole) << 20 | min(need, (1 << 20) - 1), dtype=np.int64))
+            if fine:
+                break
+    return np.concatenate(out), np.concatenate(codes)
 
 
 def set_key(hashes: np.ndarray) -> tuple[int, int]:
@@ -151,70 +184,155 @@ def set_key(hashes: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-SIGNED = "doc_id long, n long, key_a long, key_b long, sigs array<long>, peers array<long>"
-
-
-def _lists(values: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, values)])
-    flat = np.concatenate([np.zeros(0, dtype=np.int64), *values])
-    return pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(flat, type=pa.int64()))
-
+def described(texts: DataFrame, *, k: int) -> DataFrame:
+    """(doc_id, n, key_a, key_b, often, times): size and key of each document's set.
 
-def signed(docs: DataFrame, *, k: int, num: int, den: int) -> DataFrame:
-    """Size, key and signatures of each document's set.
-
-    Within a batch a signature is kept once, by the first document that has it;
-    later ones name that document among their peers. This is the partial
-    aggregation that keeps a large group of copies out of one signature's rows.
+    Now and then a row lists the shingles that many documents since the last
+    list have, and how many have them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(num, den)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            sizes, keys, sigs, peers, owner, first = [], [], [], [], {}, {}
+            rows: tuple[list, ...] = ([], [], [])
+            often: list[tuple[list, list]] = []
+            held: list[np.ndarray] = []
+            size = 0
             for i, text in enumerate(batch.column(1)):
                 raw = text.as_buffer()
                 hashes = shingles(raw.to_pybytes() if raw is not None else b"", k)
-                key = set_key(hashes)
-                sizes.append(len(hashes))
-                keys.append(key)
-                none = np.zeros(0, dtype=np.int64)
-                sigs.append(none)
-                peers.append(none)
-                if not len(hashes) or ids[i] is None:
-                    continue
-                if key in first:
-                    peers[-1] = np.array([first[key]], dtype=np.int64)
-                else:
-                    first[key] = ids[i]
-                    sigs[-1] = signatures(hashes, bands).view(np.int64)
-            if any(map(len, sigs)):
-                every = np.concatenate(sigs)
-                row = np.repeat(np.arange(len(sigs)), [len(s) for s in sigs])
-                _, at, back = np.unique(every, return_index=True, return_inverse=True)
-                owner = row[at][back]  # np.unique gives the first place, so the first row
-                mine = owner == row
-                met = np.unique(np.stack([row[~mine], owner[~mine]], axis=1), axis=0) if not mine.all() else np.zeros((0, 2), int)
-                cut = np.searchsorted(row, np.arange(len(sigs) + 1))
-                ids_of = np.array([x if x is not None else 0 for x in ids], dtype=np.int64)
-                for i in np.flatnonzero(np.diff(cut)):
-                    sigs[i] = every[cut[i] : cut[i + 1]][mine[cut[i] : cut[i + 1]]]
-                for i in np.unique(met[:, 0]):
-                    peers[i] = ids_of[met[met[:, 0].searchsorted(i) : met[:, 0].searchsorted(i, "right"), 1]]
+                for column, value in zip(rows, (len(hashes), *set_key(hashes)), strict=True):
+                    column.append(value)
+                held.append(hashes)
+                often.append(([], []))
+                size += len(hashes)
+                if size and (i + 1 == len(batch) or size > COUNTED):
+                    found, times = np.unique(np.concatenate(held), return_counts=True)
+                    many = times >= max(4, len(held) // 500)
+                    often[-1] = (found[many].view(np.int64).tolist(), times[many].tolist())
+                    held, size = [], 0
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, type=pa.int64()),
-                    pa.array(sizes, type=pa.int64()),
-                    pa.array([a for a, _ in keys], type=pa.int64()),
-                    pa.array([b for _, b in keys], type=pa.int64()),
-                    _lists(sigs),
-                    _lists(peers),
+                    batch.column(0),
+                    *[pa.array(c, type=pa.int64()) for c in rows],
+                    *[pa.array([o[j] for o in often], type=pa.list_(pa.int64())) for j in range(2)],
                 ],
-                ["doc_id", "n", "key_a", "key_b", "sigs", "peers"],
+                ["doc_id", "n", "key_a", "key_b", "often", "times"],
+            )
+
+    return texts.mapInArrow(run, "doc_id long, n long, key_a long, key_b long, often array<long>, times array<long>")
+
+
+def common_shingles(rows: DataFrame) -> np.ndarray:
+    """The shingles that ``described`` saw in most documents, MOST_COMMON at most."""
+    listed = rows.where(F.size("often") > 0).select(F.explode(F.arrays_zip("often", "times")).alias("x"))
+    counted = listed.groupBy(F.col("x.often").alias("shingle")).agg(F.sum("x.times").alias("n")).where(F.col("n") >= COMMON)
+    top = counted.orderBy(F.col("n").desc(), "shingle").limit(MOST_COMMON).select("shingle").toPandas()
+    return np.sort(top["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
+#: Codes of rows that are links already, and of signatures that more than BUCKET documents of a batch have.
+LINK, MANY = -1, 1 << 62
+#: Signatures that a task holds before it passes them on, and bytes of sets likewise.
+SIGNED_ROWS, FETCHED_BYTES = 1 << 18, 1 << 23
+
+
+def signed(texts: DataFrame, common: Broadcast, *, k: int, num: int, den: int) -> DataFrame:
+    """(sig, code, a, b): the signatures of each document a, and links (a, b).
+
+    A copy within a batch signs nothing and is linked to the first one. A
+    signature that more than BUCKET documents of a batch have is kept once, by the
+    first of them, to which the others are linked. This is the partial aggregation
+    that keeps a large group of copies or near copies out of one signature's rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(num, den)
+
+        def rows_of(ids: list[int], found: list[tuple[np.ndarray, np.ndarray]], links: list[tuple[int, int]]) -> pa.RecordBatch:
+            sigs = np.concatenate([np.zeros(0, dtype=np.uint64), *[s for s, _ in found]]).view(np.int64)
+            codes = np.concatenate([np.zeros(0, dtype=np.int64), *[c for _, c in found]])
+            owner = np.repeat(np.array(ids, dtype=np.int64), [len(s) for s, _ in found])
+            _, first, back, times = np.unique(sigs, return_index=True, return_inverse=True, return_counts=True)
+            many = times[back] > BUCKET
+            codes[many] |= MANY
+            later = many & (np.arange(len(sigs)) != first[back])
+            pairs = np.unique(np.stack([owner[later], owner[first[back[later]]]], axis=1), axis=0)
+            pairs = np.concatenate([pairs, np.array(links, dtype=np.int64).reshape(-1, 2)])
+            columns = (
+                np.concatenate([sigs[~later], pairs[:, 0] * np.int64(-0x61C8864680B583EB)]),
+                np.concatenate([codes[~later], np.full(len(pairs), LINK)]),
+                np.concatenate([owner[~later], pairs[:, 0]]),
+                np.concatenate([np.zeros(int((~later).sum()), dtype=np.int64), pairs[:, 1]]),
             )
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "code", "a", "b"])
+
+        for batch in batches:
+            ids, found, links, size = [], [], [], 0
+            first: dict[tuple[int, int], int] = {}
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                hashes = shingles(text.as_buffer().to_pybytes(), k)
+                if not len(hashes):
+                    continue
+                owner = first.setdefault(set_key(hashes), doc_id)
+                if owner != doc_id:
+                    links.append((doc_id, owner))
+                    continue
+                ids.append(doc_id)
+                found.append(signatures(hashes, bands, common.value))
+                size += len(found[-1][0])
+                if size > SIGNED_ROWS:
+                    yield rows_of(ids, found, links)
+                    ids, found, links, size = [], [], [], 0
+            yield rows_of(ids, found, links)
+
+    return texts.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).mapInArrow(run, "sig long, code long, a long, b long")
+
+
+PAIRED = "a long, b long, band long, need long, n long"
 
-    return docs.mapInArrow(run, SIGNED)
+
+def paired(rows: DataFrame) -> DataFrame:
+    """(a, b, band, need, n) from the rows of ``signed`` in order of signature.
+
+    n pairs with a need for each band; need 0 marks links that hold without count.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.zeros(0, dtype=np.int64) for _ in range(3)]  # the last rows of the batch before
+        base = np.zeros(0, dtype=np.int64)  # their places within their signature
+        for batch in batches:
+            sig, code, a, b = (batch.column(i).to_numpy() for i in range(4))
+            is_link = code == LINK
+            out = [(a[is_link], b[is_link], np.full(int(is_link.sum()), -1), np.zeros(int(is_link.sum()), dtype=np.int64))]
+            old = len(kept[0])
+            sig, code, a = (np.concatenate([x, y[~is_link]]) for x, y in zip(kept, (sig, code, a), strict=True))
+            start = np.flatnonzero(np.diff(sig, prepend=sig[0] ^ 1 if len(sig) else 0) != 0)
+            place = np.arange(len(sig)) - np.repeat(start, np.diff(start, append=len(sig)))
+            if old:  # the first signature may go on from the batch before
+                goes_on = sig == sig[0]
+                place[goes_on] += base[0]
+            many = (code & MANY) != 0
+            fresh = np.arange(len(sig)) >= old
+            chained = fresh & (place > 0) & ((place >= BUCKET) | many)
+            for back in range(1, BUCKET + 1):
+                at = np.flatnonzero(fresh & (place >= back))
+                if not len(at):
+                    break
+                chain = chained[at] & ((back == 1) | (place[at] == BUCKET) | many[at])
+                pair = ~chained[at] & ((code[at] | code[at - back]) & 0xFFFFF > 0)
+                for rows_at, is_chain in ((at[chain], True), (at[pair], False)):
+                    band = np.full(len(rows_at), -1) if is_chain else (code[rows_at] & ~np.int64(MANY)) >> 20
+                    need = np.maximum(code[rows_at] & 0xFFFFF, code[rows_at - back] & 0xFFFFF)
+                    out.append((a[rows_at], a[rows_at - back], band, np.zeros_like(need) if is_chain else need))
+            last = slice(max(0, len(sig) - BUCKET - 1), None)
+            kept, base = [sig[last], code[last], a[last]], place[last]
+            x, y, band, need = (np.concatenate(c) for c in zip(*out, strict=True))
+            table = np.stack([np.maximum(x, y), np.minimum(x, y), band, need], axis=1)[x != y]
+            table, n = np.unique(table, axis=0, return_counts=True) if len(table) else (table, np.zeros(0, dtype=np.int64))
+            columns = [*[np.ascontiguousarray(table[:, i]) for i in range(4)], n]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "band", "need", "n"])
+
+    return rows.mapInArrow(run, PAIRED)
 
 
 def linked_stars(nodes: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -267,9 +385,16 @@ def compared(members: DataFrame, docs: DataFrame, *, k: int, num: int, den: int)
     ``members`` has doc_id, key_a, key_b, cluster, tiles and tile.
     """
 
+    def made(out: tuple[list, ...]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, type=t) for c, t in zip(out, kinds, strict=True)], ["cluster", "tile_a", "tile_b", "doc_id", "set"]
+        )
+
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
+            size = 0
             rows = zip(*[batch.column(i).to_pylist() for i in range(6)], batch.column(6), strict=True)
             for doc_id, key_a, key_b, cluster, tiles, tile, text in rows:
                 hashes = shingles(text.as_buffer().to_pybytes(), k)
@@ -281,10 +406,11 @@ def compared(members: DataFrame, docs: DataFrame, *, k: int, num: int, den: int)
                         out, (cluster, min(tile, other), max(tile, other), doc_id, hashes.tobytes()), strict=True
                     ):
                         column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(out, kinds, strict=True)], ["cluster", "tile_a", "tile_b", "doc_id", "set"]
-            )
+                    size += hashes.nbytes
+                    if size > FETCHED_BYTES:
+                        yield made(out)
+                        out, size = ([], [], [], [], []), 0
+            yield made(out)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, ids, sets, a, b = None, [], [], [], []
@@ -328,13 +454,15 @@ def similar_documents(
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     scratch = Scratch(docs.sparkSession, "ngrams")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = scratch.write(signed(texts, k=k, num=num, den=den), "signed")
+    rows = scratch.write(described(texts, k=k), "described")
 
-    by_signature = Window.partitionBy("sig").orderBy("a")
-    met = rows.select(F.col("doc_id").alias("a"), F.explode("sigs").alias("sig")).withColumn("b", F.lag("a").over(by_signature))
-    met = met.where(F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select("a", "b")
-    peers = rows.select(F.col("doc_id").alias("a"), F.explode("peers").alias("b"))
-    clusters = scratch.write(components(met.unionByName(peers), scratch), "clusters")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(rows))  # MOST_COMMON numbers at most
+    sigs = signed(texts, common, k=k, num=num, den=den).repartition(parts, "sig")
+    sigs = sigs.sortWithinPartitions("sig", F.col("code").bitwiseAND(F.lit(MANY)), "a")
+    pairs = paired(sigs).groupBy("a", "b", "band").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    met = pairs.where(F.col("n") >= F.col("need")).select("a", "b")
+    clusters = scratch.write(components(met, scratch), "clusters")
 
     sets = rows.select("doc_id", "n", "key_a", "key_b").join(clusters, F.col("doc_id") == F.col("node"))
     sets = sets.groupBy("component", "key_a", "key_b").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
