@@ -33,7 +33,7 @@ from riskweave.llm.tables import Scratch
 from riskweave.llm.words import words_of
 
 #: Words whose ids a worker keeps, and bytes of text that are encoded together.
-KEPT_WORDS, GROUP_BYTES = 600_000, 2_000_000
+KEPT_WORDS, GROUP_BYTES = 200_000, 1_000_000
 RANK_ROWS = 256
 _TOKENIZERS: dict[str, WordIds] = {}
 _TAIL = b".,;:!?"
@@ -82,7 +82,7 @@ class WordIds:
                 known = [t.id for t in self.tokenizer.model.tokenize(name)]
             else:
                 known = self.tokenizer.encode(text, add_special_tokens=False).ids
-            if len(self.cores) >= KEPT_WORDS // 8:
+            if len(self.cores) >= KEPT_WORDS // 4:
                 self.cores.clear()
             if len(core) <= 64:
                 self.cores[core] = known
