@@ -4,6 +4,10 @@ import os
 
 import duckdb
 
+# Python workers import the package too; they take the driver's environment when Spark starts.
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+os.environ["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, [os.environ.get("PYTHONPATH")])])
+
 SF001 = "/root/testdata/sf0.01"
 SF0001 = "/root/testdata/sf0.001"
 
