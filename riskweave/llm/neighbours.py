@@ -3,18 +3,20 @@
 Nearness is the inner product. All vectors are lifted to one length (one more
 component fills up to the greatest length; queries are scaled to it), where the
 largest inner product is the smallest distance. A table hashes a vector by
-``dims`` Gaussian projections cut into slots of ``width``; its bucket is the list
-of slots. For a query, the projection of a neighbour at distance r differs from
-its own by a normal deviate with deviation r, so each slot's chance is known; the
-buckets around the query's own are visited in order of estimated success until
-the chances add up to the table's share of ``success``. The candidates of all tables
-are merged, and their inner products in double precision decide.
-
-r is fitted on a bounded sample (``sample`` vectors with the smallest id hash): the
-median distance to the ``k``-th nearest in the sample, which is no less than in the
-whole table. Every vector is indexed. The index is cut into slices by id hash, so a
-bucket that holds a third of all vectors is spread evenly; a block of queries meets
-each slice and keeps its ``k`` best there.
+``dims`` Gaussian projections cut into slots; its bucket is the list of slots. For a
+query, the projection of a neighbour at distance r differs from its own by a normal
+deviate with deviation r, so each slot's chance is known; the buckets around the
+query's own are visited in order of estimated success until the chances add up to
+the table's share of ``success``. The candidates of all tables are merged, and their
+inner products in double precision decide.
+
+Each query has its own r, from a bounded sample (``sample`` vectors with the smallest
+id hash): the distance to its ``k``-th nearest there, which is no less than in the
+whole table. Slots are ``width`` times a high quantile of r over distinct sampled
+vectors. Queries whose sample or window of buckets cannot reach the share, and those
+left with fewer than ``k`` rows, meet every vector. Every vector is indexed. The
+index is cut into slices by id hash, so a bucket that holds a third of all vectors is
+spread evenly; a block of queries meets each slice and keeps its ``k`` best there.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and rows without id, take no part; so do vectors whose length differs
@@ -38,6 +40,10 @@ from riskweave.llm.embedding_dedup import valid_vector
 from riskweave.llm.tables import Scratch
 
 SLICE, QUERIES = 8192, 1024
+#: Slots are fitted to this quantile of the sampled distances, from so many queries.
+HIGH, FITTED = 0.9, 256
+#: Shorter distances, as shares of the greatest length, are rounding.
+LEAST = 1e-7
 _ERF = np.array([0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429])
 
 
@@ -54,8 +60,8 @@ class Tables:
 
     def __init__(self, size: int, longest: float, distance: float, *, tables: int, dims: int, width: float, success: float, seed: int) -> None:
         rng = np.random.default_rng([seed, size])
-        self.longest, self.distance = longest, max(distance, 1e-9)
-        self.width = width * self.distance
+        self.longest = longest
+        self.width = width * max(distance, LEAST * longest)
         self.planes = [rng.standard_normal((size + 1, dims)) for _ in range(tables)]
         self.shifts = [rng.uniform(0, self.width, dims) for _ in range(tables)]
         self.share = 1 - (1 - success) ** (1 / tables)
@@ -72,13 +78,13 @@ class Tables:
     def places(self, lifted: np.ndarray, table: int) -> np.ndarray:
         return (lifted @ self.planes[table] + self.shifts[table]) / self.width
 
-    def visited(self, queries: np.ndarray, slots: np.ndarray, table: int) -> np.ndarray:
-        """Which of the buckets ``slots`` each query visits."""
+    def visited(self, queries: np.ndarray, reach: np.ndarray, slots: np.ndarray, table: int) -> np.ndarray:
+        """Which of the buckets ``slots`` each query visits; all of them where the window holds less than the share within ``reach``."""
         place = self.places(queries, table)
         own = np.floor(place)
         inside = (place - own) * self.width
         edges = np.arange(-self.around, self.around + 2) * self.width
-        below = _normal_below((edges[None, None, :] - inside[:, :, None]) / self.distance)
+        below = _normal_below((edges[None, None, :] - inside[:, :, None]) / reach[:, None, None])
         chance = np.diff(below, axis=2)  # query, projection, slot
         joint = np.ones((len(queries), len(self.steps)))
         for d in range(self.steps.shape[1]):
@@ -86,12 +92,14 @@ class Tables:
         order = np.argsort(-joint, axis=1, kind="stable")
         before = np.cumsum(np.take_along_axis(joint, order, axis=1), axis=1)
         needed = 1 + (before < self.share).sum(axis=1)  # probes until the estimate reaches the share
+        beyond = needed > order.shape[1]
         rank = np.empty_like(order)
         np.put_along_axis(rank, order, np.arange(order.shape[1])[None, :], axis=1)
         # A bucket's place in the sequence follows from its steps away from the query's own bucket.
         base = 2 * self.around + 1
         out = np.zeros((len(queries), len(slots)), dtype=bool)
-        for q in range(len(queries)):
+        out[beyond] = True
+        for q in np.flatnonzero(~beyond):
             away = (slots - own[q]).astype(np.int64) + self.around
             near = ((away >= 0) & (away < base)).all(axis=1)
             step = np.zeros(int(near.sum()), dtype=np.int64)
@@ -102,14 +110,27 @@ class Tables:
 
 
 def best_of_slice(
-    queries: np.ndarray, query_ids: np.ndarray, query_rows: np.ndarray, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, tables: Tables, k: int
+    queries: np.ndarray,
+    query_ids: np.ndarray,
+    query_rows: np.ndarray,
+    reach: np.ndarray,
+    x: np.ndarray,
+    ids: np.ndarray,
+    rows: np.ndarray,
+    tables: Tables,
+    k: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, query id, vector id, inner product): each query's k best candidates in a slice."""
+    """(query row, query id, vector id, inner product): each query's k best candidates in a slice.
+
+    ``reach`` is each query's r; one that is infinite makes all vectors candidates.
+    """
     lifted_q, lifted_x = tables.lifted(queries, True), tables.lifted(x, False)
+    hashed = np.flatnonzero(np.isfinite(reach))
     candidate = np.zeros((len(queries), len(x)), dtype=bool)
-    for table in range(len(tables.planes)):
+    candidate[np.isinf(reach)] = True
+    for table in range(len(tables.planes) if len(hashed) else 0):
         slots, bucket = np.unique(np.floor(tables.places(lifted_x, table)), axis=0, return_inverse=True)
-        candidate |= tables.visited(lifted_q, slots, table)[:, bucket.ravel()]
+        candidate[hashed] |= tables.visited(lifted_q[hashed], reach[hashed], slots, table)[:, bucket.ravel()]
     candidate &= rows[None, :] != query_rows[:, None]
     score = np.where(candidate, queries @ x.T, -np.inf)
     out: tuple[list, ...] = ([], [], [], [])
@@ -126,6 +147,18 @@ def best_of_slice(
     return tuple(np.concatenate(c) if c else np.zeros(0) for c in out)
 
 
+def reaches(tables: Tables, queries: np.ndarray, query_rows: np.ndarray, x: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """Each query's distance to its k-th nearest other vector of the sample ``x``; infinite where the sample has fewer."""
+    out = np.full(len(queries), np.inf)
+    lifted = tables.lifted(x, False)
+    for at in range(0, len(queries) if len(x) >= k else 0, QUERIES):
+        q = slice(at, at + QUERIES)
+        square = np.maximum(2 * tables.longest**2 - 2 * (tables.lifted(queries[q], True) @ lifted.T), 0)
+        square[rows[None, :] == query_rows[q, None]] = np.inf
+        out[q] = np.sqrt(np.partition(square, k - 1, axis=1)[:, k - 1])
+    return np.maximum(out, LEAST * tables.longest)
+
+
 def nearest(
     vectors: DataFrame,
     *,
@@ -147,15 +180,16 @@ def nearest(
     rows = rows.where(valid_vector(F.col("vector")) & F.col("vec_id").isNotNull())
     rows = scratch.write(rows.select("vec_id", "vector", F.size("vector").alias("size"), F.monotonically_increasing_id().alias("row")), "rows")
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    fitted = {}
+    fitted, sampled = {}, {}
     for size, n, longest in rows.groupBy("size").agg(F.count(F.lit(1)), F.max(length)).collect():  # one row per vector length
-        taken = rows.where(F.col("size") == size).orderBy(F.xxhash64("vec_id"), "row").limit(sample).select("vector").collect()
-        x = np.array([r[0] for r in taken], dtype=np.float64)
+        taken = rows.where(F.col("size") == size).orderBy(F.xxhash64("vec_id"), "row").limit(sample).select("vector", "row").collect()
+        x, x_rows = np.array([r[0] for r in taken], dtype=np.float64), np.array([r[1] for r in taken], dtype=np.int64)
         probe = Tables(size, longest, 1.0, tables=1, dims=1, width=1.0, success=0.5, seed=seed)
-        q, y = probe.lifted(x[:256], True), probe.lifted(x, False)
-        far = np.sqrt(np.maximum(2 * longest**2 - 2 * (q @ y.T), 0))
-        at = min(k, far.shape[1] - 1)
-        fitted[size] = (n, longest, float(np.median(np.partition(far, at, axis=1)[:, at])))
+        distinct = np.sort(np.unique(x, axis=0, return_index=True)[1])[:FITTED]
+        far = reaches(probe, x[distinct], x_rows[distinct], x, x_rows, k)
+        far = far[np.isfinite(far)]
+        fitted[size] = (n, longest, float(np.quantile(far, HIGH)) if len(far) else longest)
+        sampled[size] = (x, x_rows)
     hashing = {
         size: Tables(size, longest, distance, tables=tables, dims=dims, width=width, success=success, seed=seed)
         for size, (_, longest, distance) in fitted.items()
@@ -163,6 +197,16 @@ def nearest(
     slices = max([1, *(-(-n // SLICE) for n, _, _ in fitted.values())])
     blocks = max([1, *(-(-n // (QUERIES * query_every)) for n, _, _ in fitted.values())])
 
+    def with_reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, at = batch["size"].to_numpy(), batch["row"].to_numpy()
+            out = np.full(len(batch), np.inf)
+            for size in np.unique(sizes).tolist():
+                own = np.flatnonzero(sizes == size)
+                x = batch["vector"].take(pa.array(own)).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+                out[own] = reaches(hashing[size], x, at[own], *sampled[size], k)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "reach"])
+
     def meet(_key, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         names = ["query_row", "query_id", "vec_id", "score"]
@@ -173,18 +217,36 @@ def nearest(
                 flat = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
                 parts.append((flat.reshape(-1, size), table["vec_id"].to_numpy(), table["row"].to_numpy()))
             (q, q_ids, q_rows), (x, ids, x_rows) = parts
-            out.append(best_of_slice(q, q_ids, q_rows, x, ids, x_rows, hashing[size], k))
+            reach = left.filter(pc.equal(left["size"], size))["reach"].to_numpy()
+            out.append(best_of_slice(q, q_ids, q_rows, reach, x, ids, x_rows, hashing[size], k))
         columns = [np.concatenate([np.zeros(0, dtype=t), *[o[i] for o in out]]) for i, t in enumerate((np.int64, np.int64, np.int64, float))]
         return pa.table([pa.array(c) for c in columns], names=names)
 
-    asked = rows.where(F.col("vec_id") % query_every == 0)
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks).cast("long")))
-    asked = asked.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice"))
     index = rows.withColumn("slice", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(slices).cast("long")))
-    index = index.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    met = asked.groupBy("slice", "block").cogroup(index.groupBy("slice", "block")).applyInArrow(
-        meet, "query_row long, query_id long, vec_id long, score double"
-    )
+    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    every_slice = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long")))
     order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
-    ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+
+    def best(queries: DataFrame, vectors: DataFrame) -> DataFrame:
+        block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks).cast("long"))
+        left = queries.withColumn("block", block).select("*", every_slice.alias("slice"))
+        met = left.groupBy("slice", "block").cogroup(vectors.groupBy("slice", "block")).applyInArrow(
+            meet, "query_row long, query_id long, vec_id long, score double"
+        )
+        return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    asked = rows.where(F.col("vec_id") % query_every == 0)
+    hinted = asked.mapInArrow(with_reach, "vec_id long, vector array<double>, size int, row long, reach double")
+    found = scratch.write(best(hinted, index.select("*", every_block.alias("block"))), "found")
+    full = found.where(F.col("rank") == k).select(F.col("query_row").alias("row"))
+    # A size with at most k rows leaves no query k others; its queries have met every vector.
+    roomy = [size for size, (n, _, _) in fitted.items() if n > k]
+    short = scratch.write(asked.where(F.col("size").isin(roomy)).join(full, "row", "left_anti"), "short")
+    columns = ["query_id", "rank", "vec_id", "score"]
+    if short.isEmpty():
+        return found.select(*columns)
+    # Only blocks that hold such a query need the index again.
+    needed = short.select(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks).cast("long")).alias("block")).distinct()
+    again = best(short.select("vec_id", "vector", "size", "row", F.lit(float("inf")).alias("reach")), index.crossJoin(F.broadcast(needed)))
+    kept = found.join(short.select(F.col("row").alias("query_row")), "query_row", "left_anti")
+    return kept.select(*columns).unionByName(again.select(*columns))

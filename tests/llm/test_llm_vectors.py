@@ -117,3 +117,38 @@ def test_neighbours_of_odd_rows(spark):
     rows = [tuple(r) for r in neighbours.nearest(frame, k=3).orderBy("query_id", "rank").collect()]
     assert rows == [(20, 1, 40, 2.0), (20, 2, 1, 1.0), (20, 3, 1, 1.0), (40, 1, 1, 2.0), (40, 2, 1, 2.0), (40, 3, 20, 2.0)]
     assert neighbours.nearest(frame.limit(0)).count() == 0
+
+
+def grouped_vectors(rng, n=3000, dim=64, groups=30, noise=0.01):
+    """Seven in ten rows lie in dense groups of 70, the others anywhere; unit vectors."""
+    x = rng.normal(size=(n, dim))
+    for g in range(groups):
+        x[g * 70 : (g + 1) * 70] = x[g * 70] + noise * rng.normal(size=(70, dim))
+    x = rng.permutation(x)
+    return (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+
+
+def test_neighbours_where_most_rows_lie_in_copy_groups(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SLICE", 1000)
+    for noise in (0.0, 0.01):
+        x = grouped_vectors(np.random.default_rng(11), noise=noise)
+        frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+        rows = neighbours.nearest(frame).toPandas()
+        for q in range(0, len(x), 20):
+            assert rows.loc[rows["query_id"] == q, "rank"].sort_values().tolist() == list(range(1, 21))
+        score = x[::20].astype(float) @ x.astype(float).T
+        score[np.arange(len(score)), np.arange(0, len(x), 20)] = -np.inf
+        kth = np.sort(score, axis=1)[:, -20]  # copies tie, so hits are counted by score
+        hits = rows["score"].to_numpy() >= kth[rows["query_id"].to_numpy() // 20] - 1e-9
+        assert hits.mean() >= 0.95
+
+
+def test_queries_left_short_meet_every_vector(spark, monkeypatch):
+    x = grouped_vectors(np.random.default_rng(12))
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    monkeypatch.setattr(neighbours, "SLICE", 1000)
+    monkeypatch.setattr(neighbours, "QUERIES", 20)
+    near_nothing = lambda tables, queries, *rest: np.full(len(queries), 1e-6)
+    monkeypatch.setattr(neighbours, "reaches", near_nothing)
+    rows = neighbours.nearest(frame).toPandas()
+    assert rows.groupby("query_id")["rank"].apply(sorted).tolist() == [list(range(1, 21))] * 150
