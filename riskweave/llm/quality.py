@@ -224,11 +224,14 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, text_col: str = "text", max
     """
     marked = labels.where(F.col("quality").isin(0, 1) & ~is_held_out(F.col("doc_id"))).select("doc_id").distinct()
     scratch = Scratch(docs.sparkSession, "quality")
+    # Only labels of rows that are here count for the share; the ids alone are compared.
+    marked = scratch.write(marked.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "marked")
     # Texts stay where they are: at most 2 * max_rows ids are sent to them.
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
     share = 2.0 * max_rows / max(1, marked.count())
     ids = marked.where(place < int(min(1.0, share) * (1 << 40))).orderBy(place, "doc_id").limit(2 * max_rows)
     ids = scratch.write(ids, "ids")
+    scratch.drop(marked)
     known = docs.join(F.broadcast(ids), "doc_id", "left_semi")
     taught = scratch.write(document_statistics(known, text_col=text_col), "taught")
     trees = fit_on(taught, labels, max_rows=max_rows)

@@ -104,6 +104,14 @@ def test_quality_odd_rows(spark):
     assert kept.schema == odd_docs(spark).schema and kept.count() == len(ODD_DOCS)
 
 
+def test_stage_learns_although_most_labels_are_of_other_rows(spark):
+    texts = ["buy now!!! $$$ 123 456 ### win", "The river runs slowly past the old mill, and the people of the town walk there."]
+    docs = spark.createDataFrame([(i, f"{texts[i % 2]} {i % 7}", "en", "s", 9) for i in range(300)], DOCS)
+    labels = spark.range(60_000).selectExpr("id as doc_id", "int(id % 2) as quality", "0 as toxic")
+    kept = quality.keep_good(docs, labels, max_rows=100).select("doc_id").collect()
+    assert sorted(r[0] for r in kept) == list(range(1, 300, 2))
+
+
 def test_trees_separate_what_can_be_separated():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(4000, 5))
