@@ -45,6 +45,18 @@ def test_stages(spark):
     assert np.isin(kept["packing"]["doc_id"], kept["mixing"]["doc_id"]).all()
 
 
+def test_a_cut_copy_keeps_its_lines(spark):
+    text = " a  first\tline\r\n\n  second É\u00a0line \nthird line " * 3
+    rows = [(i, text, "en", s, len(text)) for i, s in enumerate("abbccc" * 3 + "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.mix_sources(spark, docs, SF0001).collect()
+    short = [r["text"] for r in out if r["text"] != text]
+    assert short
+    for t in short:
+        assert text.startswith(t) and t[-1:].strip() and text[len(t)].isspace()
+    assert all(r["n_chars"] == len(r["text"]) for r in out)
+
+
 def test_stages_take_odd_rows(spark):
     docs = odd_docs(spark).select(*NAMES)
     for name, stage in corpus_pipeline.STAGES:
