@@ -15,8 +15,8 @@ state at its end, these small matrices are chained per conversation, and each
 chunk is then decoded between the two states found. This is exact, since the
 best paths compose.
 
-Defined results: a null text has no lines, an empty one a blank line; parts go in
-order of part, then text; a null part comes last; a row with a null conversation is a
+Defined results: a null text has no lines, so a conversation whose texts are all null
+has no row; an empty text is a blank line; parts go in order of part, then text; a null part comes last; a row with a null conversation is a
 conversation of its own; repeated rows are repeated parts; an empty table gives an
 empty result.
 """
