@@ -14,7 +14,7 @@ tokens / support frequent items), not by the number of urls. Token sets leave
 out ids, so they are far fewer than urls, and copies of a set are judged once.
 
 Defined results: a null url or one without ``://`` has an empty host and path;
-rows without label teach nothing; if nothing is labelled or no rule is strong
+rows without label, or whose label has neither quality nor toxic, teach nothing; if nothing is labelled or no rule is strong
 enough the method allows; repeated rows are each judged; an empty table gives
 an empty result.
 """
@@ -116,7 +116,7 @@ def judge(
     rows = scratch.write(rows.select(F.col(id_col).alias("page_id"), "host", "path", "tokens"), "tokens")
 
     bad = (F.col("quality") == 0) | F.coalesce(F.col("toxic") == 1, F.lit(False))
-    marks = labels.where(F.col("quality").isNotNull()).select(
+    marks = labels.where(F.col("quality").isNotNull() | F.col("toxic").isNotNull()).select(
         F.col(label_id_col).alias("page_id"), F.when(bad, BAD).otherwise(GOOD).alias("class")
     )
     taught = rows.join(marks, "page_id").select(F.concat("tokens", F.array("class")).alias("items"))

@@ -88,6 +88,15 @@ def test_mined_rules_find_planted_combination(spark):
     assert all((r["verdict"] == "block") == (r["page_id"] % 6 == 3) for r in rows)
 
 
+def test_toxic_labels_without_quality_teach(spark):
+    pages = [(i, f"https://h{i % 4}.org/{'shop' if i % 2 else 'news'}/{i}") for i in range(400)]
+    labels = [(i, None, i % 2) for i in range(300)] + [(i, None, None) for i in range(300, 400)]
+    table = spark.createDataFrame(pages, "page_id long, url string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rows = url_filter.judge(table, marks, min_support=0.02, min_confidence=0.9).collect()
+    assert all((r["verdict"] == "block") == (r["page_id"] % 2 == 1) for r in rows)
+
+
 def test_url_query_against_its_rules(spark):
     rows = queries.QUERIES["op4_url_rules"](spark, SF001).toPandas()
     con = duck()
