@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.llm.byte_bpe import decode, encode
 from riskweave.llm.chat_format import format_transcripts, learn_from_conversations, transcripts
 from riskweave.llm.embedding_dedup import link_vectors
 from riskweave.llm.line_dedup import LINES_SQL, drop_frequent_lines
+from riskweave.llm.merkle import MERKLE_SQL, document_proofs
 from riskweave.llm.mixing import MIX_SELECT, MIX_SQL, mix
 from riskweave.llm.neighbours import nearest
 from riskweave.llm.ngram_join import similar_documents
@@ -100,3 +102,21 @@ SELECT doc_id, CASE WHEN len(kept) < len(lines) THEN array_to_string(kept, chr(1
 FROM cl
 """
 )
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_proofs(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_merkle"] = MERKLE_SQL
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    decoded = decode(encoded, ranks)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -50,3 +50,15 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 def n_words(text) -> F.Column:
     """Number of words; 0 for a null text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+#: DuckDB: the 256 steps of CRC-32, as the table ``crc_table`` of one list.
+CRC_TABLE_SQL = """crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS steps)"""
+
+
+def crc_sql(text: str) -> str:
+    """DuckDB: the unsigned CRC-32 of an ASCII text, next to ``crc_table``; null for a null."""
+    letters = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {letters}), lambda a, c: xor(a >> 8, steps[(xor(a, c) & 255) + 1])), 4294967295)"
