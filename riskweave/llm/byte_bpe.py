@@ -73,7 +73,7 @@ class Ranks:
         self.decimals = Flat([b",%d" % i for i in range(self.size)])
         self.of_byte = np.array([self.rank[bytes([b])] for b in range(256)], dtype=np.int32)
         pairs = [
-            (self.rank[token[:cut]] * self.size + self.rank[token[cut:]], rank)
+            (self.rank[token[:cut]] * (self.size + 1) + self.rank[token[cut:]], rank)
             for token, rank in self.rank.items()
             for cut in range(1, len(token))
             if token[:cut] in self.rank and token[cut:] in self.rank
@@ -82,8 +82,8 @@ class Ranks:
         self.pair, self.merged = np.append(table[:, 0], 1 << 62), np.append(table[:, 1], -1).astype(np.int32)
 
     def of_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank that each pair merges to, or -1."""
-        keys = left.astype(np.int64) * self.size + right
+        """Rank that each pair merges to, or -1; ``size`` stands for no token."""
+        keys = left.astype(np.int64) * (self.size + 1) + right
         at = np.searchsorted(self.pair, keys)
         return np.where(self.pair[at] == keys, self.merged[at], -1)
 
@@ -131,10 +131,10 @@ def replay(ranks: Ranks, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     n = len(token)
     ends = np.cumsum(lengths)
     word_of = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
-    # Places beside a word's ends point at the extra place n, whose token joins with nothing.
+    # Places beside a word's ends point at the extra place n, which has no token.
     after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
     after[ends - 1], before[ends - lengths] = n, n
-    token = np.append(token, -1).astype(np.int32)
+    token = np.append(token, ranks.size).astype(np.int32)
     wanted = np.append(ranks.of_pairs(token[:-1], token[after[:-1]]), -1).astype(np.int32)
     alive = np.ones(n, dtype=bool)
     index: dict[int, list[np.ndarray]] = {}
@@ -300,7 +300,7 @@ def decode(encoded: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded
     A null becomes no bytes. The bytes need not be a text in UTF-8 where ids were cut.
     """
     others = [c for c in encoded.columns if c != ids]
-    schema = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in others)
+    schema = ", ".join([f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in others] + [f"`{out}` binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = load_ranks(ranks)
@@ -312,4 +312,4 @@ def decode(encoded: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded
             columns = [*batch.columns[:-1], pa.array(texts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*others, out])
 
-    return encoded.select(*others, ids).mapInArrow(run, f"{schema}, `{out}` binary")
+    return encoded.select(*others, ids).mapInArrow(run, schema)

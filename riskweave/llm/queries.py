@@ -16,6 +16,7 @@ from riskweave.llm.mixing import MIX_SELECT, MIX_SQL, mix
 from riskweave.llm.neighbours import nearest
 from riskweave.llm.ngram_join import similar_documents
 from riskweave.llm.packing import pack
+from riskweave.llm.prefix_trie import TRIE_SQL, conversation_trie
 from riskweave.llm.quality import classify
 from riskweave.llm.suffix_dedup import remove_repeats
 from riskweave.llm.tables import read_table
@@ -104,6 +105,14 @@ FROM cl
 )
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op11_prefix_trie"] = TRIE_SQL
+
+
 @query
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_proofs(read_table(spark, sf_dir, "documents"))
