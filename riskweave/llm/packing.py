@@ -33,7 +33,7 @@ from riskweave.llm.tables import Scratch
 from riskweave.llm.words import words_of
 
 #: Words whose ids a worker keeps, and bytes of text that are encoded together.
-KEPT_WORDS, GROUP_BYTES = 200_000, 1_000_000
+KEPT_WORDS, KEPT_CORES, GROUP_BYTES = 600_000, 50_000, 1_000_000
 RANK_ROWS = 256
 _TOKENIZERS: dict[str, WordIds] = {}
 _TAIL = b".,;:!?"
@@ -63,27 +63,36 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
+        # Parts of words met lately, and those met before them.
         self.cores: dict[bytes, list[int]] = {}
+        self.old_cores: dict[bytes, list[int]] = {}
         self.turn = 0
         # Entries in order of hash: hash, bytes of the word, place and number of its ids, turn of the last use.
         self.hash = np.zeros(0, dtype=np.uint64)
-        self.size, self.at, self.n, self.used = (np.zeros(0, dtype=np.int64) for _ in range(4))
+        self.size, self.n, self.used = (np.zeros(0, dtype=np.int32) for _ in range(3))
+        self.at = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype="<u4")
 
     def core_ids(self, core: bytes) -> list[int]:
         """Ids of a word or a part of one."""
         known = self.cores.get(core)
         if known is None:
-            text = core.decode()
-            low = text.lower()
-            # Latin letters in lower case are in normal form and one word to the merges.
-            if low.isalpha() and len(low) == len(text) and max(low) < "\u0250":
-                name = low if low.isascii() else "".join(self.letters[b] for b in low.encode())
-                known = [t.id for t in self.tokenizer.model.tokenize(name)]
+            known = self.old_cores.get(core)
+            if known is not None:
+                self.cores[core] = known
+                return known
+            if core.isalpha():  # a-z and A-Z only
+                known = [t.id for t in self.tokenizer.model.tokenize(core.lower().decode())]
             else:
-                known = self.tokenizer.encode(text, add_special_tokens=False).ids
-            if len(self.cores) >= KEPT_WORDS // 4:
-                self.cores.clear()
+                text = core.decode()
+                low = text.lower()
+                # Latin letters in lower case are in normal form and one word to the merges.
+                if low.isalpha() and len(low) == len(text) and max(low) < "\u0250":
+                    known = [t.id for t in self.tokenizer.model.tokenize(low.encode().decode("latin-1").translate(self.letters))]
+                else:
+                    known = self.tokenizer.encode(text, add_special_tokens=False).ids
+            if len(self.cores) >= KEPT_CORES:
+                self.cores, self.old_cores = {}, self.cores
             if len(core) <= 64:
                 self.cores[core] = known
         return known
@@ -97,12 +106,13 @@ class WordIds:
 
     def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
         found = [self.word_ids(w) for w in words]
-        n = np.array([len(f) for f in found], dtype=np.int64)
-        at = len(self.ids) + np.cumsum(n) - n
+        n = np.array([len(f) for f in found], dtype=np.int32)
+        at = len(self.ids) + np.cumsum(n, dtype=np.int64) - n
         self.ids = np.concatenate([self.ids, np.array([i for f in found for i in f], dtype="<u4")])
-        size = np.array([len(w) for w in words], dtype=np.int64)
+        size = np.array([len(w) for w in words], dtype=np.int32)
         columns = [np.concatenate(c) for c in ((self.hash, hashes), (self.size, size), (self.at, at), (self.n, n))]
-        used = np.concatenate([self.used, np.full(len(n), self.turn)])
+        used = np.concatenate([self.used, np.full(len(n), self.turn, dtype=np.int32)])
+        # Both parts are in order already, which this sort uses.
         order = np.argsort(columns[0], kind="stable")
         self.hash, self.size, self.at, self.n = (c[order] for c in columns)
         self.used = used[order]
@@ -112,7 +122,7 @@ class WordIds:
         keep = self.used >= np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
         self.hash, self.size, self.at, self.n, self.used = (c[keep] for c in (self.hash, self.size, self.at, self.n, self.used))
         self.ids = self.ids[spread(self.at, self.n)]
-        self.at = np.cumsum(self.n) - self.n
+        self.at = np.cumsum(self.n, dtype=np.int64) - self.n
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -138,13 +148,13 @@ class WordIds:
         at, n = self.at[place][back], self.n[place][back]
         ids = self.ids[spread(at, n)]
         begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
-        cuts = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(starts, begins)]
+        cuts = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])[np.searchsorted(starts, begins)]
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def spread(at: np.ndarray, n: np.ndarray) -> np.ndarray:
     """at[0], at[0] + 1, ... (n[0] of them), at[1], ..."""
-    before = np.cumsum(n) - n
+    before = np.cumsum(n, dtype=np.int64) - n
     return np.repeat(at - before, n) + np.arange(int(n.sum()))
 
 
