@@ -32,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text whose words are merged together.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Distinct words that a task keeps from block to block.
-KEEP_WORDS = 300_000
+KEEP_WORDS = 200_000
 #: Words of one text that are held as strings at a time.
 STEP = 1 << 18
 #: Bytes of one returned Arrow batch, about.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
