@@ -49,8 +49,7 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
 
 
 @query

@@ -233,7 +233,7 @@ def runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 ANCHORED = (
-    "doc_id long, text_key long, n_bytes long, sha string, copies long, "
+    "doc_id long, text_key long, n_bytes long, copies long, "
     "keys array<long>, places array<long>, firsts array<long>, lasts array<long>"
 )
 
@@ -246,17 +246,16 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
 
 
 def anchored(texts: DataFrame, length: int) -> DataFrame:
-    """Each row's whole hash and its anchors; copies within a batch are counted by the first."""
+    """Each row's anchors; copies within a batch are counted by the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys, sizes = (batch.column(i).to_pylist() for i in range(3))
             first: dict[tuple[int, int], int] = {}
-            copies, found, shas = [], ([], [], [], []), []
+            copies, found = [], ([], [], [], [])
             none = np.zeros(0, dtype=np.int64)
             for i, text in enumerate(batch.column(3)):
                 raw = text.as_buffer().to_pybytes()
-                shas.append(hashlib.sha256(raw).hexdigest())
                 mine = first.setdefault((keys[i], sizes[i]), i)
                 copies.append(1 if mine == i else 0)
                 if mine != i:
@@ -265,9 +264,9 @@ def anchored(texts: DataFrame, length: int) -> DataFrame:
                 for column, values in zip(found, here, strict=True):
                     column.append(values)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, type=pa.int64()), batch.column(1), batch.column(2), pa.array(shas, type=pa.string()),
+                [pa.array(ids, type=pa.int64()), batch.column(1), batch.column(2),
                  pa.array(copies, type=pa.int64()), *map(_lists, found)],
-                ["doc_id", "text_key", "n_bytes", "sha", "copies", "keys", "places", "firsts", "lasts"],
+                ["doc_id", "text_key", "n_bytes", "copies", "keys", "places", "firsts", "lasts"],
             )
 
     return texts.mapInArrow(run, ANCHORED)
@@ -393,9 +392,10 @@ def cut_texts(held: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row of ``docs``.
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, kept) of every row of ``docs``.
 
-    kept is the remaining bytes where some went, null where all stay.
+    kept is the remaining bytes as a text, n_kept their number. Where a character lost some of
+    its bytes, the text shows the rest of them as U+FFFD; kept_sha256 is that of the bytes.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
@@ -446,10 +446,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     found = found.join(held.select("text_key", "n_bytes", "text"), ["text_key", "n_bytes"])
     cut = cut_texts(found.select("text_key", "n_bytes", "runs", "text"), length)
     cut = scratch.write(cut, "cut")
-    out = rows.select("doc_id", "text_key", "n_bytes", "sha").join(cut, ["text_key", "n_bytes"], "left")
+    # The texts are read again rather than carried along; AQE splits the copies of a frequent one.
+    out = texts.join(cut.withColumnRenamed("removed", "gone"), ["text_key", "n_bytes"], "left")
     scratch.drop(often, wanted, held, table, hits)
+    n_removed = F.coalesce("gone", F.lit(0)).cast("long")
     return out.select(
-        "doc_id", "n_bytes", F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("rest_sha", "sha").alias("kept_sha256"),
-        F.col("rest").alias("kept"),
+        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce("rest_sha", F.sha2("text", 256)).alias("kept_sha256"), (F.col("n_bytes") - n_removed).alias("n_kept"),
+        F.when(F.col("rest").isNull(), F.col("text")).otherwise(F.make_valid_utf8(F.col("rest").cast("string"))).alias("kept"),
     )

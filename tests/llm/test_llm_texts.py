@@ -233,8 +233,15 @@ COLUMNS = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 def test_suffix_dedup_whole_table(spark):
     docs = pd.read_parquet(f"{SF0001}/documents.parquet")
-    rows = queries.QUERIES["op3_suffix_dedup"](spark, SF0001).collect()
-    assert Counter(map(tuple, rows)) == cut(zip(docs["doc_id"], docs["text"], strict=True), 400)
+    out = queries.QUERIES["op3_suffix_dedup"](spark, SF0001)
+    assert Counter(map(tuple, out.select(*COLUMNS).collect())) == cut(zip(docs["doc_id"], docs["text"], strict=True), 400)
+    texts = dict(zip(docs["doc_id"], docs["text"], strict=True))
+    for r in out.collect():
+        assert r["n_kept"] == r["n_bytes"] - r["n_removed"]
+        if not r["n_removed"]:
+            assert r["kept"] == (texts[r["doc_id"]] or "")
+        elif "\ufffd" not in r["kept"]:
+            assert hashlib.sha256(r["kept"].encode()).hexdigest() == r["kept_sha256"]
 
 
 @pytest.mark.parametrize("hot", [4096, 3])
