@@ -2,8 +2,8 @@
 
 Mirrors the driver's check: same column names, same row count, and the same
 multiset of rows. Integers, booleans, text and times must be equal; doubles
-may differ by one unit of the last digit the query declares (plus what a double
-of that size can hold). Both sides are compared as Python values, so a column
+may differ by one unit of the sixth digit or later, where a query declares that many (plus what a
+double of that size can hold), and not at all at fewer digits. Both sides are compared as Python values, so a column
 of integers with NULLs stays exact. DuckDB runs in-process on the same
 Parquet files (no server).
 """
@@ -77,7 +77,8 @@ def _same(x, y, digits: int) -> bool:
     if isinstance(x, float) or isinstance(y, float):
         if not (isinstance(x, (int, float)) and isinstance(y, (int, float))):
             return False
-        return x == y or abs(x - y) <= 1.01 * 10.0**-digits + 1e-12 * abs(y)
+        unit = 1.01 * 10.0**-digits if digits >= 6 else 0.0
+        return x == y or abs(x - y) <= unit + 1e-12 * abs(y)
     if isinstance(x, tuple) and isinstance(y, tuple):
         return len(x) == len(y) and all(_same(a, b, digits) for a, b in zip(x, y))
     return type(x) is type(y) and x == y

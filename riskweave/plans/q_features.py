@@ -32,10 +32,10 @@ v AS (
 h AS (
   SELECT transaction_id,
          CASE WHEN user_id IS NULL THEN NULL ELSE rk - 1 END::BIGINT AS user_prior_transaction_count,
-         CASE WHEN user_id IS NULL THEN NULL ELSE round((us - prev_us) / 1e6, 6) END AS seconds_since_prev_transaction,
-         CASE WHEN user_id IS NULL THEN NULL ELSE round(mean_prior, 6) END AS user_amount_mean_prior,
-         CASE WHEN user_id IS NULL THEN NULL ELSE round(std_prior, 4) END AS user_amount_std_prior,
-         CASE WHEN user_id IS NULL THEN NULL ELSE round(amount - mean_prior, 6) END AS amount_vs_user_mean,
+         CASE WHEN user_id IS NULL THEN NULL ELSE {r}((us - prev_us) / 1e6{six}) END AS seconds_since_prev_transaction,
+         CASE WHEN user_id IS NULL THEN NULL ELSE {r}(mean_prior{six}) END AS user_amount_mean_prior,
+         CASE WHEN user_id IS NULL THEN NULL ELSE {r}(std_prior{four}) END AS user_amount_std_prior,
+         CASE WHEN user_id IS NULL THEN NULL ELSE {r}(amount - mean_prior{six}) END AS amount_vs_user_mean,
          CASE WHEN user_id IS NULL OR us IS NULL THEN 0 ELSE c1h END::DOUBLE AS user_txn_count_last_1h,
          CASE WHEN user_id IS NULL OR us IS NULL THEN 0 ELSE c24h END::DOUBLE AS user_txn_count_last_24h
   FROM v)
@@ -44,8 +44,14 @@ h AS (
 _STD4 = {"user_amount_std_prior": 4}
 
 
+def history_ctes(view: str, rounded: bool = True) -> str:
+    """CTEs up to ``h``, the history of each row of ``view``; unrounded where a query rounds its own result."""
+    digits = {"r": "round", "six": ", 6", "four": ", 4"} if rounded else {"r": "", "six": "", "four": ""}
+    return _HISTORY_SQL.format(view=view, **digits)
+
+
 def _history(view: str, cols: list[str]) -> str:
-    body = _HISTORY_SQL.format(view=view) + f"SELECT transaction_id, {', '.join(cols)} FROM h"
+    body = history_ctes(view) + f"SELECT transaction_id, {', '.join(cols)} FROM h"
     return td.with_views(body, view)
 
 
@@ -151,7 +157,7 @@ _FULL_COLS = ["user_id", "amount", "merchant"] + fe.ENGINEERED_FEATURES
 @register(
     "feat_full",
     td.with_views(
-        _HISTORY_SQL.format(view="events_txn")
+        history_ctes("events_txn")
         + """
 SELECT e.transaction_id, e.user_id, round(e.amount, 6) AS amount, e.merchant,
        hour(e.transaction_time)::BIGINT AS event_hour,

@@ -152,9 +152,9 @@ def score_batch(spark, sf_dir):
 
 
 def _score_features_sql() -> str:
-    from riskweave.plans.q_features import _HISTORY_SQL
+    from riskweave.plans.q_features import history_ctes
 
-    body = _HISTORY_SQL.format(view="events_txn") + """
+    body = history_ctes("events_txn") + """
 SELECT e.transaction_id,
        hour(e.transaction_time)::BIGINT AS event_hour,
        (isodow(e.transaction_time) - 1)::BIGINT AS event_day_of_week,

@@ -205,19 +205,19 @@ def enc_processed_pooled(spark, sf_dir):
 def _full_ctes() -> str:
     """F1–F12 frame, time split and N1–N5 at the default minimum share (1%)."""
     from riskweave.operators.features import ENGINEERED_FEATURES
-    from riskweave.plans.q_features import _HISTORY_SQL
+    from riskweave.plans.q_features import history_ctes
 
     numeric = ["amount", *ENGINEERED_FEATURES]
     listed = ", ".join(f"coalesce({c}, 0)::DOUBLE AS {c}" for c in numeric)
     unpivoted = "\n  UNION ALL ".join(f"SELECT transaction_id, split, is_fraud, '{c}' AS feature, {c} AS value FROM x" for c in numeric)
     return (
-        _HISTORY_SQL.format(view="events_txn").rstrip()
+        history_ctes("events_txn", rounded=False).rstrip()
         + ",\n"
         + _time_split_sql("events_txn")
         + f""",
-f AS (SELECT e.transaction_id, s.split, e.is_fraud, e.merchant, round(e.amount, 6) AS amount, hour(e.transaction_time) AS event_hour,
+f AS (SELECT e.transaction_id, s.split, e.is_fraud, e.merchant, e.amount, hour(e.transaction_time) AS event_hour,
              isodow(e.transaction_time) - 1 AS event_day_of_week, CASE WHEN isodow(e.transaction_time) >= 6 THEN 1 ELSE 0 END AS is_weekend,
-             round(CASE WHEN e.amount IS NULL THEN NULL ELSE ln(1 + greatest(e.amount, 0.0)) END, 6) AS amount_log1p,
+             CASE WHEN e.amount IS NULL THEN NULL ELSE ln(1 + greatest(e.amount, 0.0)) END AS amount_log1p,
              h.* EXCLUDE (transaction_id)
       FROM events_txn e JOIN h USING (transaction_id) JOIN splits s USING (transaction_id)),
 tr AS (SELECT * FROM f WHERE split = 'train'),
@@ -246,12 +246,15 @@ def _full_data(spark, sf_dir):
 @register(
     "enc_processed_splits",
     td.with_views(
-        _full_ctes() + "SELECT transaction_id, split, is_fraud::BIGINT AS is_fraud, feature, round(value, 4) AS value FROM enc", "events_txn"
+        _full_ctes() + "SELECT transaction_id, split, is_fraud::BIGINT AS is_fraud, feature, round(value, 6) AS value FROM enc", "events_txn"
     ),
-    digits=4,
 )
 def enc_processed_splits(spark, sf_dir):
-    """N5 on the whole frame: F1–F11 features, time split, F12 on train, encoder fitted on train."""
+    """N5 on the whole frame: F1–F11 features, time split, F12 on train, encoder fitted on train.
+
+    Both sides round the raw doubles once, to six digits: means of two-digit amounts are
+    often exact ties at the fifth, which sums in another order put on either side.
+    """
     data = _full_data(spark, sf_dir)
     return _long(data.df, ["transaction_id", "split", "is_fraud"], data.features)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "riskweave") -> SparkSession:
@@ -57,6 +58,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table of the shared folder: cuts the lineage and keeps its size for the planner."""
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on any file system Spark can reach."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
