@@ -23,11 +23,14 @@ def hourly_counts(df: DataFrame, user: str, ts: str) -> DataFrame:
 
 
 def daily_sliding_counts(df: DataFrame, user: str, ts: str) -> DataFrame:
-    """Rows per (user, 24-hour window sliding by 1 hour)."""
-    w = F.window(F.col(ts), "24 hours", "1 hour")
-    return df.where(F.col(ts).isNotNull()).groupBy(F.col(user).alias("user_id"), w.alias("w")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("txn_count")
-    )
+    """Rows per (user, 24-hour window sliding by 1 hour), summed from the hourly counts.
+
+    Only an hour's count is copied into its 24 windows, never a row. On a stream these are two stateful
+    aggregates in a row; an hour reaches the second one when the watermark has passed its end.
+    """
+    hours = hourly_counts(df, user, ts)
+    w = F.window(F.window_time("w"), "24 hours", "1 hour")
+    return hours.groupBy("user_id", w.alias("day")).agg(F.sum("txn_count").cast("bigint").alias("txn_count")).withColumnRenamed("day", "w")
 
 
 def flatten(df: DataFrame) -> DataFrame:
