@@ -250,6 +250,8 @@ def ordered_prefix(
 GRID, SKETCH = 1000, 10_000
 #: Bounds of so many groups are broadcast; more are joined by shuffle.
 BROADCAST_GROUPS = 10_000
+#: Distinct values that one task orders, and the parts into which a bracket with more of them is cut.
+ORDERED, PARTS = 100_000, 64
 
 
 def at_ranks(df: DataFrame, value: str, ranks: dict[str, Column], groups: list[str] | None = None) -> DataFrame:
@@ -263,7 +265,8 @@ def at_ranks(df: DataFrame, value: str, ranks: dict[str, Column], groups: list[s
     grid of ranks; two grid values around a wanted rank, further away than the
     sketch can be off, bracket it. A second pass counts the rows below each
     bracket and collapses the rows inside, about 3 / GRID of the group, to
-    distinct values; only those are ordered. A rank outside its bracket, which
+    distinct values; only those are ordered. Where they may be more than ORDERED, the bracket is
+    narrowed first (``_narrowed``). A rank outside its bracket, which
     the counts would show, raises an error.
     """
     spark = df.sparkSession
@@ -293,7 +296,8 @@ def at_ranks(df: DataFrame, value: str, ranks: dict[str, Column], groups: list[s
 
     ensure_checkpoint_dir(spark)
     bounds = bounds.checkpoint()  # read twice: here and at the end
-    few = not groups or bounds.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    most = bounds.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("n")).first()
+    few = not groups or most["groups"] <= BROADCAST_GROUPS
     same = [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(groups)]
     on = F.lit(True)
     for c in same:
@@ -307,6 +311,10 @@ def at_ranks(df: DataFrame, value: str, ranks: dict[str, Column], groups: list[s
     ]
     marked = near.select(*groups, F.explode(F.array_compact(F.array(*marks))).alias("__m"))
     counts = marked.groupBy(*groups, F.col("__m.i").alias("__i"), F.col("__m.v").alias("__v")).agg(F.count(F.lit(1)).alias("count"))
+    # A bracket spans at most ten steps of the grid, the sketch's errors included.
+    if (most["n"] or 0) * 10 > ORDERED * GRID:
+        ends = F.array(*[F.col(f"__r{i}") for i in range(len(names))])
+        counts = _narrowed(counts, bounds.select(*[c for c in bounds.columns if c.startswith("__g")], ends.alias("__ranks")), groups, few)
     upto = F.sum("count").over(
         Window.partitionBy(*groups, "__i").orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -324,6 +332,48 @@ def at_ranks(df: DataFrame, value: str, ranks: dict[str, Column], groups: list[s
     )
 
 
+def _narrowed(counts: DataFrame, wanted: DataFrame, groups: list[str], few: bool) -> DataFrame:
+    """``counts`` (groups, __i, __v, count; a null __v counts what is below) with at most ORDERED values a bracket.
+
+    A bracket with more values is cut at PARTS quantiles of them; the parts' row counts tell the part with the
+    wanted rank, and what is below that part joins the count below. Each round leaves about 1 / PARTS of the values;
+    a part that is one value can't be cut and need not be.
+    """
+    key = [*groups, "__i"]
+    order = Window.partitionBy(*key).orderBy(F.col("__part").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    while True:
+        counts = counts.checkpoint()
+        sizes = counts.where(F.col("__v").isNotNull()).groupBy(*key)
+        cuts = sizes.agg(F.count(F.lit(1)).alias("__size"), F.percentile_approx("__v", [i / PARTS for i in range(1, PARTS)], 10_000).alias("__cuts"))
+        cuts = cuts.where(F.col("__size") > ORDERED).select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(key)], "__cuts").checkpoint()
+        if cuts.isEmpty():
+            return counts
+        on = F.lit(True)
+        for i, k in enumerate(key):
+            on = on & F.col(k).eqNullSafe(F.col(f"__c{i}"))
+        cut = counts.join(F.broadcast(cuts) if few else cuts, on, "left")
+        part = F.when(F.col("__cuts").isNotNull() & F.col("__v").isNotNull(), F.size(F.filter("__cuts", lambda c: c < F.col("__v"))))
+        cut = cut.select(*key, "__v", "count", F.col("__cuts").isNotNull().alias("__big"), part.alias("__part"))
+        cut = cut.checkpoint()
+        # At most PARTS + 1 rows a bracket from here to the choice of the part.
+        parts = cut.where("__big").groupBy(*key, "__part").agg(F.sum("count").alias("n"))
+        parts = parts.withColumn("upto", F.sum("n").over(order)).withColumn("below", F.col("upto") - F.col("n"))
+        same = F.lit(True)
+        for i, g in enumerate(groups):
+            same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+        parts = parts.join(F.broadcast(wanted) if few else wanted, same)
+        rank = F.element_at("__ranks", F.col("__i") + 1)
+        # A rank below the bracket keeps its null part, for the caller's check.
+        found = parts.where((F.col("below") <= rank) & (rank < F.col("upto")))
+        found = found.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(key)], F.col("__part").alias("__chosen"), "below")
+        kept = cut.where("__big").join(F.broadcast(found) if few else found, on).where(F.col("__part").eqNullSafe(F.col("__chosen")))
+        below = found.where(F.col("__chosen").isNotNull()).select(
+            *[F.col(f"__c{i}").alias(k) for i, k in enumerate(key)], F.lit(None).cast(counts.schema["__v"].dataType).alias("__v"), F.col("below").alias("count")
+        )
+        names = [*key, "__v", "count"]
+        counts = cut.where("NOT __big").select(*names).unionByName(kept.select(*names)).unionByName(below)
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from riskweave.functions.columns import col
 from riskweave.roles import ROLE_NAMES, candidates, categorical_columns, numeric_columns
+from riskweave.session import written
 
 
 def _is_missing(f: T.StructField) -> Column:
@@ -39,17 +40,41 @@ def missing_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def _row_key(df: DataFrame) -> list[Column]:
+    """128 bits of a whole row; a null in another column is another row."""
+    parts = [x for f in df.schema.fields for x in (_plain(f), col(f.name).isNull())]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit("row"), *parts)]
+
+
+def _plain(f: T.StructField) -> Column:
+    """A column whose equal values have equal bytes: one zero and one NaN."""
+    c = col(f.name)
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        return F.when(F.isnan(c), F.lit(float("nan")).cast(f.dataType)).otherwise(c + F.lit(0).cast(f.dataType))
+    return c
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """A2: rows equal to an earlier row (NULLs equal) = rows − distinct rows.
 
-    ``groupBy(all columns)`` combines copies map-side, so a row repeated a
-    billion times leaves each map task as one (row, count) pair.
+    Rows are counted by 128 bits of them, combined map-side, so a row repeated a billion
+    times leaves each map task as one (key, count) pair and no text is shuffled. Only rows whose key
+    repeats are then compared as a whole: each map task hands on one copy of every different row under a key.
     """
-    counts = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__c"))
-    return counts.agg(
-        F.sum("__c").cast("bigint").alias("row_count"),
-        F.count(F.lit(1)).cast("bigint").alias("distinct_rows"),
-        F.coalesce(F.sum(F.col("__c") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+    keyed = df.select(*[k.alias(f"__k{i}") for i, k in enumerate(_row_key(df))], F.struct(*[_plain(f).alias(f"c{i}") for i, f in enumerate(df.schema.fields)]).alias("__row"))
+    key = ["__k0", "__k1"]
+    counts = written(keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("__c")), "row-keys")
+    repeated = counts.where(F.col("__c") > 1).select(*key)
+    more = keyed.join(repeated, key, "left_semi").groupBy(*key).agg((F.size(F.collect_set("__row")) - 1).alias("__more"))
+    # Distinct rows: one for each key, and what differs under a repeated one.
+    both = counts.agg(F.coalesce(F.sum("__c"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("keys")).crossJoin(
+        more.agg(F.coalesce(F.sum("__more"), F.lit(0)).alias("more"))  # one row each
+    )
+    distinct = F.col("keys") + F.col("more")
+    return both.select(
+        F.col("rows").cast("bigint").alias("row_count"),
+        distinct.cast("bigint").alias("distinct_rows"),
+        (F.col("rows") - distinct).cast("bigint").alias("duplicate_rows"),
     )
 
 

@@ -17,14 +17,8 @@ from pyspark.sql import types as T
 from riskweave.functions.columns import as_category, binary_target, col, dtype_of, has_times, parse_timestamp, to_double
 from riskweave.functions.ordered import exact_quantiles
 from riskweave.operators.audit import duplicate_rows
-from riskweave.roles import (
-    Roles,
-    categorical_columns,
-    detect_amount_column,
-    numeric_columns,
-    transaction_id_candidates,
-    user_id_candidates,
-)
+from riskweave.roles import Roles, candidates, categorical_columns, detect_amount_column, numeric_columns
+from riskweave.session import written
 
 MISSING = "<missing>"
 DESCRIBE_PROBS = [0.25, 0.5, 0.75, 0.95]
@@ -150,6 +144,14 @@ def amount_summary(df: DataFrame, amount: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- E7
+#: Groups of a histogram whose bounds are sent to every task; more are joined by shuffle.
+FEW_GROUPS = 10_000
+
+
+def _sent(table: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(table) if few else table
+
+
 def histogram(
     df: DataFrame,
     value: Column,
@@ -171,11 +173,13 @@ def histogram(
         F.count("v").alias("__count"),
     )
     # exact distinct count only where it can change the bin count (few values)
-    small = base.join(F.broadcast(stats.where(F.col("__approx") <= 4 * max_bins).select("__g")), "__g").groupBy("__g").agg(
+    stats = written(stats, "histogram-groups")
+    few = stats.count() <= FEW_GROUPS
+    small = base.join(_sent(stats.where(F.col("__approx") <= 4 * max_bins).select("__g"), few), "__g").groupBy("__g").agg(
         F.count_distinct("v").alias("__ndv")
     )
     k = F.col("__count") if basis == "count" else F.coalesce(F.col("__ndv"), F.col("__approx"))
-    stats = stats.join(F.broadcast(small), "__g", "left").select(
+    stats = stats.join(_sent(small, few), "__g", "left").select(
         "__g",
         F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
         F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"),
@@ -183,8 +187,7 @@ def histogram(
     )
     width = (F.col("hi") - F.col("lo")) / F.col("bins")
     idx = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.col("bins") - 1).cast("int")
-    # stats: one row per group (bounded: groups are classes or a constant)
-    counts = base.join(F.broadcast(stats), "__g").groupBy("__g", idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = base.join(_sent(stats, few), "__g").groupBy("__g", idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     spine = stats.select("__g", "lo", "hi", "bins", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"))
     out = spine.join(counts, ["__g", "bin"], "left").select(
         "__g",
@@ -228,7 +231,7 @@ def group_candidates(
     A column with more than ``max_ndv`` values has a NULL count and
     ``over_limit`` set: it can't be eligible, so it is not counted exactly."""
     schema = "column_name string, n_distinct bigint, over_limit boolean, eligible boolean"
-    excluded = set(user_id_candidates(df)) | set(transaction_id_candidates(df)) | {target}
+    excluded = {*candidates(df, "user_id"), *candidates(df, "transaction_id"), target}
     cols = [c for c in categorical_columns(df) if c not in excluded]
     if not cols:
         return df.sparkSession.createDataFrame([], schema)
@@ -336,10 +339,16 @@ def dataset_summary(df: DataFrame, roles: Roles) -> DataFrame:
     )
 
 
-def run_full_eda(df: DataFrame, roles: Roles, target_valid: bool | None = None) -> EdaReport:
-    """All blocks; blocks whose inputs are missing are skipped with a note."""
+def run_full_eda(df: DataFrame, roles: Roles, target_valid: bool | None = None, shared: bool = False) -> EdaReport:
+    """All blocks; blocks whose inputs are missing are skipped with a note.
+
+    With ``shared`` the source, which may be text or a join, is read once into a columnar table, of which
+    every block then reads its own columns.
+    """
     from riskweave.functions.columns import binary_target_check
 
+    if shared:
+        df = written(df, "eda")
     rep = EdaReport()
     rep.tables["dataset_summary"] = dataset_summary(df, roles)
     if target_valid is None:
@@ -380,3 +389,14 @@ def run_full_eda(df: DataFrame, roles: Roles, target_valid: bool | None = None)
     else:
         rep.notes.append("no 0/1 target: rates and comparisons by target left out")
     return rep
+
+
+def report_rows(rep: EdaReport) -> DataFrame:
+    """All blocks and notes of a report as one table: block, and each of its rows as JSON."""
+    parts = [t.select(F.lit(name).alias("block"), F.to_json(F.struct(*t.columns), {"ignoreNullFields": "false"}).alias("row")) for name, t in rep.tables.items()]
+    spark = parts[0].sparkSession
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    notes = spark.createDataFrame([("note", n) for n in rep.notes], "block string, row string")
+    return out.unionByName(notes)

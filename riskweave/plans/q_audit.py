@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from riskweave.operators import audit
 from riskweave.plans.registry import register
 from riskweave.roles import role_profile
+from riskweave.session import shared_path
+from riskweave.sources import io
 from riskweave.sources import testdata as td
 
 _EVENTS_COLS = ["transaction_id", "user_id", "transaction_time", "amount", "merchant", "is_fraud"]
@@ -132,18 +136,29 @@ def audit_high_missing(spark, sf_dir):
 SELECT * FROM (
   SELECT 'transaction_id' AS column_name, 0::BIGINT AS position, 'bigint' AS data_type, true AS is_numeric, false AS is_categorical,
          false AS is_target_candidate, false AS is_timestamp_candidate, false AS is_user_id_candidate, true AS is_transaction_id_candidate,
-         false AS is_amount_column, count(transaction_id)::BIGINT AS non_null, NULL::BOOLEAN AS target_binary, NULL::DOUBLE AS time_parse_rate
+         false AS is_amount_column, count(transaction_id)::BIGINT AS non_null, NULL::BOOLEAN AS target_binary, NULL::DOUBLE AS time_parse_rate,
+         round(count(DISTINCT transaction_id) / count(transaction_id), 6) AS distinct_share, true AS distinct_exact
   FROM events_txn
-  UNION ALL SELECT 'user_id', 1, 'bigint', true, false, false, false, true, false, false, count(user_id), NULL, NULL FROM events_txn
+  UNION ALL SELECT 'user_id', 1, 'bigint', true, false, false, false, true, false, false, count(user_id), NULL, NULL,
+         round(count(DISTINCT user_id) / count(user_id), 6), true FROM events_txn
   UNION ALL SELECT 'transaction_time', 2, 'timestamp_ntz', false, false, false, true, false, false, false, count(transaction_time), NULL,
-         round(count(transaction_time) / count(*), 6) FROM events_txn
-  UNION ALL SELECT 'amount', 3, 'double', true, false, false, false, false, false, true, count(amount), NULL, NULL FROM events_txn
-  UNION ALL SELECT 'merchant', 4, 'string', false, true, false, false, false, false, false, count(merchant), NULL, NULL FROM events_txn
+         round(count(transaction_time) / count(*), 6), NULL, NULL FROM events_txn
+  UNION ALL SELECT 'amount', 3, 'double', true, false, false, false, false, false, true, count(amount), NULL, NULL, NULL, NULL FROM events_txn
+  UNION ALL SELECT 'merchant', 4, 'string', false, true, false, false, false, false, false, count(merchant), NULL, NULL, NULL, NULL FROM events_txn
   UNION ALL SELECT 'is_fraud', 5, 'int', true, false, true, false, false, false, false, count(is_fraud),
-         count(is_fraud) > 0 AND count_if(is_fraud NOT IN (0, 1)) = 0, NULL FROM events_txn)""",
+         count(is_fraud) > 0 AND count_if(is_fraud NOT IN (0, 1)) = 0, NULL, NULL, NULL FROM events_txn)""",
         "events_txn",
     ),
 )
 def role_profile_q(spark, sf_dir):
     """R1–R10 on events_txn: type classes, name candidates, data checks."""
     return role_profile(td.events_txn(spark, sf_dir))
+
+
+@register("audit_summary_json", _summary_sql())
+def audit_summary_json(spark, sf_dir):
+    """The audit summary written as JSON and read back with its schema."""
+    summary = audit.quality_summary(td.events_txn(spark, sf_dir))
+    path = shared_path(spark, f"audit-{uuid.uuid4().hex}.json")
+    io.write_json(summary, path)
+    return spark.read.schema(summary.schema).json(path)

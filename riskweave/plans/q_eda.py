@@ -256,3 +256,10 @@ FROM events_txn""",
 def eda_dataset_summary(spark, sf_dir):
     """E15 head block on events_txn."""
     return eda.dataset_summary(_ev(spark, sf_dir), td.EVENTS_TXN_ROLES)
+
+
+@register("eda_full")
+def eda_full(spark, sf_dir):
+    """Every block of the report on events_txn, the source read once; one row per row of a block."""
+    rep = eda.run_full_eda(td.events_txn(spark, sf_dir), td.EVENTS_TXN_ROLES, shared=True)
+    return eda.report_rows(rep)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.session import path_exists
+
 SUPPORTED_SUFFIXES = (".csv", ".parquet")
 # CSV text of a time keeps its microseconds (Spark's default keeps milliseconds),
 # and an empty text is written as "" so that it is not read back as NULL.
@@ -25,10 +27,12 @@ def load_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
     the suffix of the path or, for a bare directory, of its files.
     """
     suffix = _suffix(path)
-    if suffix not in SUPPORTED_SUFFIXES and os.path.isdir(path):
-        inner = {_suffix(p) for p in os.listdir(path) if _suffix(p) in SUPPORTED_SUFFIXES}
+    if suffix not in SUPPORTED_SUFFIXES:
+        inner = {_suffix(name) for name, _ in list_folder(spark, path) or [] if _suffix(name) in SUPPORTED_SUFFIXES}
         if len(inner) == 1:
             suffix = inner.pop()
+        elif inner:
+            raise ValueError(f"{path} holds CSV and Parquet files: name one of them")
     if suffix == ".csv":
         # Declared schemas go with this module's own text form of times; inference takes any.
         options = {"header": True} if schema is None else CSV_READ_OPTIONS
@@ -41,19 +45,39 @@ def load_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
     raise ValueError(f"Unsupported file format: '{suffix}'. Use CSV or Parquet.")
 
 
-def resolve_data_path(filename: str | None, data_dir: str) -> str:
-    """The named file if it exists, else the first supported file by name."""
+def _session(spark: SparkSession | None) -> SparkSession:
+    return spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
+def list_folder(spark: SparkSession | None, path: str) -> list[tuple[str, str]] | None:
+    """(name, full path) of a folder's entries by name, on any file system that Spark can reach; None if there is no such folder."""
+    sc = _session(spark).sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(at) or not fs.getFileStatus(at).isDirectory():
+        return None
+    return sorted((s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(at))
+
+
+def resolve_data_path(filename: str | None, data_dir: str, spark: SparkSession | None = None) -> str:
+    """The named file if it exists, else the first supported file by name.
+
+    ``data_dir`` and ``filename`` may be of any file system (``file:``, ``hdfs:``, an object store);
+    an absolute path or one with a scheme is taken as it is.
+    """
+    spark = _session(spark)
     if filename:
-        candidate = filename if os.path.isabs(filename) else os.path.join(data_dir, filename)
-        if os.path.exists(candidate):
+        candidate = filename if "://" in filename or filename.startswith(("/", "file:")) else f"{data_dir.rstrip('/')}/{filename}"
+        if path_exists(spark, candidate):
             return candidate
         raise FileNotFoundError(f"Dataset file was not found: {candidate}")
-    if not os.path.isdir(data_dir):
+    entries = list_folder(spark, data_dir)
+    if entries is None:
         raise FileNotFoundError(f"Data directory was not found: {data_dir}")
-    names = sorted(n for n in os.listdir(data_dir) if _suffix(n) in SUPPORTED_SUFFIXES)
+    names = [name for name, _ in entries if _suffix(name) in SUPPORTED_SUFFIXES]
     if not names:
         raise FileNotFoundError(f"No CSV or Parquet files were found in {data_dir}")
-    return os.path.join(data_dir, names[0])
+    return f"{data_dir.rstrip('/')}/{names[0]}"
 
 
 def _suffix(path: str) -> str:

@@ -149,6 +149,13 @@ def test_boosting_and_permutation_find_the_planted_signal(spark, planted):
     assert mt.evaluate(s, "y", "score", 0.5).first()["roc_auc"] > 0.9
     imp = {r["feature"]: r["importance"] for r in ex.permutation_importance(res.model, valid, ["x1", "x2"], "y", "id", repeats=3).collect()}
     assert imp["x1"] > 0.2 > abs(imp["x2"])
+    again = ex.permutation_importance(res.model, valid, ["x1", "x2"], "y", "id", repeats=3)
+    assert {r["feature"]: r["importance"] for r in again.collect()} == imp
+    # Blocks of one row have no other donor; each row is in the shuffle once.
+    alone = ex.permutation_importance(res.model, valid.limit(1), ["x1", "x2"], "y", "id", repeats=2)
+    assert [r["importance"] for r in alone.collect()] == [0.0, 0.0]
+    spread = ex.permutation_importance(res.model, valid, ["x1", "x2"], "y", "id", repeats=3, block_rows=50).collect()
+    assert {r["feature"]: r["importance"] for r in spread}["x1"] > 0.2
 
 
 def test_artifacts_are_found_again_by_all_that_shapes_them(spark):

@@ -180,6 +180,36 @@ def test_ranks_in_brackets_match_sorting(spark, monkeypatch, grid, sketch, few):
     assert ordered.at_ranks(df.where("g = 'd'"), "v", ranks).count() == 0
 
 
+@pytest.mark.parametrize("ordered_at_most,parts,few", [(50, 4, 10_000), (7, 3, 0)])
+def test_large_brackets_are_narrowed_in_rounds(spark, monkeypatch, ordered_at_most, parts, few):
+    from riskweave.functions import ordered
+
+    monkeypatch.setattr(ordered, "ORDERED", ordered_at_most)
+    monkeypatch.setattr(ordered, "PARTS", parts)
+    monkeypatch.setattr(ordered, "GRID", 20)
+    monkeypatch.setattr(ordered, "SKETCH", 100)
+    monkeypatch.setattr(ordered, "BROADCAST_GROUPS", few)
+    left = []
+    narrow = ordered._narrowed
+
+    def counted(counts, *args):
+        out = narrow(counts, *args)
+        left.extend(r["n"] for r in out.where("__v IS NOT NULL").groupBy("g", "__i").agg(F.count(F.lit(1)).alias("n")).collect())
+        assert counts.where("__v IS NOT NULL").groupBy("g", "__i").count().agg(F.max("count")).first()[0] > 3 * ordered_at_most
+        return out
+
+    monkeypatch.setattr(ordered, "_narrowed", counted)
+    rng = np.random.default_rng(12)
+    groups = {"a": rng.normal(size=3000), None: np.repeat(rng.normal(size=700), rng.integers(1, 9, 700)), "c": np.array([1.0, 1.0, 2.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs], "g string, v double").repartition(5)
+    ranks = {"first": F.lit(0), "third": F.floor(F.col("n") / 3), "last": F.col("n") - 1}
+    for r in ordered.at_ranks(df, "v", ranks, ["g"]).collect():
+        s = np.sort(groups[r["g"]])
+        v = s[{"first": 0, "third": len(s) // 3, "last": len(s) - 1}[r["rank_name"]]]
+        assert (r["value"], r["before"], r["count"], r["n"]) == (v, (s < v).sum(), (s == v).sum(), len(s))
+    assert left and max(left) <= ordered_at_most
+
+
 def test_quantiles_do_not_order_all_values(spark):
     from riskweave.functions.ordered import exact_quantiles
 

@@ -142,3 +142,86 @@ def test_split_sizes_and_non_binary_targets(spark):
     assert sp.hash_split(df, "k", "wide").method == "random"
     assert sp.hash_split(df.withColumn("y", F.when(F.col("k") > 5, F.col("y"))), "k", "y").method == "stratified"
     assert sp.hash_split(df.limit(0), "k", "y").sizes == {"train": 0, "valid": 0, "test": 0}
+
+
+def test_files_are_found_on_any_file_system(spark, tmp_path):
+    for name in ("b.parquet", "a.parquet"):
+        spark.range(3).write.parquet(f"file://{tmp_path}/{name}")
+    spark.range(2).write.option("header", True).csv(f"file://{tmp_path}/c.csv")
+    (tmp_path / "0.txt").write_text("x")
+    root = f"file://{tmp_path}"
+    found = io.resolve_data_path(None, root, spark)
+    assert found == f"{root}/a.parquet" and io.load_dataset(spark, found).count() == 3
+    assert io.resolve_data_path("c.csv", root, spark) == f"{root}/c.csv"
+    assert io.resolve_data_path(f"{root}/b.parquet", "/nowhere", spark) == f"{root}/b.parquet"
+    for missing in (lambda: io.resolve_data_path("d.csv", root, spark), lambda: io.resolve_data_path(None, f"{root}/none", spark)):
+        with pytest.raises(FileNotFoundError):
+            missing()
+    # A bare folder of part files takes the format of its files; a mixed one must be told.
+    bare = tmp_path / "bare"
+    spark.range(4).write.parquet(f"file://{bare}")
+    assert io.load_dataset(spark, f"file://{bare}").count() == 4
+    with pytest.raises(ValueError):
+        io.load_dataset(spark, root)
+
+
+def test_json_sink_and_detected_roles(spark, tmp_path):
+    from riskweave.roles import Roles, candidates
+
+    df = spark.createDataFrame([(1, 2, 3, 4, 5.0, None)], "`Trans Num` long, order_id long, cc_num long, class int, amt double, date string")
+    path = f"file://{tmp_path}/t.json"
+    io.write_json(df, path)
+    assert spark.read.schema(df.schema).json(path).collect() == df.collect()
+    assert Roles.detect(df) == Roles("class", "date", "cc_num", "Trans Num", "amt")
+    assert Roles.detect(df, timestamp=None).timestamp is None
+    assert candidates(df, "transaction_id") == ["Trans Num", "order_id"]
+    with pytest.raises(ValueError):
+        candidates(df, "colour")
+
+
+def test_distinct_shares_of_id_candidates(spark, monkeypatch):
+    from riskweave import roles
+
+    df = spark.range(3000).selectExpr("id AS order_id", "id % 70 AS user_id", "if(id % 3 = 0, NULL, id % 900) AS client_id", "CAST(NULL AS STRING) AS tx_id")
+    rows = {r["column_name"]: r for r in roles.role_profile(df).collect()}
+    assert (rows["order_id"]["distinct_share"], rows["order_id"]["distinct_exact"]) == (1.0, True)
+    assert rows["user_id"]["distinct_share"] == pytest.approx(70 / 3000)
+    assert rows["client_id"]["distinct_share"] == pytest.approx(600 / 2000)
+    assert rows["tx_id"]["distinct_share"] is None
+    monkeypatch.setattr(roles, "FEW_VALUES", 10)
+    rows = {r["column_name"]: r for r in roles.role_profile(df).collect()}
+    assert not rows["client_id"]["distinct_exact"] and rows["client_id"]["distinct_share"] == pytest.approx(0.3, rel=0.1)
+    assert rows["order_id"]["distinct_exact"]
+
+
+def test_duplicate_rows_by_key(spark, monkeypatch):
+    from riskweave.operators import audit
+
+    nan, nan2 = float("nan"), -float("nan")
+    rows = [("a", None, 0.0), ("a", None, -0.0), (None, "a", 0.0), ("b", "x", nan), ("b", "x", nan2), ("c", "y", None), ("c", "y", 1.0), ("c", "y", 1.0)]
+    df = spark.createDataFrame(rows, "s string, t string, v double")
+    assert tuple(audit.duplicate_rows(df).first()) == (8, 5, 3)
+    assert tuple(audit.duplicate_rows(df.limit(0)).first()) == (0, 0, 0)
+    # Rows that differ are told apart under one key.
+    monkeypatch.setattr(audit, "_row_key", lambda df: [F.lit(1), F.length("s")])
+    assert tuple(audit.duplicate_rows(df).first()) == (8, 5, 3)
+
+
+def test_whole_report_has_the_blocks_of_its_operators(spark):
+    import json
+
+    from riskweave.operators import eda
+    from riskweave.sources import testdata as td
+
+    df = td.events_txn(spark, "/root/testdata/sf0.001")
+    rep = eda.run_full_eda(df, td.EVENTS_TXN_ROLES, shared=True)
+    rows = eda.report_rows(rep).collect()
+    by_block = {}
+    for r in rows:
+        by_block.setdefault(r["block"], []).append(r["row"])
+    plain = eda.run_full_eda(df, td.EVENTS_TXN_ROLES).tables
+    assert set(by_block) - {"note"} == set(plain) and len(plain) >= 9
+    for name in ("rate_by_hour", "dataset_summary", "target_distribution"):
+        whole = plain[name].selectExpr("to_json(struct(*), map('ignoreNullFields', 'false')) AS j")
+        assert sorted(by_block[name]) == sorted(r["j"] for r in whole.collect())
+    assert all(json.loads(r) for n, rs in by_block.items() if n != "note" for r in rs)
