@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 from llm_fixtures import SF001
+from pyspark.sql import functions as F
 
 from riskweave.llm import embedding_dedup, neighbours, queries
 
@@ -114,7 +115,7 @@ def test_neighbours_by_inner_product_of_unequal_lengths(spark, monkeypatch):
 
 def test_neighbours_of_odd_rows(spark):
     frame = odd_vectors(spark).replace({2: 20, 8: 40}, subset=["vec_id"])
-    rows = [tuple(r) for r in neighbours.nearest(frame, k=3).orderBy("query_id", "rank").collect()]
+    rows = [tuple(r)[:4] for r in neighbours.nearest(frame, k=3).orderBy("query_id", "rank").collect()]
     assert rows == [(20, 1, 40, 2.0), (20, 2, 1, 1.0), (20, 3, 1, 1.0), (40, 1, 1, 2.0), (40, 2, 1, 2.0), (40, 3, 20, 2.0)]
     assert neighbours.nearest(frame.limit(0)).count() == 0
 
@@ -152,3 +153,38 @@ def test_queries_left_short_meet_every_vector(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "reaches", near_nothing)
     rows = neighbours.nearest(frame).toPandas()
     assert rows.groupby("query_id")["rank"].apply(sorted).tolist() == [list(range(1, 21))] * 150
+
+
+def test_only_candidates_are_ranked_and_each_once(spark, monkeypatch):
+    """n_reranked is the number of other vectors in the visited buckets of any table, however buckets are cut into parts."""
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(600, 3))  # few dimensions and one length: most buckets are far away
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[100:260] = x[100]  # one bucket with many rows
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    monkeypatch.setattr(neighbours, "SLICE", 50)
+    options = dict(tables=2, dims=2, width=0.4, success=0.9, sample=600)
+    rows = neighbours.nearest(frame, k=5, **options).toPandas()
+    x = x.astype(np.float32).astype(float)
+    ids, asked = np.arange(len(x)), np.arange(0, len(x), 20)
+    longest = np.sqrt((x * x).sum(axis=1)).max()
+    probe = neighbours.Tables(3, longest, 1.0, tables=1, dims=1, width=1.0, success=0.5, seed=3)
+    seen = np.zeros((len(asked), len(x)), dtype=bool)
+    reach = neighbours.reaches(probe, x[asked], asked, x, ids, 5)
+    # The fitted distance is a quantile over distinct sampled vectors, in the order of their id hashes.
+    taken = [r[0] for r in frame.orderBy(F.xxhash64("vec_id")).select("vec_id").collect()]
+    first = np.sort(np.unique(x[taken], axis=0, return_index=True)[1])[: neighbours.FITTED]
+    far = neighbours.reaches(probe, x[taken][first], np.array(taken)[first], x[taken], np.array(taken), 5)
+    tables = neighbours.Tables(3, longest, float(np.quantile(far, neighbours.HIGH)), tables=2, dims=2, width=0.4, success=0.9, seed=3)
+    own = tables.own_keys(x)
+    whole = np.zeros(len(asked), dtype=bool)
+    for t in range(2):
+        for i, found in enumerate(tables.probes(tables.lifted(x[asked], True), reach, t)):
+            whole[i] |= found is None
+            seen[i] |= [found is None or key in set(found.tolist()) for key in own[:, t].tolist()]
+    seen[whole] = True
+    seen[np.arange(len(asked)), asked] = False
+    counted = rows.groupby("query_id")["n_reranked"].first().reindex(asked).to_numpy()
+    full = seen.sum(axis=1) >= 5  # a query with fewer candidates meets every vector
+    assert full.sum() > 20 and (counted[full] == seen.sum(axis=1)[full]).all() and (counted[~full] == len(x) - 1).all()
+    assert seen[full & ~whole].mean() < 0.7
