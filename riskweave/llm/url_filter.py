@@ -1,16 +1,19 @@
 """URL filters by association rules (operator 4, DataFrame functions only).
 
 Every url becomes a set of tokens (scheme, host and its parent domains, path
-segments with digits folded, extension, query names, fragment). FP-growth over
-the labelled rows, each with its class as one more item, mines token
-combinations; those that lead to the bad class with enough support and
-confidence are kept. Rules match by an inverted index: each rule is listed
-under its rarest token, distinct token sets look up their tokens there, and a
-rule holds if all its tokens are in the set. Listed (host, path) rules come
+segments with digits folded, query names, fragment). FP-growth over
+the labelled bad rows mines token combinations with enough support; how many labelled rows
+hold a combination gives its confidence, and only confident ones are kept. Tokens that stand in the very same
+labelled rows are one item of the mining, so a deep path that occurs as a whole is one
+item and not all sets of its segments; a rule asks for any token of each item, which is what the rules
+over all these sets would ask for. Rules match by an inverted index: each rule is listed
+under the tokens of its rarest item, distinct token sets look up their tokens there, and a
+rule holds if all its items have a token in the set. Listed (host, path) rules come
 first and the longest one wins.
 
-Bounds: the mined rules are limited by the minimum support (at most
-tokens / support frequent items), not by the number of urls. Token sets leave
+Bounds: items are tokens of at least the minimum support among bad rows, so at most
+tokens / support; their combinations depend on how many items with different rows meet in that
+many bad rows, not on the number of urls or the depth of a path. Token sets leave
 out ids, so they are far fewer than urls, and copies of a set are judged once.
 
 Defined results: a null url or one without ``://`` has an empty host and path;
@@ -21,6 +24,7 @@ an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -32,7 +36,6 @@ from riskweave.llm.tables import Scratch
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed values of the contract: (verdict, host and path).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-BAD, GOOD = "class=block", "class=allow"
 
 
 def with_host_path(pages: DataFrame, url_col: str) -> DataFrame:
@@ -75,23 +78,39 @@ def tokens(url_col: str) -> F.Column:
     return F.array_sort(F.array_distinct(F.concat(domains, segments, names, extra)))
 
 
-def mine_rules(labelled: DataFrame, *, min_support: float, min_confidence: float) -> DataFrame:
-    """(antecedent, key, confidence): rules that lead to the bad class.
+RULE = "antecedent array<string>, items array<array<string>>, keys array<string>, support long, confidence double"
 
-    ``labelled`` has items, an array of tokens with the class among them. key is
-    the rule's rarest token.
+
+def mine_rules(labelled: DataFrame, scratch: Scratch, *, min_support: float, min_confidence: float) -> DataFrame:
+    """RULE rows: rules that lead to the bad class.
+
+    ``labelled`` has row (unique), tokens and bad. An antecedent names items, each by its first token;
+    ``items`` are their tokens, ``keys`` those of the rarest one.
     """
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(labelled)
-    rules = model.associationRules.where((F.element_at("consequent", 1) == BAD) & (F.size("antecedent") > 0))
-    rules = rules.select(F.monotonically_increasing_id().alias("rule_id"), F.array_sort("antecedent").alias("antecedent"), "confidence")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), "freq")
-    rarest = (
-        rules.select("antecedent", F.explode("antecedent").alias("token"))
-        .join(single, "token")
-        .groupBy("antecedent")
-        .agg(F.min_by("token", F.struct("freq", "token")).alias("key"))
+    least = math.ceil(min_support * labelled.count())
+    places = labelled.select("row", "bad", F.explode(F.array_distinct("tokens")).alias("token"))
+    # 128 bits of the set of rows that hold a token.
+    rows = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64(F.lit("row"), "row")).alias("y")]
+    frequent = places.groupBy("token").agg(F.count_if("bad").alias("n_bad"), *rows).where(F.col("n_bad") >= least)
+    items = frequent.groupBy("n", "x", "y").agg(F.min("token").alias("item"), F.array_sort(F.collect_set("token")).alias("tokens"))
+    items = scratch.write(items.select("item", "tokens", "n"), "items")
+    held = places.join(items.select("item"), F.col("token") == F.col("item")).groupBy("row", "bad").agg(F.collect_set("item").alias("items"))
+    held = scratch.write(held, "held")
+    bad = held.where("bad").select("items")
+    n_bad = bad.count()
+    if n_bad < max(least, 1):
+        return labelled.sparkSession.createDataFrame([], RULE)
+    model = FPGrowth(itemsCol="items", minSupport=max(0.0, (least - 0.5) / n_bad), minConfidence=min_confidence).fit(bad)
+    sets = model.freqItemsets.select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("support"))
+    listed = sets.select("antecedent", "support", F.explode("antecedent").alias("item")).join(items, "item")
+    listed = listed.groupBy("antecedent", "support").agg(
+        F.min_by("item", F.struct("n", "item")).alias("rarest"), F.min_by("tokens", F.struct("n", "item")).alias("keys"), F.collect_list("tokens").alias("items")
     )
-    return rules.join(rarest, "antecedent").select("antecedent", "key", "confidence")
+    listed = scratch.write(listed, "sets")
+    seen = held.select("items", F.explode("items").alias("rarest")).join(listed.select("antecedent", "rarest"), "rarest")
+    seen = seen.where(F.size(F.array_except("antecedent", "items")) == 0).groupBy("antecedent").agg(F.count(F.lit(1)).alias("rows"))
+    rules = listed.join(seen, "antecedent").withColumn("confidence", F.col("support") / F.col("rows"))
+    return rules.where(F.col("confidence") >= min_confidence).select("antecedent", "items", "keys", "support", "confidence")
 
 
 def judge(
@@ -117,18 +136,14 @@ def judge(
 
     bad = (F.col("quality") == 0) | F.coalesce(F.col("toxic") == 1, F.lit(False))
     marks = labels.where(F.col("quality").isNotNull() | F.col("toxic").isNotNull()).select(
-        F.col(label_id_col).alias("page_id"), F.when(bad, BAD).otherwise(GOOD).alias("class")
+        F.col(label_id_col).alias("page_id"), F.coalesce(bad, F.lit(False)).alias("bad")
     )
-    taught = rows.join(marks, "page_id").select(F.concat("tokens", F.array("class")).alias("items"))
-    taught = scratch.write(taught, "taught")
+    taught = scratch.write(rows.join(marks, "page_id").select(F.monotonically_increasing_id().alias("row"), "tokens", "bad"), "taught")
     sets = rows.select("tokens").distinct()
-    if taught.isEmpty():
-        strong = sets.withColumn("confidence", F.lit(None).cast("double")).limit(0)
-    else:
-        index = scratch.write(mine_rules(taught, min_support=min_support, min_confidence=min_confidence), "index")
-        looked = sets.select("tokens", F.explode("tokens").alias("key")).join(index, "key")
-        holds = F.size(F.array_except("antecedent", "tokens")) == 0
-        strong = looked.where(holds).groupBy("tokens").agg(F.max("confidence").alias("confidence"))
+    index = scratch.write(mine_rules(taught, scratch, min_support=min_support, min_confidence=min_confidence), "index")
+    looked = sets.select("tokens", F.explode("tokens").alias("key")).join(index.select("items", "confidence", F.explode("keys").alias("key")), "key")
+    holds = F.forall("items", lambda item: F.arrays_overlap(item, F.col("tokens")))
+    strong = looked.where(holds).groupBy("tokens").agg(F.max("confidence").alias("confidence"))
     strong = scratch.write(strong, "matches")
     found = rows.join(strong, "tokens", "left")
     mined = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")

@@ -1,5 +1,11 @@
 """Mixing, line dedup and URL rules: SQL on whole tables, odd rows by hand."""
 
+import math
+import random
+import time
+from collections import Counter
+from itertools import combinations, product
+
 import pytest
 from llm_fixtures import SF001, duck, no_docs, odd_docs, same_rows
 from pyspark.sql import functions as F
@@ -7,6 +13,7 @@ from pyspark.sql import functions as F
 from riskweave.llm import queries, url_filter
 from riskweave.llm.line_dedup import drop_frequent_lines
 from riskweave.llm.mixing import mix
+from riskweave.llm.tables import Scratch
 
 
 @pytest.mark.parametrize("name", ["op9_mixing", "op10_line_dedup"])
@@ -88,6 +95,50 @@ def test_mined_rules_find_planted_combination(spark):
     assert all((r["verdict"] == "block") == (r["page_id"] % 6 == 3) for r in rows)
 
 
+def rules_by_hand(labelled, min_support, min_confidence):
+    """All token sets of bad rows with enough support and confidence, each counted over all rows."""
+    least = math.ceil(min_support * len(labelled))
+    sets = Counter(frozenset(c) for tokens, bad in labelled if bad for n in range(1, len(tokens) + 1) for c in combinations(sorted(tokens), n))
+    strong = {s: n / sum(1 for tokens, _ in labelled if s <= tokens) for s, n in sets.items() if n >= least}
+    return {s: c for s, c in strong.items() if c >= min_confidence}
+
+
+@pytest.mark.parametrize("seed,support,confidence", [(1, 0.05, 0.5), (2, 0.1, 0.7), (3, 0.02, 0.9)])
+def test_rules_are_those_of_a_brute_force_miner(spark, seed, support, confidence):
+    draw = random.Random(seed)
+    labelled = []
+    for _ in range(200):
+        tokens = {f"t{draw.randint(0, 6)}" for _ in range(draw.randint(0, 4))}
+        if "t1" in tokens:
+            tokens |= {"with t1", "too with t1"}  # always together
+        labelled.append((frozenset(tokens), draw.random() < (0.8 if {"t1", "t2"} <= tokens or "t5" in tokens else 0.2)))
+    frame = spark.createDataFrame([(i, sorted(t), b) for i, (t, b) in enumerate(labelled)], "row long, tokens array<string>, bad boolean")
+    found = url_filter.mine_rules(frame, Scratch(spark, "test"), min_support=support, min_confidence=confidence).collect()
+    wanted = rules_by_hand(labelled, support, confidence)
+    # Any choice of at least one token of each item is a rule of the miner, and nothing else is.
+    spelled = {}
+    for r in found:
+        choices = [[frozenset(c) for n in range(1, len(i) + 1) for c in combinations(i, n)] for i in r["items"]]
+        for choice in product(*choices):
+            spelled[frozenset().union(*choice)] = r["confidence"]
+    assert spelled.keys() == wanted.keys() and wanted
+    assert all(spelled[s] == pytest.approx(c) for s, c in wanted.items())
+
+
+def test_deep_paths_are_mined_in_seconds(spark):
+    deep = "/".join(f"part{'abcdefghij'[i // 10]}x{'abcdefghij'[i % 10]}" for i in range(30))
+    pages = [(i, f"https://h.org/{deep}" if i % 4 == 1 else f"https://h.org/{'a' if i % 3 else 'b'}") for i in range(400)]
+    table = spark.createDataFrame(pages, "page_id long, url string")
+    marks = spark.createDataFrame([(i, int(i % 4 != 1), None) for i in range(400)], "doc_id long, quality int, toxic int")
+    start = time.time()
+    rows = url_filter.judge(table, marks).collect()
+    assert time.time() - start < 60 and len(rows) == 400
+    assert all((r["verdict"] == "block") == (r["page_id"] % 4 == 1) for r in rows)
+    # A page with one of the segments that always came together holds a rule as well.
+    one = spark.createDataFrame([(0, "https://other.com/partaxc")], "page_id long, url string")
+    assert url_filter.judge(table.unionByName(one.withColumn("page_id", F.lit(999).cast("long"))), marks).where("page_id = 999").first()["verdict"] == "block"
+
+
 def test_toxic_labels_without_quality_teach(spark):
     pages = [(i, f"https://h{i % 4}.org/{'shop' if i % 2 else 'news'}/{i}") for i in range(400)]
     labels = [(i, None, i % 2) for i in range(300)] + [(i, None, None) for i in range(300, 400)]
