@@ -170,7 +170,7 @@ x AS (SELECT d.*, c.source_size, c.target, c.epochs, c.rest,
       FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source)
 """
 MIX_SELECT = """
-SELECT doc_id, size, source_size, round(target, 6) AS target,
+SELECT doc_id, size, source_size, target,
        CAST(epochs * size + greatest(0, least(size, rest - earlier)) AS BIGINT) AS taken
 FROM x
 """

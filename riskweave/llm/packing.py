@@ -19,6 +19,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -46,6 +47,29 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+#: The normalizer and splitting for which a text's ids are those of its words, as the vocabulary's file says them.
+WORD_KIND = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+WORD_MODEL = {"type": "BPE", "dropout": None, "end_of_word_suffix": "</w>", "byte_fallback": False, "ignore_merges": False}
+
+
 class WordIds:
     """Ids of texts by way of their words between ASCII white space.
 
@@ -62,6 +86,10 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        kind = json.loads(self.tokenizer.to_str())
+        parts = {"normalizer": kind["normalizer"], "pre_tokenizer": kind["pre_tokenizer"], "post_processor": kind["post_processor"]}
+        # Texts of a vocabulary of another kind are encoded as a whole.
+        self.by_word = parts == WORD_KIND and all(kind["model"].get(k) == v for k, v in WORD_MODEL.items())
         self.letters = _byte_letters()
         # Parts of words met lately, and those met before them.
         self.cores: dict[bytes, list[int]] = {}
@@ -126,6 +154,9 @@ class WordIds:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
+        if not self.by_word:
+            found = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
+            return [np.array(f.ids, dtype="<u4") for f in found]
         self.turn += 1
         if len(self.hash) > KEPT_WORDS:
             self.forget()

@@ -82,7 +82,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE_SQL["op9_mixing"] = MIX_SQL.format(docs="documents") + MIX_SELECT

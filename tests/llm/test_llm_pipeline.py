@@ -58,8 +58,27 @@ def test_a_cut_copy_keeps_its_lines(spark):
 
 
 def test_stages_take_odd_rows(spark):
-    docs = odd_docs(spark).select(*NAMES)
+    """Every row has a defined place in each stage, and columns that steps name themselves keep their values."""
+    docs = odd_docs(spark)
+    for name in ("source_size", "n_lines", "n_dropped"):
+        docs = docs.withColumn(name, docs["lang"])
+    rows = docs.toPandas()
+    kept = {}
     for name, stage in corpus_pipeline.STAGES:
-        for rows in (docs, docs.limit(0)):
-            out = stage(spark, rows, SF0001)
-            assert out.count() >= 0 and (name == "packing" or out.columns == NAMES)
+        assert stage(spark, docs.limit(0), SF0001).count() == 0
+        out = stage(spark, docs, SF0001)
+        kept[name] = out.toPandas()
+        if name == "packing":
+            continue
+        assert out.columns == docs.columns
+        for column in set(docs.columns) - {*NAMES, "source"}:  # copies of lang, so they must follow it
+            same = kept[name][column].fillna("") == kept[name]["lang"].fillna("")
+            assert same.all(), (name, column)
+    assert len(kept["line_dedup"]) == len(rows)
+    with_words = rows["text"].fillna("").str.encode("utf-8").map(lambda t: len(t.split()) > 0)
+    assert kept["near_duplicates"]["doc_id"].isna().sum() == 1
+    # 2 is a copy of 1; both rows of 7 share one id; the others are alike to nothing.
+    assert sorted(kept["near_duplicates"]["doc_id"].dropna().astype(int)) == [1, 3, 4, 5, 6, 7, 7, 8]
+    assert set(kept["mixing"]["doc_id"].fillna(-1)) <= set(rows["doc_id"][with_words].fillna(-1))
+    ids = kept["packing"].groupby("doc_id", dropna=False)["length"].sum()
+    assert len(kept["packing"]["doc_id"].isna().to_numpy().nonzero()[0]) == 1 and ids[3] == ids[4] == ids[5] == 1

@@ -23,6 +23,16 @@ def ids_of(text):
     return np.array([*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 2], dtype="<u4")
 
 
+def test_other_vocabularies_encode_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words = packing.WordIds(path)
+    texts = ["Some Text, with  blanks", "", "É à\n\n x"]
+    assert not words.by_word and packing.word_ids(PATH).by_word
+    plain = Tokenizer.from_file(path)
+    for text, ids in zip(texts, words.encode([t.encode() for t in texts]), strict=True):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="aAbZé\u0301's,.!?;:<|endoftext|> \n\t\x1cΣİI19²…", max_size=60), max_size=5))
 def test_word_ids_are_those_of_the_whole_text(texts):
