@@ -44,7 +44,7 @@ from riskweave.llm.embedding_dedup import valid_vector
 from riskweave.llm.tables import Scratch
 from riskweave.llm.words import M1, M2, mixed
 
-SLICE, QUERIES = 8192, 256
+SLICE, QUERIES = 2048, 256
 #: Partitions of the shards at most; a task goes through its shards one after the other.
 MOST_PARTITIONS = 20_000
 #: Slots are fitted to this quantile of the sampled distances, from so many queries.
