@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import encode as en
 from riskweave.operators import models as md
+from riskweave.operators.boosting import HistModel, fit_hist
 from riskweave.operators import features as fe
 from riskweave.operators import split as sp
 from riskweave.operators.encode import FittedEncoder
@@ -214,3 +215,18 @@ def main_bundle(spark: SparkSession, sf_dir: str, data: ModelData, grid: list[di
     best = next(r["candidate"] for r in found if r["is_best"])
     model = fitted_bundle(spark, sf_dir, data, "gbt", grid[best], splits=("train", "valid"))
     return MainModel(model, grid[best], best, [json.loads(r["row"]) for r in found])
+
+
+def hist_bundles(
+    spark: SparkSession, sf_dir: str, data: ModelData, grid: list[dict] | None = None, splits: tuple[str, ...] = ("train",)
+) -> list[HistModel]:
+    """Histogram boosting with L2, one model per grid point, fitted side by side on ``splits``
+    once and kept as artifacts like the other bundles."""
+    grid = grid or md.GBT_GRID
+    path = _keyed_path(spark, "hist", _bundle_key(spark, sf_dir, data, "hist", {"grid": grid}, splits))
+    if not path_exists(spark, f"{path}/done/_SUCCESS"):
+        models = fit_hist(data.df.where(F.col("split").isin(*splits)), data.features, data.roles.target, grid)
+        for i, m in enumerate(models):
+            m.save(spark, f"{path}/{i}")
+        spark.createDataFrame([(json.dumps(grid),)], "grid string").coalesce(1).write.mode("overwrite").json(f"{path}/done")
+    return [HistModel.load(spark, f"{path}/{i}") for i in range(len(grid))]
