@@ -246,6 +246,33 @@ def evaluate_at(df: DataFrame, y: str, score: str, threshold: float) -> DataFram
     return evaluate(df, y, score, threshold).withColumn("decision_threshold", F.lit(float(threshold)))
 
 
+def study(
+    scored: DataFrame, y: str, score: str, raw: str, split: str = "split", alpha: float = 0.7, anomaly_q: float = 0.95, ensemble_q: float = 0.75
+) -> dict[str, DataFrame]:
+    """Y10+Y11: one metric row per detector from rows with a supervised score and a raw anomaly score.
+
+    The anomaly score is scaled by the train bounds and clipped; its threshold is the ``anomaly_q``
+    quantile of the train rows, the ensemble's the ``ensemble_q`` quantile of all rows. The forest is judged on the holdout
+    (valid ∪ test) and on all rows, the supervised score at 0.5 and the ensemble on all rows.
+    ``scored`` is read several times: pass a written table. No scored train row is an error.
+    """
+    train = F.col(split) == "train"
+    low, high = scored.where(train).agg(F.min(raw), F.max(raw)).first()
+    if low is None:
+        raise ValueError("The anomaly study needs scored train rows.")
+    both = minmax(scored, raw, "anomaly_score", bounds=(low, high))
+    both = both.withColumn("ensemble_score", ensemble(F.col(score), F.col("anomaly_score"), alpha))
+    t_anomaly = quantile_threshold(both.where(train), "anomaly_score", anomaly_q).first()[0]
+    t_ensemble = quantile_threshold(both, "ensemble_score", ensemble_q).first()[0]
+    holdout = both.where(F.col(split).isin("valid", "test"))
+    return {
+        "supervised_full": evaluate_at(both, y, score, 0.5),
+        "isolation_forest_holdout": evaluate_at(holdout, y, "anomaly_score", t_anomaly),
+        "isolation_forest_full": evaluate_at(both, y, "anomaly_score", t_anomaly),
+        "ensemble_full": evaluate_at(both, y, "ensemble_score", t_ensemble),
+    }
+
+
 def score_histograms(df: DataFrame, y: str, score: str) -> DataFrame:
     """Per class, equal-width histogram with min(10, max(3, n)) bins."""
     from riskweave.operators.eda import histogram_by_count

@@ -140,20 +140,6 @@ def anomaly_comparison(spark, sf_dir):
     # and four metric rows, so they are written once (reliable checkpoint)
     raw = an.raw_scores(forest, data.df, [K, T, "split", *data.features])
     both = md.score(main.model, raw, data.features, [K, T, "split", "anomaly_raw"]).checkpoint()
-    b = both.where("split = 'train'").agg(F.min("anomaly_raw"), F.max("anomaly_raw")).first()
-    both = an.minmax(both, "anomaly_raw", "anomaly_score", bounds=(b[0], b[1]))
-    both = both.withColumn("ensemble_score", an.ensemble(F.col("score"), F.col("anomaly_score")))
-    t_anom = an.quantile_threshold(both.where("split = 'train'"), "anomaly_score", 0.95).first()[0]
-    t_ens = an.quantile_threshold(both, "ensemble_score", 0.75).first()[0]
-    holdout = both.where("split IN ('valid', 'test')")
-    rows = md.comparison(
-        spark,
-        {
-            "supervised_full": an.evaluate_at(both, T, "score", 0.5),
-            "isolation_forest_holdout": an.evaluate_at(holdout, T, "anomaly_score", t_anom),
-            "isolation_forest_full": an.evaluate_at(both, T, "anomaly_score", t_anom),
-            "ensemble_full": an.evaluate_at(both, T, "ensemble_score", t_ens),
-        },
-    )
+    rows = md.comparison(spark, an.study(both, T, "score", "anomaly_raw"))
     uses_main = F.col("model").isin("supervised_full", "ensemble_full")
     return rows.withColumn("candidate", F.when(uses_main, F.lit(main.candidate)))

@@ -49,6 +49,33 @@ def test_isolation_forest_ranks_outliers(spark):
     assert len(model.forest.groupby("tree")) == 50
 
 
+def test_anomaly_study_equals_numpy(spark):
+    rng = np.random.default_rng(11)
+    n = 900
+    pdf = pd.DataFrame({"y": (rng.random(n) < 0.1).astype(int), "score": rng.random(n).round(3), "raw": rng.normal(size=n).round(2)})
+    pdf["split"] = np.where(np.arange(n) < 600, "train", np.where(np.arange(n) < 750, "valid", "test"))
+    pdf.loc[700, "raw"], pdf.loc[701, "raw"] = 90.0, -90.0  # beyond the train bounds: clipped
+    rows = {k: v.first() for k, v in an.study(spark.createDataFrame(pdf), "y", "score", "raw").items()}
+    train = pdf["split"] == "train"
+    low, high = pdf.loc[train, "raw"].min(), pdf.loc[train, "raw"].max()
+    anomaly = ((pdf["raw"] - low) / (high - low)).clip(0, 1)
+    both = 0.7 * pdf["score"] + 0.3 * anomaly
+    expected = {
+        "supervised_full": (pdf["score"], 0.5, train | True),
+        "isolation_forest_holdout": (anomaly, anomaly[train].quantile(0.95), ~train),
+        "isolation_forest_full": (anomaly, anomaly[train].quantile(0.95), train | True),
+        "ensemble_full": (both, both.quantile(0.75), train | True),
+    }
+    assert set(rows) == set(expected)
+    for name, (s, t, where) in expected.items():
+        hit, y = (s >= t)[where], pdf["y"][where] == 1
+        got = rows[name]
+        assert got["decision_threshold"] == pytest.approx(t)
+        assert [got[c] for c in ("tp", "fp", "fn", "tn")] == [(hit & y).sum(), (hit & ~y).sum(), (~hit & y).sum(), (~hit & ~y).sum()], name
+    with pytest.raises(ValueError):
+        an.study(spark.createDataFrame(pdf[~train]), "y", "score", "raw")
+
+
 def test_stream_equals_batch(spark):
     from riskweave.plans.registry import load_all
 
