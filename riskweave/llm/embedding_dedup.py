@@ -1,7 +1,9 @@
 """Embedding near-dedup by int8 tile products with error bounds (operator 2).
 
-Equal vectors form one class. Classes are dealt over tiles by hash, and every two
-tiles meet in one task (a tile also meets itself). There the unit vectors are
+Equal vectors form one class. Classes are dealt over tiles by hash, tiles over groups, and every two
+groups meet in one task (a group also meets itself): with t tasks each vector is sent about sqrt(2t) times,
+however many tiles there are. The task holds the tiles of one group, of ``HELD_BYTES`` at most in the mean, lets those of
+the other pass by, and compares tile with tile. There the unit vectors are
 rounded to 8 bits with one scale per vector, and the exact length of each
 vector's rounding error is kept. For unit x and y with errors of length e and f
 the product of the rounded vectors is off by at most e + f + e * f, so only
@@ -9,7 +11,7 @@ pairs whose product plus that bound reaches the threshold are computed again, in
 double precision. 8-bit products summed in single precision are exact up to 1000
 dimensions (in double precision beyond).
 
-A task returns, for its two tiles, how many vectors each class links to and the
+A task returns, for each two tiles, how many vectors each class links to and the
 groups that the links connect, as stars. No list of pairs leaves a task, so a
 large group of near copies costs no more rows than any other.
 
@@ -27,6 +29,7 @@ empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,8 @@ from riskweave.llm.tables import Scratch
 
 #: Classes of one tile, rows of one product, reference directions for passing tiles over.
 TILE, BLOCK, REFERENCES = 4096, 1024, 16
+#: Meetings of groups for each core, and bytes (as doubles) of the tiles of one group that a task holds.
+MEETINGS, HELD_BYTES = 4, 128 << 20
 
 
 def valid_vector(column: F.Column) -> F.Column:
@@ -127,6 +132,57 @@ def unpacked(raw: bytes, size: int, n: int) -> np.ndarray:
     return np.frombuffer(raw, dtype=np.float32 if len(raw) == 4 * size * n else np.float64).reshape(n, size).astype(np.float64)
 
 
+def met(tiles: DataFrame, groups: int, threshold: float) -> DataFrame:
+    """(node, links, root): what every two tiles of vectors of one length link, and every tile with itself.
+
+    Tile i belongs to group i modulo ``groups``. Each group is sent to its meeting with every other and with itself.
+    """
+    own = F.pmod("tile", F.lit(groups))
+    sent = tiles.select("*", own.alias("group"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("other"))
+    lesser, greater = F.least("group", "other").cast("long"), F.greatest("group", "other").cast("long")
+    sent = sent.select(
+        (greater * (greater + 1) / 2 + lesser).cast("long").alias("meeting"), "size", (F.col("group") > F.col("other")).alias("second"),
+        (F.col("group") == F.col("other")).alias("alone"), "tile", "reps", "counts", "low", "high", "vectors",
+    )
+    parts = min(20_000, groups * (groups + 1) // 2)
+    sent = sent.repartitionById(parts, F.pmod("meeting", F.lit(parts)).cast("int")).sortWithinPartitions("meeting", "size", "second", "tile")
+    reach = float(np.arccos(min(1.0, threshold))) + 1e-9
+
+    def links(one: tuple, two: tuple | None) -> pa.RecordBatch:
+        reps_a, n_a, a = one[:3]
+        reps_b, n_b, b = one[:3] if two is None else two[:3]
+        size = one[5]
+        i, j = tile_links(unpacked(a, size, len(reps_a)), None if two is None else unpacked(b, size, len(reps_b)), threshold)
+        x, y = reps_a[i], reps_b[j]
+        nodes, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+        counted = np.bincount(at, weights=np.concatenate([n_b[j], n_a[i]]), minlength=len(nodes)).astype(np.int64)
+        _, roots = local_roots(x, y)
+        return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(counted), pa.array(roots)], ["node", "links", "root"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            meetings, sizes, seconds, alones = (batch.column(i).to_pylist() for i in range(4))
+            for r, (meeting, size, second, alone) in enumerate(zip(meetings, sizes, seconds, alones, strict=True)):
+                if now != (meeting, size):
+                    now, held = (meeting, size), []
+                if second and not held:  # no tile of the first group has vectors of this length
+                    continue
+                reps, counts = (np.frombuffer(batch.column(i)[r].as_py(), dtype=np.int64) for i in (5, 6))
+                angles = [np.array(batch.column(i)[r].as_py()) for i in (7, 8)]
+                tile = (reps, counts, batch.column(9)[r].as_py(), *angles, size)
+                if alone:
+                    yield links(tile, None)
+                if alone or second:
+                    for other in held:
+                        if not ((other[3] - tile[4] > reach) | (tile[3] - other[4] > reach)).any():
+                            yield links(other, tile)
+                if not second:
+                    held.append(tile)
+
+    return sent.mapInArrow(run, "node long, links long, root long")
+
+
 def link_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors``."""
     scratch = Scratch(vectors.sparkSession, "vectors")
@@ -137,41 +193,15 @@ def link_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     classes = keyed.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector"))
     nowhere = F.lit(1 << 62) + F.abs(F.xxhash64("key") % (1 << 60))
     classes = scratch.write(classes.withColumn("rep", F.coalesce("rep", nowhere)), "classes")
-    total = classes.count()
+    total, n_bytes = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vector") * F.lit(8)), F.lit(0))).first()
     n_tiles = max(1, -(-total // TILE))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    groups = min(n_tiles, max(math.ceil(math.sqrt(2 * MEETINGS * cores)), -(-n_bytes // HELD_BYTES)))
     tiled = classes.select("rep", "n", "vector", F.size("vector").alias("size"), F.pmod(F.xxhash64("key"), F.lit(n_tiles)).cast("int").alias("tile"))
     schema = "tile int, size int, reps binary, counts binary, vectors binary, low array<double>, high array<double>"
     tiles = scratch.write(tiled.groupBy("tile", "size").applyInPandas(_pack_tile, schema), "tiles")
 
-    # Every tile goes to the tiles from its own number on; the two that meet are joined by equality.
-    first = tiles.select("*", F.explode(F.sequence("tile", F.lit(n_tiles - 1))).alias("other"))
-    second = tiles.select(*[F.col(c).alias(f"{c}_b") for c in tiles.columns])
-    met = first.join(second, (F.col("other") == F.col("tile_b")) & (F.col("size") == F.col("size_b")))
-    reach = float(np.arccos(min(1.0, threshold))) + 1e-9
-    apart = F.exists(
-        F.arrays_zip("low", "high", "low_b", "high_b"),
-        lambda x: (x["low"] - x["high_b"] > reach) | (x["low_b"] - x["high"] > reach),
-    )
-    met = met.where((F.col("tile") == F.col("tile_b")) | ~apart)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tile, other, size, *parts in zip(*[batch.column(i).to_pylist() for i in range(9)], strict=True):
-                reps_a, reps_b = (np.frombuffer(parts[i], dtype=np.int64) for i in (0, 3))
-                n_a, n_b = (np.frombuffer(parts[i], dtype=np.int64) for i in (1, 4))
-                a, b = (unpacked(parts[i], size, len(r)) for i, r in ((2, reps_a), (5, reps_b)))
-                i, j = tile_links(a, None if tile == other else b, threshold)
-                x, y = reps_a[i], reps_b[j]
-                ends = np.concatenate([x, y])
-                nodes, at = np.unique(ends, return_inverse=True)
-                links = np.bincount(at, weights=np.concatenate([n_b[j], n_a[i]]), minlength=len(nodes)).astype(np.int64)
-                _, roots = local_roots(x, y)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(links), pa.array(roots)], ["node", "links", "root"])
-
-    columns = ["tile", "other", "size", "reps", "counts", "vectors", "reps_b", "counts_b", "vectors_b"]
-    parts = min(20_000, n_tiles * (n_tiles + 1) // 2)
-    spread = met.select(*columns).repartition(parts, "tile", "other")
-    found = scratch.write(spread.mapInArrow(run, "node long, links long, root long"), "found")
+    found = scratch.write(met(tiles, groups, threshold), "found")
     linked = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch)
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
     per_class = (

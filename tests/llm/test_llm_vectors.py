@@ -38,8 +38,10 @@ def test_links_whole_table_and_near_copies(spark, monkeypatch):
     frame = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x, strict=True)], SCHEMA).repartition(4)
     links, groups = brute_links(ids, x, 0.9)
     assert links.sum() > 100
-    for tile in (4096, 60):  # the second makes tiles meet
+    # One tile; tiles that meet one by one; 24 tiles in 4 groups and in 1.
+    for tile, meetings in ((4096, 4), (60, 4), (10, 1), (10, 0)):
         monkeypatch.setattr(embedding_dedup, "TILE", tile)
+        monkeypatch.setattr(embedding_dedup, "MEETINGS", meetings)
         rows = embedding_dedup.link_vectors(frame).toPandas().sort_values("vec_id")
         assert (rows["n_links"].to_numpy() == links).all() and (rows["component_id"].to_numpy() == groups).all()
         assert (rows["kept"].to_numpy() == (groups == ids)).all()
@@ -49,6 +51,23 @@ def test_links_whole_table_and_near_copies(spark, monkeypatch):
     assert (rows["n_links"].to_numpy() == links).all() and (rows["component_id"].to_numpy() == groups).all()
 
 
+def test_groups_of_tiles_and_lengths_meet_once(spark, monkeypatch):
+    """Vectors of two lengths in many tiles: links within a length only, each counted once; a vector is sent once a group."""
+    rng = np.random.default_rng(12)
+    short, long_ = near_vectors(rng, 90, 8), near_vectors(rng, 150, 24)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate([*short, *long_])]
+    monkeypatch.setattr(embedding_dedup, "TILE", 12)
+    monkeypatch.setattr(embedding_dedup, "MEETINGS", 0)
+    n_links, _ = zip(brute_links(np.arange(90), short, 0.9), brute_links(np.arange(150), long_, 0.9), strict=True)
+    for held in (128 << 20, 5_000):  # one group, or seven of them by their bytes
+        monkeypatch.setattr(embedding_dedup, "HELD_BYTES", held)
+        got = embedding_dedup.link_vectors(spark.createDataFrame(rows, SCHEMA).repartition(3)).toPandas().sort_values("vec_id")
+        assert (got["n_links"].to_numpy() == np.concatenate(n_links)).all()
+    schema = "tile int, size int, reps binary, counts binary, vectors binary, low array<double>, high array<double>"
+    plan = embedding_dedup.met(spark.createDataFrame([], schema), 5, 0.9)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_rounding_bounds_hold():
     rng = np.random.default_rng(8)
     for dim in (2, 64, 1500):
