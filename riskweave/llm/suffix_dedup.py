@@ -42,6 +42,8 @@ from riskweave.llm.tables import Scratch
 GRAM = 64
 #: Bytes of regions sorted at once, occurrences that make a key hot, offsets per part of a hot key.
 SORT_BYTES, HOT, PART = 1 << 20, 4096, 48
+#: Bytes of regions of a task, above 8 tasks a core and up to 20,000 tasks.
+TASK_BYTES = 32 << 20
 _CHUNK = 1 << 22
 _M = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _BYTES = np.random.default_rng(11).integers(0, 1 << 63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -332,29 +334,36 @@ def regions(held: DataFrame, length: int) -> DataFrame:
 
 
 def marked(table: DataFrame, length: int) -> DataFrame:
-    """Runs of repeated starts of each region (group, region, starts)."""
+    """Runs of repeated starts of each region (group, region, starts); ``table`` comes ordered by group."""
+
+    def sorted_runs(chosen: dict[tuple[int, int, int], list]) -> pa.RecordBatch:
+        hits = repeated_starts([(raw, key[2], times > 1) for key, (raw, times) in chosen.items()], length)
+        out = [(*key, *runs(h)) for key, h in zip(chosen, hits, strict=True) if len(h)]
+        return pa.RecordBatch.from_arrays(
+            [*[pa.array([x[i] for x in out], type=pa.int64()) for i in range(3)], _lists([x[3] for x in out]), _lists([x[4] for x in out])],
+            ["group", "region", "starts", "firsts", "lasts"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[int, dict[tuple[int, int], list]] = {}
+        # Rows come group by group; whole groups are sorted together until they reach SORT_BYTES.
+        chosen: dict[tuple[int, int, int], list] = {}
+        size, now = 0, None
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(5)]
-            for group, region, starts, times, raw in zip(*columns, strict=True):
-                entry = groups.setdefault(group, {}).setdefault((region, starts), [raw, 0])
+            keys = zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True)
+            for (group, region, starts, times), raw in zip(keys, batch.column(4), strict=True):
+                if group != now and size >= SORT_BYTES:
+                    yield sorted_runs(chosen)
+                    chosen, size = {}, 0
+                now = group
+                entry = chosen.get((group, region, starts))
+                if entry is None:
+                    entry = chosen[group, region, starts] = [raw.as_py(), 0]
+                    size += len(entry[0])
+                if entry[1] <= 1 < entry[1] + times:
+                    size += len(entry[0])
                 entry[1] += times
-        keys = sorted(groups)
-        while keys:
-            chosen, size = [], 0
-            while keys and (not chosen or size < SORT_BYTES):
-                group = keys.pop()
-                for (region, starts), (raw, times) in groups.pop(group).items():
-                    chosen.append((group, region, starts, raw, times))
-                    size += len(raw) * (1 + (times > 1))
-            hits = repeated_starts([(raw, starts, times > 1) for _, _, starts, raw, times in chosen], length)
-            out = [(*c[:3], *runs(h)) for c, h in zip(chosen, hits, strict=True) if len(h)]
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array([x[i] for x in out], type=pa.int64()) for i in range(3)], _lists([x[3] for x in out]), _lists([x[4] for x in out])],
-                ["group", "region", "starts", "firsts", "lasts"],
-            )
+        if chosen:
+            yield sorted_runs(chosen)
 
     return table.mapInArrow(run, "group long, region long, starts long, firsts array<long>, lasts array<long>")
 
@@ -432,9 +441,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     table = scratch.write(regions(held, length), "regions")
 
     size = table.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    parts = max(1, -(-size // SORT_BYTES))
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(-(-size // SORT_BYTES), 8 * cores), min(20_000, -(-size // TASK_BYTES)))
     sent = table.where(F.col("bytes").isNotNull()).select("group", "region", "starts", "times", "bytes")
-    hits = scratch.write(marked(sent.repartition(parts, "group"), length), "hits")
+    hits = scratch.write(marked(sent.repartition(parts, "group").sortWithinPartitions("group"), length), "hits")
     found = table.select("text_key", "n_bytes", "start", "starts", "group", "region").join(hits, ["group", "region", "starts"])
     run = F.transform(
         F.arrays_zip("firsts", "lasts"),

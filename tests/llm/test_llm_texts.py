@@ -254,9 +254,10 @@ def test_suffix_dedup_whole_table(spark):
             assert hashlib.sha256(r["kept"].encode()).hexdigest() == r["kept_sha256"]
 
 
-@pytest.mark.parametrize("hot", [4096, 3])
-def test_suffix_dedup_of_overlapping_passages(spark, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "at_once"), [(4096, 1 << 20), (3, 1 << 20), (3, 2_000)])
+def test_suffix_dedup_of_overlapping_passages(spark, monkeypatch, hot, at_once):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", at_once)  # small: many sorts in a task
     rng = np.random.default_rng(4)
     passages = ["".join(rng.choice(list("abcé \n"), rng.integers(100, 700))) for _ in range(6)]
     docs = []
