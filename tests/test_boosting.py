@@ -144,3 +144,24 @@ def test_odd_rows(spark):
     with pytest.raises(ValueError):
         bo.fit_hist(zero.withColumn("y", zero["y"] + 1), NAMES, "y", [PARAMS])
     assert zero.limit(0).select(model.probability().alias("p")).count() == 0
+
+
+def test_rows_are_kept_in_blocks_of_columns(spark):
+    """A pass reads a few large values, not a row each; dense, sparse and constant features add up to the same histograms."""
+    pdf = _table(1000)
+    df = _frame(spark, pdf).repartition(3)
+    edges = [np.array([-0.5, 0.5]), np.array([0.0]), np.array([])]
+    blocks = bo.binned(df, NAMES, "y", edges, block=64).collect()
+    assert len(blocks) <= 1000 // 64 + 3
+    bins = np.concatenate([np.frombuffer(r["bins"], np.uint8).reshape(3, -1) for r in blocks], axis=1)
+    y = np.concatenate([np.frombuffer(r["y"], np.uint8) for r in blocks])
+    want = [np.searchsorted(e, pdf[c].to_numpy()) for c, e in zip(("a", "bcd", "c"), edges)] + [pdf["y"]]
+    assert sorted(zip(*bins.tolist(), y.tolist())) == sorted(zip(*map(list, want)))
+    slot = np.arange(len(y)) % 4 - 1
+    g, h = np.arange(len(y)) - 300.0, np.arange(len(y)) + 1.0
+    acc = np.zeros((3, 3, 3, bo.BINS), np.int64)
+    bo._add_histograms(acc, bins, [None, *[np.flatnonzero(b) for b in bins[1:]]], slot, g, h)
+    for s in range(3):
+        for f in range(3):
+            for i, w in enumerate((g, h, np.ones(len(y)))):
+                assert acc[s, f, i, :3].tolist() == [w[(slot == s) & (bins[f] == b)].sum() for b in range(3)]
