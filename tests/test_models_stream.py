@@ -198,3 +198,74 @@ def test_artifacts_are_found_again_by_all_that_shapes_them(spark):
     assert set(other.df.inputFiles()).isdisjoint(first.df.inputFiles())
     assert other.df.where("split = 'train'").count() < first.df.where("split = 'train'").count()
     assert path_exists(spark, artifact_path(spark, "")) and not path_exists(spark, artifact_path(spark, "absent"))
+
+
+def test_final_hours_of_a_user_come_out_as_one_frame():
+    from types import SimpleNamespace
+
+    from riskweave.streaming import behavioral as bh
+
+    class State:
+        def __init__(self):
+            self.kept = {}
+
+        exists = lambda self: bool(self.kept)
+        get = lambda self: self.kept.get(())
+        update = lambda self, v: self.kept.update({(): v})
+        containsKey = lambda self, k: k in self.kept
+        getValue = lambda self, k: self.kept[k]
+        updateValue = lambda self, k, v: self.kept.update({k: v})
+        removeKey = lambda self, k: self.kept.pop(k)
+        keys = lambda self: iter(list(self.kept))
+
+    state = State()
+    handle = SimpleNamespace(getValueState=lambda *_: state, getMapState=lambda *_: State(), getListState=lambda *_: State(), registerTimer=lambda _: None, deleteTimer=lambda _: None)
+    user = bh.UserHistory(0)
+    user.init(handle)
+    at = lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    us = [h * fe.HOUR_US + 5 for h in range(30, 60)]
+    rows = pd.DataFrame({"us": us, "transaction_id": range(30), "amount": [float(i) for i in range(30)]})
+    assert list(user.handleInputRows(("u",), iter([rows]), at(0))) == []
+    frames = list(user.handleExpiredTimer(("u",), at(59 * fe.HOUR_US // 1000), None))
+    assert [len(f) for f in frames] == [29]
+    assert frames[0]["user_prior_transaction_count"].tolist() == list(range(29))
+    assert frames[0]["user_txn_count_last_24h"].tolist() == [float(min(i, 24)) for i in range(29)]
+    assert frames[0]["user_amount_mean_prior"].tolist()[1:] == pytest.approx([(i - 1) / 2 for i in range(1, 29)])
+    assert [len(f) for f in user.handleExpiredTimer(("u",), at(61 * fe.HOUR_US // 1000), None)] == [1]
+
+
+def test_split_sinks_run_a_batch_once(spark, tmp_path):
+    from riskweave.streaming import behavioral as bh
+    from riskweave.streaming import source as src
+
+    df = td.events_txn(spark, SF001)
+    data, root = src.replay_as_files(df, "transaction_time", slices=2)
+    seen = str(tmp_path)
+
+    def count(batches):
+        import uuid
+
+        for b in batches:
+            with open(f"{seen}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(len(b)))
+            yield pd.DataFrame({"transaction_id": b["transaction_id"].fillna(-1).astype("int64"), "late": b["transaction_id"].fillna(-1) % 2 == 0})
+
+    stream = src.read_stream(spark, data, src.replay_schema(df)).mapInPandas(count, "transaction_id long, late boolean")
+    on_time, late = (spark.read.parquet(p).count() for p in bh.write_split(stream, root))
+    assert on_time + late == df.count() + 2
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == df.count() + 2
+
+
+def test_state_partitions_follow_the_replay(spark):
+    from riskweave.streaming import source as src
+
+    _, root = src.replay_as_files(td.events_txn(spark, SF001), "transaction_time", slices=2)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "5000")
+    try:
+        with src.state_tasks(spark, root):
+            assert int(spark.conf.get(key)) == spark.sparkContext.defaultParallelism
+        assert spark.conf.get(key) == "5000"
+    finally:
+        spark.conf.set(key, before)
