@@ -200,7 +200,8 @@ def test_artifacts_are_found_again_by_all_that_shapes_them(spark):
     assert path_exists(spark, artifact_path(spark, "")) and not path_exists(spark, artifact_path(spark, "absent"))
 
 
-def test_final_hours_of_a_user_come_out_as_one_frame():
+def _user():
+    """A user's processor over states that are dicts, and timer values by watermark."""
     from types import SimpleNamespace
 
     from riskweave.streaming import behavioral as bh
@@ -218,11 +219,14 @@ def test_final_hours_of_a_user_come_out_as_one_frame():
         removeKey = lambda self, k: self.kept.pop(k)
         keys = lambda self: iter(list(self.kept))
 
-    state = State()
-    handle = SimpleNamespace(getValueState=lambda *_: state, getMapState=lambda *_: State(), getListState=lambda *_: State(), registerTimer=lambda _: None, deleteTimer=lambda _: None)
+    new = lambda *_: State()
     user = bh.UserHistory(0)
-    user.init(handle)
-    at = lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    user.init(SimpleNamespace(getValueState=new, getMapState=new, getListState=new, registerTimer=lambda _: None, deleteTimer=lambda _: None))
+    return user, lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+
+
+def test_final_hours_of_a_user_come_out_as_one_frame():
+    user, at = _user()
     us = [h * fe.HOUR_US + 5 for h in range(30, 60)]
     rows = pd.DataFrame({"us": us, "transaction_id": range(30), "amount": [float(i) for i in range(30)]})
     assert list(user.handleInputRows(("u",), iter([rows]), at(0))) == []
@@ -234,6 +238,30 @@ def test_final_hours_of_a_user_come_out_as_one_frame():
     assert [len(f) for f in user.handleExpiredTimer(("u",), at(61 * fe.HOUR_US // 1000), None)] == [1]
 
 
+def test_many_waiting_rows_of_a_user_move_to_the_hours(spark, monkeypatch):
+    """The same features whether a user's rows are kept in one value, by hour, or move in between."""
+    from riskweave.streaming import behavioral as bh
+
+    rng = np.random.default_rng(3)
+    us = np.sort(rng.integers(0, 80 * fe.HOUR_US, 300)) // fe.HOUR_US * fe.HOUR_US + rng.integers(0, 4, 300) * 60_000_000
+    pdf = pd.DataFrame({"us": us, "transaction_id": rng.permutation(300), "amount": np.where(rng.random(300) < 0.1, np.nan, rng.random(300))})
+
+    def run(small):
+        monkeypatch.setattr(bh, "SMALL", small)
+        user, n = _user()
+        out = []
+        for k, ms in enumerate([20, 45, 46, 90]):
+            part = pdf[(pdf["us"] // (20 * fe.HOUR_US)) == k]
+            out += list(user.handleInputRows(("u",), iter([part]), n(0)))
+            out += list(user.handleExpiredTimer(("u",), n(ms * fe.HOUR_US // 1000), None))
+        return pd.concat(out).sort_values("transaction_id").reset_index(drop=True)
+
+    by_hour = run(0)
+    assert len(by_hour) == 300
+    for small in (60, 10_000):
+        pd.testing.assert_frame_equal(run(small), by_hour, rtol=1e-9)
+
+
 def test_split_sinks_run_a_batch_once(spark, tmp_path):
     from riskweave.streaming import behavioral as bh
     from riskweave.streaming import source as src
