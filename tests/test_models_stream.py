@@ -259,7 +259,7 @@ def test_many_waiting_rows_of_a_user_move_to_the_hours(spark, monkeypatch):
     by_hour = run(0)
     assert len(by_hour) == 300
     for small in (60, 10_000):
-        pd.testing.assert_frame_equal(run(small), by_hour, rtol=1e-9)
+        pd.testing.assert_frame_equal(run(small), by_hour, check_exact=True)
 
 
 def test_split_sinks_run_a_batch_once(spark, tmp_path):
