@@ -165,3 +165,69 @@ def test_rows_are_kept_in_blocks_of_columns(spark):
         for f in range(3):
             for i, w in enumerate((g, h, np.ones(len(y)))):
                 assert acc[s, f, i, :3].tolist() == [w[(slot == s) & (bins[f] == b)].sum() for b in range(3)]
+
+
+def _spark_ml(df, names, params):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    data = md.with_weights(md.split_xy(df, "y"), "y")
+    return Pipeline(stages=[VectorAssembler(inputCols=names, outputCol=md.FEATURES, handleInvalid="keep"), md.gbt_estimator(params)]).fit(data)
+
+
+def _scores(model, df, names):
+    return md.score(model, df, names, ["i"]).toPandas().sort_values("i")["score"].to_numpy()
+
+
+def test_first_order_equals_spark_ml(spark):
+    """Scores and importances of GBTClassifier, from few or many values, zeros, a constant and 255 bins, one part or five."""
+    rng = np.random.default_rng(3)
+    n = 1200
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": np.where(rng.random(n) < 0.4, 0.0, rng.normal(size=n)).round(2), "c": rng.integers(0, 3, n) * 1.0, "d": 7.0})
+    pdf["y"] = ((pdf["a"] + pdf["b"] * pdf["c"] + rng.normal(size=n)) > 1.2).astype(int)
+    pdf["i"] = range(n)
+    names = ["a", "b", "c", "d"]
+    df = spark.createDataFrame(pdf).coalesce(1).checkpoint()
+    base = {"min_samples_leaf": 9, "l2_regularization": 0.5}
+    grid = [base | {"learning_rate": 0.1, "max_depth": 3, "max_iter": bo.PENDING + 2}, base | {"learning_rate": 0.3, "max_depth": 2, "max_iter": 3}]
+    models = bo.fit_boosted(df, names, "y", grid)
+    for model, params in zip(models, grid):
+        old = _spark_ml(df, names, params)
+        assert len(model.trees) == params["max_iter"]
+        assert np.allclose(_scores(model, df, names), _scores(old, df, names), atol=1e-9, rtol=0)
+        assert np.allclose(model.importances(), old.stages[-1].featureImportances.toArray(), atol=1e-8)
+    assert bo.fit_boosted(df.repartition(5), names, "y", grid[:1]) == models[:1]
+    assert md.fit_gbt(df, names, "y", grid[1]) == models[1]
+
+
+def test_first_order_draws_the_rows_of_spark_ml_for_its_cuts(spark):
+    df = spark.range(0, 70_000, 1, 3).selectExpr("id AS i", "(id * 7919 % 70001) / 10D - 900 AS a", "CAST(id * 31 % 1009 AS DOUBLE) AS b", "CAST((id * 7919 % 70001 > 40000) != (id % 11 = 0) AS INT) AS y")
+    params = {"min_samples_leaf": 20, "l2_regularization": 0.0, "learning_rate": 0.3, "max_depth": 3, "max_iter": 2}
+    new, old = md.fit_gbt(df, ["a", "b"], "y", params), _spark_ml(df, ["a", "b"], params)
+    assert np.allclose(_scores(new, df, ["a", "b"]), _scores(old, df, ["a", "b"]), atol=1e-9, rtol=0)
+
+
+def test_first_order_odd_rows(spark, tmp_path):
+    """Rows that GBTClassifier refuses are refused; NaN is above every threshold when scored; a grid takes the passes of its longest candidate."""
+    df = _frame(spark, _table(300)).withColumnRenamed("b.d", "b")
+    names, params = ["a", "b", "c"], PARAMS | {"max_iter": 4}
+    for odd in ("CAST(NULL AS DOUBLE)", "double('NaN')", "double('Infinity')"):
+        with pytest.raises(ValueError):
+            bo.fit_boosted(df.unionByName(df.limit(1).selectExpr(f"{odd} AS a", "b", "c", "y")), names, "y", [params])
+    for rows in (df.selectExpr("a", "b", "c", "CAST(NULL AS INT) AS y"), df.selectExpr("a", "b", "c", "y + 1 AS y"), df.limit(0)):
+        with pytest.raises(ValueError):
+            bo.fit_boosted(rows, names, "y", [params])
+    one = bo.fit_boosted(df.where("y = 0"), names, "y", [params])[0]
+    assert all(t["feature"][0] == -1 for t in one.trees) and one.trees[0]["value"] == [-1.0]
+    sc = spark.sparkContext
+    jobs = []
+    for grid in ([params], [params, params | {"max_depth": 2}, params | {"max_iter": 3}]):
+        sc.setJobGroup(f"boost-{len(grid)}", "")
+        model = bo.fit_boosted(df, names, "y", grid)[0]
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"boost-{len(grid)}")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] > 12
+    model.save(spark, str(tmp_path / "m"))
+    assert bo.HistModel.load(spark, str(tmp_path / "m")) == model
+    odd = spark.createDataFrame([(0, float("nan"), None, 1.0), (1, 1e9, 0.0, 1.0)], "i int, a double, b double, c double")
+    assert len(set(_scores(model, odd, names))) == 1
