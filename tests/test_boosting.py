@@ -207,6 +207,18 @@ def test_first_order_draws_the_rows_of_spark_ml_for_its_cuts(spark):
     assert np.allclose(_scores(new, df, ["a", "b"]), _scores(old, df, ["a", "b"]), atol=1e-9, rtol=0)
 
 
+def test_bins_beyond_a_byte(spark):
+    """Cuts from drawn rows can be more than 255: no bin wraps around."""
+    df = spark.range(2000).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id >= 1700 AS INT) AS y").coalesce(1)
+    edges = [np.arange(300) * 6.5]
+    blocks = bo.binned(df, ["a"], "y", edges).collect()
+    assert np.frombuffer(blocks[0]["bins"], bo.bin_type(edges)).tolist() == np.searchsorted(edges[0], np.arange(2000)).tolist()
+    model = bo._grown(df, ["a"], "y", edges, [PARAMS | {"max_iter": 1}], {0: 1.0, 1: 1.0}, 2000, 0.0, False)[0]
+    assert model.trees[0]["threshold"][0] == 261 * 6.5 and bo.bin_type([np.arange(255)]) is np.uint8
+    skewed = bo.cut_points(np.arange(1000.0) + 1, np.ones(1000), 900.0, 254)
+    assert len(skewed) > 254
+
+
 def test_first_order_odd_rows(spark, tmp_path):
     """Rows that GBTClassifier refuses are refused; NaN is above every threshold when scored; a grid takes the passes of its longest candidate."""
     df = _frame(spark, _table(300)).withColumnRenamed("b.d", "b")
