@@ -1,5 +1,7 @@
 """Histogram boosting against naive trees on the raw values, and its edge cases."""
 
+import gc
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,6 +9,7 @@ import pytest
 from riskweave.operators import boosting as bo
 from riskweave.operators import explain as ex
 from riskweave.operators import models as md
+from riskweave.session import path_exists
 
 NAMES = ["a", "b.d", "c"]
 PARAMS = {"learning_rate": 0.2, "max_depth": 3, "max_iter": 6, "min_samples_leaf": 7, "l2_regularization": 0.7}
@@ -243,3 +246,29 @@ def test_first_order_odd_rows(spark, tmp_path):
     assert bo.HistModel.load(spark, str(tmp_path / "m")) == model
     odd = spark.createDataFrame([(0, float("nan"), None, 1.0), (1, 1e9, 0.0, 1.0)], "i int, a double, b double, c double")
     assert len(set(_scores(model, odd, names))) == 1
+
+
+def test_margins_do_not_pile_up(spark, monkeypatch):
+    """Tasks of late passes carry no more trees than those of early ones, and written margins go with the fit."""
+    monkeypatch.setattr(bo, "PENDING", 1)
+    depths, files, settle = [], [], bo._settle
+
+    def settled(*args):
+        rows = settle(*args)
+        depths.append(rows.toDebugString().count(b"\n"))
+        files.extend([rows.getCheckpointFile()] if rows.isCheckpointed() else [])
+        return rows
+
+    monkeypatch.setattr(bo, "_settle", settled)
+    p = {"learning_rate": 0.3, "max_depth": 1, "max_iter": 13, "min_samples_leaf": 1, "l2_regularization": 0.0}
+    df = spark.range(0, 64, 1, 2).selectExpr("id * 1.0 AS x", "CAST(id % 7 > 3 AS int) AS y")
+    (model,) = bo.fit_boosted(df, ["x"], "y", [p])
+    assert len(model.trees) == len(depths) == 13
+    assert max(depths[4:]) <= max(depths[:4])
+    assert len(files) == 3 and not any(path_exists(spark, f) for f in files)
+
+    def frozen(_):
+        bo.lean_worker()
+        return gc.get_freeze_count()
+
+    assert spark.sparkContext.parallelize([0], 1).map(frozen).first() > 0
