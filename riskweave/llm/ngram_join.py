@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.components import components
-from riskweave.llm.tables import Scratch
+from riskweave.llm.tables import Scratch, bound_batches
 from riskweave.llm.words import M1, M2, M3, mixed, words_of
 
 #: Ratio of a size band's ends, shingles of one comparison tile, sets of a signature that are paired up.
@@ -191,13 +191,32 @@ def described(texts: DataFrame, *, k: int) -> DataFrame:
     list have, and how many have them.
     """
 
+    def counted(held: list[np.ndarray]) -> tuple[list, list]:
+        found, times = np.unique(np.concatenate(held), return_counts=True)
+        many = times >= max(4, len(held) // 500)
+        return found[many].view(np.int64).tolist(), times[many].tolist()
+
+    def made(ids: pa.Array, rows: tuple[list, ...], often: list[tuple[list, list]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                ids,
+                *[pa.array(c, type=pa.int64()) for c in rows],
+                *[pa.array([o[j] for o in often], type=pa.list_(pa.int64())) for j in range(2)],
+            ],
+            ["doc_id", "n", "key_a", "key_b", "often", "times"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size, last = 0, None  # last: the batch before, whose last row may get the last list
         for batch in batches:
+            if not len(batch):
+                continue
+            if last is not None:
+                yield made(*last)
             rows: tuple[list, ...] = ([], [], [])
             often: list[tuple[list, list]] = []
-            held: list[np.ndarray] = []
-            size = 0
-            for i, text in enumerate(batch.column(1)):
+            for text in batch.column(1):
                 raw = text.as_buffer()
                 hashes = shingles(raw.to_pybytes() if raw is not None else b"", k)
                 for column, value in zip(rows, (len(hashes), *set_key(hashes)), strict=True):
@@ -205,19 +224,14 @@ def described(texts: DataFrame, *, k: int) -> DataFrame:
                 held.append(hashes)
                 often.append(([], []))
                 size += len(hashes)
-                if size and (i + 1 == len(batch) or size > COUNTED):
-                    found, times = np.unique(np.concatenate(held), return_counts=True)
-                    many = times >= max(4, len(held) // 500)
-                    often[-1] = (found[many].view(np.int64).tolist(), times[many].tolist())
+                if size > COUNTED:
+                    often[-1] = counted(held)
                     held, size = [], 0
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    *[pa.array(c, type=pa.int64()) for c in rows],
-                    *[pa.array([o[j] for o in often], type=pa.list_(pa.int64())) for j in range(2)],
-                ],
-                ["doc_id", "n", "key_a", "key_b", "often", "times"],
-            )
+            last = batch.column(0), rows, often
+        if last is not None:
+            if size:
+                last[2][-1] = counted(held)
+            yield made(*last)
 
     return texts.mapInArrow(run, "doc_id long, n long, key_a long, key_b long, often array<long>, times array<long>")
 
@@ -230,19 +244,19 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
     return np.sort(top["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
-#: Codes of rows that are links already, and of signatures that more than BUCKET documents of a batch have.
+#: Codes of rows that are links already, and of signatures that more than BUCKET documents of a group have.
 LINK, MANY = -1, 1 << 62
-#: Signatures that a task holds before it passes them on, and bytes of sets likewise.
-SIGNED_ROWS, FETCHED_BYTES = 1 << 18, 1 << 23
+#: Signatures that a task holds before it passes them on, bytes of sets likewise, and sets whose copies a task knows.
+SIGNED_ROWS, FETCHED_BYTES, KNOWN_SETS = 1 << 18, 1 << 23, 10_000
 
 
 def signed(texts: DataFrame, common: Broadcast, *, k: int, num: int, den: int) -> DataFrame:
     """(sig, code, a, b): the signatures of each document a, and links (a, b).
 
-    A copy within a batch signs nothing and is linked to the first one. A
-    signature that more than BUCKET documents of a batch have is kept once, by the
-    first of them, to which the others are linked. This is the partial aggregation
-    that keeps a large group of copies or near copies out of one signature's rows.
+    A copy of one of the last KNOWN_SETS documents of its task signs nothing and is linked
+    to that one. A signature that more than BUCKET documents of a group, of about
+    SIGNED_ROWS signatures, have is kept once, by the first of them, to which the others are linked. This is the
+    partial aggregation that keeps a large group of copies or near copies out of one signature's rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,24 +280,26 @@ def signed(texts: DataFrame, common: Broadcast, *, k: int, num: int, den: int) -
             )
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "code", "a", "b"])
 
+        ids, found, links, size = [], [], [], 0
+        first: dict[tuple[int, int], int] = {}
         for batch in batches:
-            ids, found, links, size = [], [], [], 0
-            first: dict[tuple[int, int], int] = {}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 hashes = shingles(text.as_buffer().to_pybytes(), k)
                 if not len(hashes):
                     continue
+                if len(first) >= KNOWN_SETS:
+                    first = {}
                 owner = first.setdefault(set_key(hashes), doc_id)
                 if owner != doc_id:
                     links.append((doc_id, owner))
-                    continue
-                ids.append(doc_id)
-                found.append(signatures(hashes, bands, common.value))
-                size += len(found[-1][0])
-                if size > SIGNED_ROWS:
+                else:
+                    ids.append(doc_id)
+                    found.append(signatures(hashes, bands, common.value))
+                    size += len(found[-1][0])
+                if size + len(links) > SIGNED_ROWS:
                     yield rows_of(ids, found, links)
                     ids, found, links, size = [], [], [], 0
-            yield rows_of(ids, found, links)
+        yield rows_of(ids, found, links)
 
     return texts.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).mapInArrow(run, "sig long, code long, a long, b long")
 
@@ -453,6 +469,7 @@ def similar_documents(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     scratch = Scratch(docs.sparkSession, "ngrams")
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = scratch.write(described(texts, k=k), "described")
 

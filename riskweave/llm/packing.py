@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.tables import Scratch
+from riskweave.llm.tables import Scratch, bound_batches
 from riskweave.llm.words import words_of
 
 #: Words whose ids a worker keeps, and bytes of text that are encoded together.
@@ -201,6 +201,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 def cut_pieces(docs: DataFrame, *, id_col: str, text_col: str, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
     """One row per piece of a text: capacity ids each, the last one shorter."""
     end = end_id.to_bytes(4, "little")
+    bound_batches(docs.sparkSession)
 
     def grouped(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
         """Ids and texts, about GROUP_BYTES at a time."""

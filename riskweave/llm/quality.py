@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.tables import Scratch
+from riskweave.llm.tables import Scratch, bound_batches
 
 FEATURES = (
     "log_bytes", "log_words", "log_lines", "word_bytes", "upper", "lower", "digit", "space", "high", "comma", "stop",
@@ -166,6 +166,8 @@ def fit_trees(
 def document_statistics(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, stats): one row per row of ``docs``."""
 
+    bound_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = _statistics_of(batch.column(1))

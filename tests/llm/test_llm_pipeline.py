@@ -3,12 +3,14 @@
 import corpus_pipeline
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from llm_fixtures import SF0001, duck, odd_docs
 from test_llm_texts import check_packing, groups_of, sets_of
 
+from riskweave.llm import ngram_join
 from riskweave.llm.line_dedup import LINES_SQL
 from riskweave.llm.mixing import MIX_SELECT, MIX_SQL
-from riskweave.llm.tables import Scratch
+from riskweave.llm.tables import BATCH_BYTES, Scratch
 
 NAMES = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -82,3 +84,43 @@ def test_stages_take_odd_rows(spark):
     assert set(kept["mixing"]["doc_id"].fillna(-1)) <= set(rows["doc_id"][with_words].fillna(-1))
     ids = kept["packing"].groupby("doc_id", dropna=False)["length"].sum()
     assert len(kept["packing"]["doc_id"].isna().to_numpy().nonzero()[0]) == 1 and ids[3] == ids[4] == ids[5] == 1
+
+
+def test_texts_reach_workers_in_bounded_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(0, 400, 1, 1).selectExpr("id AS doc_id", "repeat('abcd ', 10000) AS text", "'a' AS lang", "'b' AS source", "50000L AS n_chars")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    try:
+        for stage in (corpus_pipeline.drop_low_quality, corpus_pipeline.drop_near_duplicates, corpus_pipeline.pack_windows):
+            spark.conf.set(key, "64m")
+            stage(spark, docs, SF0001)
+            assert docs.mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0] < BATCH_BYTES + 100_000
+        spark.conf.set(key, "1m")
+        stage(spark, docs, SF0001)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_copies_and_common_shingles_are_told_across_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(0, 30, 1, 1).selectExpr("id AS doc_id", "'one two three four five six seven' AS text")
+    common = spark.sparkContext.broadcast(np.zeros(0, dtype=np.uint64))
+    try:
+        spark.conf.set(key, 4)
+        rows = ngram_join.signed(docs, common, k=3, num=90, den=100).toPandas()
+        links = rows[rows["code"] == ngram_join.LINK]
+        assert set(rows["a"][rows["code"] != ngram_join.LINK]) == {0}
+        assert set(zip(links["a"], links["b"])) == {(i, 0) for i in range(1, 30)}
+        told = ngram_join.described(docs, k=3).toPandas()
+        assert told["n"].tolist() == [5] * 30 and [set(t) for t in told["times"] if len(t)] == [{30}]
+        none = ngram_join.described(docs.where("doc_id < 0"), k=3)
+        assert none.count() == 0
+    finally:
+        spark.conf.set(key, before)
