@@ -272,3 +272,47 @@ def test_margins_do_not_pile_up(spark, monkeypatch):
         return gc.get_freeze_count()
 
     assert spark.sparkContext.parallelize([0], 1).map(frozen).first() > 0
+
+
+def test_passes_are_short(spark, monkeypatch):
+    """Few-valued features are counted together, a pass adds few trees anew, keeping margins takes no job of its own, and no
+    pass has a few parts more than cores."""
+    rng = np.random.default_rng(8)
+    n_bins = [2, 40, 7, 1, 2, 300, 24, 2]
+    bins = np.stack([rng.integers(0, b, 500) for b in n_bins]).astype(np.uint16)
+    groups = bo.joint_groups(n_bins)
+    assert sorted(sum(groups, [])) == list(range(8)) and len(groups) == 4 and [5] in groups
+    joint = iter(bo.joint_lines(bins, groups, n_bins))
+    lines = [next(joint) if len(g) > 1 else bins[g[0]] for g in groups]
+    acc = np.zeros((2, len(groups), 3, 300), np.int64)
+    slot, g, h = rng.integers(-1, 2, 500), rng.integers(-9, 9, 500) * 1.0, rng.integers(0, 2, 500).astype(np.uint8)
+    bo._add_histograms(acc, lines, [None] * len(lines), slot, g, h)
+    for i, group in enumerate(groups):
+        for f, one in bo.of_each(acc[:, i], group, n_bins):
+            for s in (0, 1):
+                for k, w in enumerate((g, h, np.ones(500))):
+                    wanted = np.bincount(bins[f][slot == s], weights=w[slot == s], minlength=max(2, n_bins[f]))
+                    assert one[s, k].tolist() == wanted.tolist()
+
+    seen, splits = [], bo.level_splits
+
+    def watched(rows, n_bins, steps, state):
+        seen.append((rows.getNumPartitions(), max(len(s["pending"]) for s in state)))
+        return splits(rows, n_bins, steps, state)
+
+    monkeypatch.setattr(bo, "level_splits", watched)
+    sc = spark.sparkContext
+    cores = sc.defaultParallelism
+    df = spark.range(0, 4000, 1, 3 * cores + 1).selectExpr("CAST(id % 50 AS double) AS x", "CAST(id % 7 > 3 AS int) AS y")
+    p = {"learning_rate": 0.3, "max_depth": 1, "min_samples_leaf": 1, "l2_regularization": 0.0}
+    bo.fit_boosted(df, ["x"], "y", [p | {"max_iter": 6}])
+    assert max(pending for _, pending in seen) < 2
+    assert all(parts <= cores or parts % cores == 0 for parts, _ in seen)
+    jobs, found = [], []
+    for pending in (1, 100):
+        monkeypatch.setattr(bo, "PENDING", pending)
+        sc.setJobGroup(f"short-{pending}", "")
+        found.append(bo.fit_boosted(df.coalesce(2), ["x"], "y", [p | {"max_iter": 3}]))
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"short-{pending}")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] and found[0] == found[1]
