@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.components import components
-from riskweave.llm.tables import Scratch, bound_batches
+from riskweave.llm.tables import Scratch, bits_at, bound_batches, has_bit, id_bits
 from riskweave.llm.words import M1, M2, M3, mixed, words_of
 
 #: Ratio of a size band's ends, shingles of one comparison tile, sets of a signature that are paired up.
@@ -250,10 +250,10 @@ LINK, MANY = -1, 1 << 62
 SIGNED_ROWS, FETCHED_BYTES, KNOWN_SETS = 1 << 18, 1 << 23, 10_000
 
 
-def signed(texts: DataFrame, common: Broadcast, *, k: int, num: int, den: int) -> DataFrame:
+def signed(texts: DataFrame, common: Broadcast, firsts: Broadcast | None = None, *, k: int, num: int, den: int) -> DataFrame:
     """(sig, code, a, b): the signatures of each document a, and links (a, b).
 
-    A copy of one of the last KNOWN_SETS documents of its task signs nothing and is linked
+    Copies have one set, and only documents with a bit in ``firsts`` (without it, all) sign; each set's smallest id has one. A copy of one of the last KNOWN_SETS documents of its task signs nothing and is linked
     to that one. A signature that more than BUCKET documents of a group, of about
     SIGNED_ROWS signatures, have is kept once, by the first of them, to which the others are linked. This is the
     partial aggregation that keeps a large group of copies or near copies out of one signature's rows.
@@ -283,6 +283,8 @@ def signed(texts: DataFrame, common: Broadcast, *, k: int, num: int, den: int) -
         ids, found, links, size = [], [], [], 0
         first: dict[tuple[int, int], int] = {}
         for batch in batches:
+            if firsts is not None:
+                batch = batch.filter(pa.array(bits_at(firsts.value, batch.column(2).to_numpy())))
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 hashes = shingles(text.as_buffer().to_pybytes(), k)
                 if not len(hashes):
@@ -301,7 +303,8 @@ def signed(texts: DataFrame, common: Broadcast, *, k: int, num: int, den: int) -
                     ids, found, links, size = [], [], [], 0
         yield rows_of(ids, found, links)
 
-    return texts.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).mapInArrow(run, "sig long, code long, a long, b long")
+    rows = texts.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("doc_id"))
+    return rows.mapInArrow(run, "sig long, code long, a long, b long")
 
 
 PAIRED = "a long, b long, band long, need long, n long"
@@ -455,7 +458,9 @@ def compared(members: DataFrame, docs: DataFrame, *, k: int, num: int, den: int)
         close()
         yield taken()
 
-    wanted = members.join(docs.where(F.col("text").isNotNull()), "doc_id").select(
+    # Texts are most of the bytes, and few documents are in a cluster: the others are left out before the shuffle.
+    asked = docs.where(F.col("text").isNotNull() & has_bit("doc_id", id_bits(members, "doc_id")))
+    wanted = members.join(asked, "doc_id").select(
         "doc_id", "key_a", "key_b", "cluster", "tiles", "tile", "text"
     )
     sets = wanted.mapInArrow(fetch, "cluster long, tile_a long, tile_b long, doc_id long, set binary")
@@ -475,7 +480,9 @@ def similar_documents(
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(rows))  # MOST_COMMON numbers at most
-    sigs = signed(texts, common, k=k, num=num, den=den).repartition(parts, "sig")
+    classes = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node"))
+    firsts = scratch.write(classes, "firsts")
+    sigs = signed(texts, common, id_bits(firsts, "node"), k=k, num=num, den=den).repartition(parts, "sig")
     sigs = sigs.sortWithinPartitions("sig", F.col("code").bitwiseAND(F.lit(MANY)), "a")
     pairs = paired(sigs).groupBy("a", "b", "band").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
     met = pairs.where(F.col("n") >= F.col("need")).select("a", "b")
@@ -493,8 +500,7 @@ def similar_documents(
     links = scratch.write(compared(members.drop("component", "n"), texts, k=k, num=num, den=den), "found")
     found = scratch.write(components(links, scratch), "components")
 
-    classes = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node"))
-    classes = classes.join(found, "node", "left").select(
+    classes = firsts.join(found, "node", "left").select(
         F.col("key_a").alias("__a"), F.col("key_b").alias("__b"), F.coalesce("component", "node").alias("component")
     )
     classes = scratch.write(classes, "classes")
@@ -502,7 +508,7 @@ def similar_documents(
     out = rows.select("doc_id", "n", "key_a", "key_b").join(classes, same, "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     result = scratch.write(out, "result")
-    scratch.drop(rows, clusters, sets, sizes, links, found, classes)
+    scratch.drop(rows, firsts, clusters, sets, sizes, links, found, classes)
     return result
 
 
@@ -513,4 +519,7 @@ def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     groups = similar_documents(docs, id_col=id_col, text_col=text_col, k=k, num=num, den=den)
     gone = groups.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    # Only the rows that may go are shuffled with their texts.
+    doubtful = has_bit(id_col, id_bits(gone, "__gone"))
+    left = docs.where(doubtful).join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    return docs.where(~F.coalesce(doubtful, F.lit(False))).union(left)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from llm_fixtures import SF0001, duck, odd_docs
 from test_llm_texts import check_packing, groups_of, sets_of
 
-from riskweave.llm import ngram_join
+from riskweave.llm import ngram_join, tables
 from riskweave.llm.line_dedup import LINES_SQL
 from riskweave.llm.mixing import MIX_SELECT, MIX_SQL
 from riskweave.llm.tables import BATCH_BYTES, Scratch
@@ -124,3 +124,31 @@ def test_copies_and_common_shingles_are_told_across_batches(spark):
         assert none.count() == 0
     finally:
         spark.conf.set(key, before)
+
+
+def test_only_the_first_of_all_copies_signs(spark):
+    """Copies far apart add no signatures, so no pairs of copies are shuffled."""
+    words = [" ".join(f"w{(7 * i + j) % 97}x{i}" for j in range(60)) for i in range(20)]
+    docs = spark.createDataFrame([(100 * c + i, t) for c in range(6) for i, t in enumerate(words)], "doc_id long, text string").repartition(6)
+    firsts = tables.id_bits(docs.where("doc_id < 100"), "doc_id")
+    common = spark.sparkContext.broadcast(np.zeros(0, dtype=np.uint64))
+    rows = ngram_join.signed(docs, common, firsts, k=3, num=90, den=100).toPandas()
+    assert set(rows["a"]) == set(range(20))
+    kept = ngram_join.one_of_each_group(docs, k=3, num=90, den=100)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(20))
+
+
+def test_id_bits_find_every_id_again_and_leave_out_most_others(spark):
+    ids = spark.createDataFrame([(-5,), (0,), (None,), (2**62,), *[(7 * i,) for i in range(5000)]], "i long")
+    table = tables.id_bits(ids, "i")
+    assert ids.where(tables.has_bit("i", table)).count() == 5003
+    others = spark.range(10**6, 10**6 + 20_000).selectExpr("id as i")
+    assert others.where(tables.has_bit("i", table)).count() < 4000
+    assert ids.where(tables.has_bit("i", tables.id_bits(ids.limit(0), "i"))).count() == 0
+
+
+def test_near_duplicates_shuffle_only_the_texts_that_may_go(spark):
+    """No join of the result moves the rows that surely stay."""
+    docs = odd_docs(spark)
+    plan = ngram_join.one_of_each_group(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "found(" in plan
