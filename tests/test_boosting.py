@@ -316,3 +316,37 @@ def test_passes_are_short(spark, monkeypatch):
         jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"short-{pending}")))
     sc.setLocalProperty("spark.jobGroup.id", None)
     assert jobs[0] == jobs[1] and found[0] == found[1]
+
+
+def test_long_fits_take_few_jobs_and_give_the_same_trees(spark, monkeypatch):
+    """A fit of many passes grows in tasks that keep the rows: the trees of the passes, in first and second order, over
+    several blocks and jobs, with bins of two bytes and with one class."""
+    grid = [
+        PARAMS | {"learning_rate": 0.2, "max_depth": 4, "max_iter": 16, "min_samples_leaf": 30, "l2_regularization": 0.5},
+        PARAMS | {"learning_rate": 0.1, "max_depth": 2, "max_iter": 9, "min_samples_leaf": 1, "l2_regularization": 0.0},
+    ]
+    df = spark.range(0, 70_000, 1, 3).selectExpr(
+        "pmod(hash(id), 997) / 7.0 AS a", "pmod(hash(id, 1), 12) * 1.0 AS b", "pmod(id, 2) * 1.0 AS c", "1.0 AS d",
+        "CAST(pmod(hash(id, 2), 100) < 3 + pmod(hash(id), 997) / 30 + pmod(hash(id, 1), 12) AS int) AS y",
+    ).cache()
+    names, sc = ["a", "b", "c", "d"], spark.sparkContext
+
+    def fits():
+        return [bo.fit_boosted(df, names, "y", grid), bo.fit_hist(df, names, "y", grid), bo.fit_boosted(df.where("y = 0").limit(500), names, "y", grid)]
+
+    sc.setJobGroup("long-fits", "")
+    monkeypatch.setattr(bo, "TREES_A_JOB", 7)
+    in_place = fits()
+    jobs = len(sc.statusTracker().getJobIdsForGroup("long-fits"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    monkeypatch.setattr(bo, "MOST_IN_PLACE", 0)
+    assert in_place == fits()
+    assert jobs < 64 and any(f >= 0 for f in in_place[0][0].trees[-1]["feature"])
+    df.unpersist()
+
+    edges = [np.sort(np.unique(np.arange(400) / 3.0)), np.array([0.5])]
+    wide = spark.range(2000).selectExpr("pmod(id * 7, 401) / 3.0 AS a", "id % 2 * 1.0 AS b", "CAST(pmod(id * 7, 401) > 300 AS int) AS y")
+    args = (wide, ["a", "b"], "y", edges, [grid[0]], {0: 1.0, 1: 1.0}, 2000, 0.0, False)
+    by_pass = bo._grown(*args)
+    monkeypatch.setattr(bo, "MOST_IN_PLACE", 1 << 23)
+    assert bo._grown(*args) == by_pass
