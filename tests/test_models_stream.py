@@ -297,3 +297,31 @@ def test_state_partitions_follow_the_replay(spark):
         assert spark.conf.get(key) == "5000"
     finally:
         spark.conf.set(key, before)
+
+
+def test_permuted_copies_are_scored_block_wise_with_the_same_counts(spark, monkeypatch):
+    """Only the trees of the replaced feature are walked anew: importances are those of scoring every copy as a row, also with
+    null and repeated keys, null features and labels, blocks of one row and more than a slice."""
+    from riskweave.operators import boosting as bo
+    from riskweave.operators import explain as ex
+
+    df = spark.range(0, 900, 1, 3).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN NULL ELSE id div 2 END AS id", "pmod(hash(id), 97) / 9.0 AS a", "pmod(hash(id, 1), 5) * 1.0 AS b", "1.0 AS c",
+        "CAST(pmod(hash(id), 97) + 9 * pmod(hash(id, 1), 5) + pmod(hash(id, 2), 30) > 80 AS int) AS y",
+    ).cache()
+    names = ["a", "b", "c"]
+    params = {"learning_rate": 0.3, "max_depth": 2, "max_iter": 5, "min_samples_leaf": 3, "l2_regularization": 0.1}
+    odd = df.withColumns({"a": F.expr("CASE WHEN a > 9 THEN NULL WHEN a < 0.5 THEN double('NaN') ELSE a END"), "y": F.expr("CASE WHEN b = 2 AND a < 3 THEN NULL ELSE y END")})
+    for model in (bo.fit_boosted(df, names, "y", [params])[0], bo.fit_hist(df, names, "y", [params])[0]):
+        found = []
+        for kind in (ex.HistModel, ()):
+            monkeypatch.setattr(ex, "SLICE", 64)
+            with monkeypatch.context() as m:
+                m.setattr(ex, "HistModel", kind)
+                asked = [(odd, 100), (odd, 1), (df.limit(2), 10)]
+                found.append([ex.permutation_importance(model, d, names, "y", "id", repeats=3, block_rows=n) for d, n in asked])
+                found[-1] = [sorted((r["feature"], round(r["importance"], 12), round(r["importance_std"], 12)) for r in f.collect()) for f in found[-1]]
+        assert found[0] == found[1] and found[0][0][0][1] > 0.02
+    plan = ex.permutation_importance(model, odd, names, "y", "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+    df.unpersist()
